@@ -13,17 +13,17 @@ def _key(c):
     return F.upper(stripped(c))
 
 
+# `GRADE n` and Roman spellings of grades 1 to 12; a bare number needs no entry.
+_GRADES = {
+    spelling: f"Grade {n}"
+    for n, roman in enumerate(ROMAN_GRADES, start=1) for spelling in (roman, f"GRADE {n}")
+}
+
+
 def grade_name(c) -> Column:
     """`Grade n` for n, a Roman n or `grade n` up to 12; other text is kept after `Grade `."""
     key = _key(c)
-    roman = {text: f"Grade {n}" for n, text in enumerate(ROMAN_GRADES, start=1)}
-    spelt = [f"GRADE {n}" for n in range(1, len(ROMAN_GRADES) + 1)]
-    return (
-        F.when(key.isNull(), F.lit("Unknown"))
-        .when(key.isin(list(roman)), lookup(key, roman))
-        .when(key.isin(spelt), F.concat(F.lit("Grade "), F.substr(key, F.lit(7))))
-        .otherwise(F.concat(F.lit("Grade "), key))
-    )
+    return F.coalesce(lookup(key, _GRADES), F.concat(F.lit("Grade "), key), F.lit("Unknown"))
 
 
 def grain_name(c) -> Column:

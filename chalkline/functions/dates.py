@@ -1,14 +1,15 @@
 """Dates written in many ways.
 
-A date text is read in three steps, each a plain expression: the *form* says how the text
-is laid out, the *value* is the day that layout gives, and the *method* names the outcome.
-`with_date_lineage` in the operators keeps the steps as columns so each is computed once.
+A date text is read in steps, each a plain expression: the *form* says how the text is laid
+out, the *fields* are year, month and day as written, the *value* is the day they give and the *method* names
+the outcome. `with_date_lineage` in the operators keeps each step as a column, so that it is
+computed once; `parse_date` puts them into one expression.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chalkline.functions.text import ascii_digits, column, stripped
+from chalkline.functions.text import ascii_digits, column, lookup, stripped
 
 # Outcome names (fixed values).
 MISSING = "MISSING"
@@ -16,7 +17,6 @@ ISO = "ISO_FORMAT"
 TEXT_MONTH = "TEXT_MONTH"
 FALLBACK = "PANDAS_FALLBACK"
 UNPARSED = "UNPARSED_ERROR"
-AMBIGUOUS_FORMS = ("DOT_DD_MM_AMBIGUOUS", "DASH_MM_DD_AMBIGUOUS", FALLBACK)
 
 _MONTHS = (
     "january", "february", "march", "april", "may", "june", "july", "august", "september",
@@ -24,110 +24,91 @@ _MONTHS = (
 )
 _SHORT = "|".join(m[:3] for m in _MONTHS)
 _LONG = "|".join(_MONTHS)
-_MONTH_STRIP = "".join(m[:3] for m in _MONTHS)
+_MONTH_NUMBERS = {m[:3]: str(n) for n, m in enumerate(_MONTHS, start=1)}
 
 _ISO_PATTERN = r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}$"
+_NUMERIC_PATTERN = r"^(?:\d{1,2}[-/]\d{1,2}[-/]|\d{1,2}\.\d{1,2}\.)\d{4}$"
 _TEXT_PATTERN = rf"(?i)^\d{{1,2}}-(?:(?:{_SHORT})-(?:\d{{4}}|\d{{2}})|(?:{_LONG})-\d{{4}})$"
-_DOT_PATTERN = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
-_DASH_PATTERN = r"^\d{1,2}[-/]\d{1,2}[-/]\d{4}$"
-
-# The bounded list of other layouts that are read, always flagged ambiguous.
-_COMPACT = r"^\d{8}$"
-_DATE_TIME = (
-    r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}[T ](?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?"
-    r"(?:Z|[+-]\d{2}:?\d{2})?$"
+_FIRST_ABOVE_12 = r"^(?:1[3-9]|[2-9]\d)\D"
+_SECOND_ABOVE_12 = r"^\d+\D(?:1[3-9]|[2-9]\d)\D"
+
+# Every layout that is read, and the order of year, month and day in it. The first that fits
+# applies. Those after the text months are the bounded list of other layouts, always flagged
+# ambiguous.
+_CLOCK = r"[T ](?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?"
+_LAYOUTS = (
+    (r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})", "ymd"),
+    (r"(1[3-9]|[2-9]\d)[-/](\d{1,2})[-/](\d{4})", "dmy"),
+    (r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})", "mdy"),
+    (r"(0?\d|1[0-2])\.(1[3-9]|[2-9]\d)\.(\d{4})", "mdy"),
+    (r"(\d{1,2})\.(\d{1,2})\.(\d{4})", "dmy"),
+    (rf"(\d{{1,2}})-({_SHORT})-(\d{{4}}|\d{{2}})", "dmy"),
+    (rf"(\d{{1,2}})-({_LONG})-(\d{{4}})", "dmy"),
+    (r"(\d{4})(\d{2})(\d{2})", "ymd"),
+    (rf"(\d{{4}})[-/](\d{{1,2}})[-/](\d{{1,2}}){_CLOCK}", "ymd"),
+    (rf"({_LONG}|{_SHORT}) (\d{{1,2}}),? (\d{{4}})", "mdy"),
+    (rf"(\d{{1,2}}) ({_LONG}|{_SHORT}),? (\d{{4}})", "dmy"),
+    (r"(0?\d|1[0-2])[-/](\d{1,2})[-/](\d{2})", "mdy"),
+    (r"(1[3-9]|[2-9]\d)[-/](\d{1,2})[-/](\d{2})", "dmy"),
+)
+
+# All layouts as one pattern, and the replacement that puts year, month and day in that order:
+# groups of layouts that did not match are empty.
+_ANY_LAYOUT = "(?i)^(?:" + "|".join(pattern for pattern, _ in _LAYOUTS) + ")$"
+_FIELD_MARK = "\x1f"
+_IN_ORDER = _FIELD_MARK.join(
+    "".join(f"${3 * n + order.index(field) + 1}" for n, (_, order) in enumerate(_LAYOUTS))
+    for field in "ymd"
 )
-_MONTH_DAY_YEAR = rf"(?i)^(?:{_SHORT}|{_LONG}) \d{{1,2}},? \d{{4}}$"
-_DAY_MONTH_YEAR = rf"(?i)^\d{{1,2}} (?:{_SHORT}|{_LONG}),? \d{{4}}$"
-_SHORT_YEAR = r"^\d{1,2}[-/]\d{1,2}[-/]\d{2}$"
 
 
 def date_text(c) -> Column:
     """The text a date is read from: white space stripped, digits in ASCII."""
-    return ascii_digits(stripped(c))
-
-
-def _day(year, month, day):
-    """The calendar day, NULL where there is none. Years start at 1."""
-    return F.when(year != "0000", F.concat_ws("-", year, month, day).try_cast("date"))
-
-
-def _parts(text):
-    dashed = F.translate(text, "/.", "--")
-    return [F.split_part(dashed, F.lit("-"), F.lit(i)) for i in (1, 2, 3)]
-
-
-def _month_number(name):
-    at = F.position(F.lower(F.left(name, F.lit(3))), F.lit(_MONTH_STRIP))
-    return F.floor((at + 2) / 3).cast("string")
-
-
-def _full_year(year):
-    """Two-digit years run from 1969 to 2068."""
-    return F.when(F.length(year) == 4, year).otherwise(
-        F.concat(F.when(year >= "69", F.lit("19")).otherwise(F.lit("20")), year)
-    )
+    return stripped(ascii_digits(c))
 
 
 def date_form(text) -> Column:
-    """How the text is laid out; NULL where no layout applies."""
+    """How the text is laid out.
+
+    With two numbers before the year, one above 12 must be the day. Where neither is, dots
+    are read day first and dashes or slashes month first.
+    """
     text = column(text)
-    first, second, _ = _parts(text)
-    high_first = first.try_cast("int") > 12
-    high_second = second.try_cast("int") > 12
-    dot = (
-        F.when(high_first, F.lit("DOT_DD_MM_YYYY"))
-        .when(high_second, F.lit("DOT_MM_DD_YYYY"))
-        .otherwise(F.lit("DOT_DD_MM_AMBIGUOUS"))
-    )
-    dash = (
-        F.when(high_first, F.lit("DASH_DD_MM_YYYY"))
-        .when(high_second, F.lit("DASH_MM_DD_YYYY"))
-        .otherwise(F.lit("DASH_MM_DD_AMBIGUOUS"))
+    dot = text.contains(".")
+    order = (
+        F.when(text.rlike(_FIRST_ABOVE_12), F.lit("DD_MM_YYYY"))
+        .when(text.rlike(_SECOND_ABOVE_12), F.lit("MM_DD_YYYY"))
+        .when(dot, F.lit("DD_MM_AMBIGUOUS"))
+        .otherwise(F.lit("MM_DD_AMBIGUOUS"))
     )
+    family = F.when(dot, F.lit("DOT_")).otherwise(F.lit("DASH_"))
     return (
-        F.when(text.isNull() | (text == ""), F.lit(MISSING))
+        F.when(F.coalesce(text, F.lit("")) == "", F.lit(MISSING))
         .when(text.rlike(_ISO_PATTERN), F.lit(ISO))
-        .when(text.rlike(_DASH_PATTERN), dash)
-        .when(text.rlike(_DOT_PATTERN), dot)
+        .when(text.rlike(_NUMERIC_PATTERN), F.concat(family, order))
         .when(text.rlike(_TEXT_PATTERN), F.lit(TEXT_MONTH))
         .otherwise(F.lit(FALLBACK))
     )
 
 
-def _fallback_value(text):
-    words = [F.split_part(F.replace(text, F.lit(","), F.lit("")), F.lit(" "), F.lit(i)) for i in (1, 2, 3)]
-    first, second, third = _parts(text)
-    day_part = F.regexp_extract(text, r"^([^T ]+)", 1)
-    year, month, day = _parts(day_part)
-    short_year = F.when(
-        first.try_cast("int") > 12, _day(_full_year(third), second, first)
-    ).otherwise(_day(_full_year(third), first, second))
-    return (
-        F.when(
-            text.rlike(_COMPACT),
-            _day(F.left(text, F.lit(4)), F.substr(text, F.lit(5), F.lit(2)), F.right(text, F.lit(2))),
-        )
-        .when(text.rlike(_DATE_TIME), _day(year, month, day))
-        .when(text.rlike(_MONTH_DAY_YEAR), _day(words[2], _month_number(words[0]), words[1]))
-        .when(text.rlike(_DAY_MONTH_YEAR), _day(words[2], _month_number(words[1]), words[0]))
-        .when(text.rlike(_SHORT_YEAR), short_year)
-    )
+def date_fields(text) -> Column:
+    """Year, month and day as written, in this order; one field when no layout fits."""
+    return F.split(F.regexp_replace(column(text), _ANY_LAYOUT, _IN_ORDER), _FIELD_MARK)
 
 
-def date_value(text, form) -> Column:
-    """The day the text gives under its form, NULL where there is no such day."""
-    text, form = column(text), column(form)
-    first, second, third = _parts(text)
-    return (
-        F.when(form == ISO, _day(first, second, third))
-        .when(form.isin("DASH_MM_DD_YYYY", "DASH_MM_DD_AMBIGUOUS", "DOT_MM_DD_YYYY"),
-              _day(third, first, second))
-        .when(form.isin("DASH_DD_MM_YYYY", "DOT_DD_MM_YYYY", "DOT_DD_MM_AMBIGUOUS"),
-              _day(third, second, first))
-        .when(form == TEXT_MONTH, _day(_full_year(third), _month_number(second), first))
-        .when(form == FALLBACK, _fallback_value(text))
-    )
+def date_iso(fields) -> Column:
+    """`y-m-d` from the fields, NULL when there are not three of them."""
+    year, month, day = (F.get(column(fields), F.lit(i)) for i in range(3))
+    number = F.coalesce(lookup(F.lower(F.left(month, F.lit(3))), _MONTH_NUMBERS), month)
+    # Two-digit years run from 1969 to 2068.
+    century = F.when(F.length(year) == 4, F.lit("")).when(year >= "69", F.lit("19")).otherwise(F.lit("20"))
+    return F.concat(century, year, F.lit("-"), number, F.lit("-"), day)
+
+
+def date_value(iso) -> Column:
+    """The calendar day, NULL where there is none. Years start at 1."""
+    iso = column(iso)
+    return F.when(~iso.startswith("0000"), iso.try_cast("date"))
 
 
 def date_outcome(form, value):
@@ -140,14 +121,15 @@ def date_outcome(form, value):
         .when(form.startswith("DASH"), F.lit("INVALID_DASH"))
         .otherwise(F.lit(UNPARSED))
     )
-    return method, value.isNotNull() & form.isin(*AMBIGUOUS_FORMS), value.isNull()
+    doubtful = form.endswith("AMBIGUOUS") | (form == FALLBACK)
+    return method, value.isNotNull() & doubtful, value.isNull()
 
 
 def parse_date(c) -> Column:
     """Struct (value, method, ambiguous, error) of a date text, as one expression."""
     text = date_text(c)
     form = date_form(text)
-    value = date_value(text, form)
+    value = date_value(date_iso(date_fields(text)))
     method, ambiguous, error = date_outcome(form, value)
     return F.struct(
         value.alias("value"), method.alias("method"), ambiguous.alias("ambiguous"),

@@ -1,20 +1,17 @@
 """Text primitives shared by the normalisers."""
 
-import unicodedata
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character that counts as white space at the ends of a field.
 WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
-_DIGITS = [
-    ch for ch in map(chr, range(0x80, 0x10000)) if unicodedata.category(ch) == "Nd"
-]
-FOREIGN_DIGITS = "".join(_DIGITS)
-ASCII_DIGITS = "".join(str(unicodedata.digit(ch)) for ch in _DIGITS)
+# Digits of Devanagari, Gurmukhi and eastern Arabic script, read as 0-9.
+_ZEROS = (0x0966, 0x0A66, 0x06F0)
+FOREIGN_DIGITS = "".join(chr(zero + n) for zero in _ZEROS for n in range(10))
+ASCII_DIGITS = "0123456789" * len(_ZEROS)
 
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER_PATTERN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 # A private-use character and a blank, put where a word starts inside a blank-separated word.
 _WORD_MARK = "\ue000 "
@@ -30,39 +27,36 @@ def stripped(c) -> Column:
 
 
 def ascii_digits(c) -> Column:
-    """Digits of any script as 0-9; plain ASCII text is passed through untouched."""
+    """Digits of Indian scripts as 0-9; plain ASCII text is passed through untouched."""
     c = column(c)
     return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(
         F.translate(c, FOREIGN_DIGITS, ASCII_DIGITS)
     )
 
 
-def number(c) -> Column:
-    """Tolerant text to double: NULL, never NaN or an error, when the text is no number."""
-    text = ascii_digits(stripped(c))
+def plain_number(text) -> Column:
+    """Stripped text to double: NULL, never NaN or an error, when the text is no number."""
+    text = column(text)
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
+def number(c) -> Column:
+    """Tolerant text to double; white space around the number does not matter."""
+    return plain_number(stripped(c))
+
+
 def title_case(c) -> Column:
     """Capital after every non-letter, small letters elsewhere (`mary's` gives `Mary'S`).
 
     `initcap` starts words at blanks only, so a marker with a blank is put before each
     letter that follows a non-letter and taken out again afterwards.
     """
-    c = column(c)
     cased = r"[\p{Lu}\p{Ll}\p{Lt}]"
-    marked = F.regexp_replace(c, rf"(?<!{cased})(?={cased})", _WORD_MARK)
-    general = F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
-    return F.when(c.rlike("^[A-Za-z ]*$"), F.initcap(c)).otherwise(general)
+    marked = F.regexp_replace(column(c), rf"(?<!{cased})(?={cased})", _WORD_MARK)
+    return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
 
 def lookup(c, mapping) -> Column:
     """The value a constant mapping gives for the text, NULL when it lists no such key."""
-    c = column(c)
-    keys_by_value = {}
-    for key, value in mapping.items():
-        keys_by_value.setdefault(value, []).append(key)
-    chain = F
-    for value, keys in keys_by_value.items():
-        chain = chain.when(c.isin(keys), F.lit(value))
-    return chain
+    pairs = [F.lit(item) for pair in mapping.items() for item in pair]
+    return F.try_element_at(F.create_map(*pairs), column(c))

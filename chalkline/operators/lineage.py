@@ -7,34 +7,39 @@ projection, so Spark computes each of them once per row; their names start with
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chalkline.functions.dates import date_form, date_outcome, date_text, date_value
+from chalkline.functions.dates import (
+    date_fields, date_form, date_iso, date_outcome, date_text, date_value,
+)
 from chalkline.functions.flags import parse_boolean
-from chalkline.functions.identifiers import school_id
+from chalkline.functions.identifiers import id_digits, id_text, id_value
 
 
 def with_id_lineage(df: DataFrame, name: str = "school_id") -> DataFrame:
     """`<name>` normalised, `_raw`, `_clean` and `_changed_flag` (true for a missing id)."""
-    df = df.withColumns({f"{name}_raw": F.col(name), name: school_id(name)})
+    raw, text, digits = f"{name}_raw", f"__{name}_text", f"__{name}_digits"
+    df = df.withColumns({raw: F.col(name), text: id_text(name)})
+    df = df.withColumn(digits, id_digits(text))
+    df = df.withColumn(name, id_value(text, digits))
     return df.withColumns({
         f"{name}_clean": F.col(name),
-        f"{name}_changed_flag": F.col(f"{name}_raw").isNull()
-        | ~F.col(f"{name}_raw").eqNullSafe(F.col(name)),
-    })
+        f"{name}_changed_flag": F.col(raw).isNull() | ~F.col(raw).eqNullSafe(F.col(name)),
+    }).drop(text, digits)
 
 
 def with_date_lineage(df: DataFrame, name: str = "date") -> DataFrame:
     """`<name>` as a DATE, `_raw`, `_clean`, `_parse_method`, `_ambiguous_flag`, `_parse_error_flag`."""
-    text, form = f"__{name}_text", f"__{name}_form"
+    text, form, fields = f"__{name}_text", f"__{name}_form", f"__{name}_fields"
     df = df.withColumns({f"{name}_raw": F.col(name), text: date_text(name)})
-    df = df.withColumn(form, date_form(text))
-    df = df.withColumn(name, date_value(text, form))
+    df = df.withColumns({form: date_form(text), fields: date_fields(text)})
+    df = df.withColumn(name, date_iso(fields))
+    df = df.withColumn(name, date_value(name))
     method, ambiguous, error = date_outcome(form, name)
     return df.withColumns({
         f"{name}_clean": F.col(name),
         f"{name}_parse_method": method,
         f"{name}_ambiguous_flag": ambiguous,
         f"{name}_parse_error_flag": error,
-    }).drop(text, form)
+    }).drop(text, form, fields)
 
 
 def with_boolean_lineage(df: DataFrame, *names: str) -> DataFrame:

@@ -12,11 +12,14 @@ from chalkline.functions.categories import (
     grade_name, grain_name, payment_name, subject_name, vendor_name,
 )
 from chalkline.functions.quantities import (
-    DEFAULT_UNITS, UnitRules, parse_cost, quantity_amount, quantity_kg, quantity_method,
+    DEFAULT_UNITS, UnitRules, cost_text, quantity_amount, quantity_kg, quantity_method,
     quantity_outcome, quantity_unit,
 )
-from chalkline.functions.scores import score_form, score_method, score_value
-from chalkline.functions.text import stripped, title_case
+from chalkline.functions.scores import (
+    amount_text, letter_value, ratio_texts, scale_text, score_form, score_method, score_text,
+    score_value,
+)
+from chalkline.functions.text import ascii_digits, plain_number, stripped, title_case
 from chalkline.operators.audit import counters, flag_counter, histogram, row_counters
 from chalkline.operators.dedup import COPIES, dedup_exact
 from chalkline.operators.lineage import with_boolean_lineage, with_date_lineage, with_id_lineage
@@ -38,10 +41,6 @@ def _sure(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _titled(name: str, default: str) -> Column:
-    return title_case(stripped(F.coalesce(F.col(name), F.lit(default))))
-
-
 # School master ---------------------------------------------------------------------------
 
 
@@ -49,12 +48,12 @@ def _merged_schools(raw: DataFrame) -> DataFrame:
     """One row per school, the row without a school id included, with its raw row counts."""
     df = with_id_lineage(dedup_exact(raw))
     df = df.withColumns({"district_raw": F.col("district"), "block_raw": F.col("block")})
+    defaults = {"district": "Unknown District", "block": "Unknown Block",
+                "school_type": "Unknown", "medium": "Unknown"}
     df = df.withColumns({
-        "district": _titled("district", "Unknown District"),
-        "block": _titled("block", "Unknown Block"),
-        "school_type": _titled("school_type", "Unknown"),
-        "medium": _titled("medium", "Unknown"),
+        name: stripped(F.coalesce(F.col(name), F.lit(default))) for name, default in defaults.items()
     })
+    df = df.withColumns({name: title_case(name) for name in defaults})
     head = ["school_id_raw", "school_id_changed_flag", "district", "district_raw", "block",
             "block_raw", "school_type", "medium"]
     order = ["total_enrolled_students", "school_name", "school_id_raw", "district_raw", "block_raw",
@@ -154,13 +153,17 @@ def clean_procurement(raw: DataFrame, units: UnitRules = DEFAULT_UNITS) -> DataF
         "payment_status_raw": F.col("payment_status"),
         "payment_status": payment_name("payment_status"),
         "cost_raw": F.col("total_cost"),
-        "total_cost": parse_cost("total_cost"),
-        "__amount": quantity_amount("quantity"),
-        "__unit": quantity_unit("quantity", "unit"),
+        "total_cost": cost_text("total_cost"),
+        "__quantity": ascii_digits("quantity"),
+    })
+    df = df.withColumns({
+        "__amount": quantity_amount("__quantity"),
+        "__unit": quantity_unit("__quantity", "unit"),
+    })
+    df = df.withColumns({
+        "total_cost": plain_number("total_cost"),
+        "conversion_method": quantity_method("__amount", "__unit", "quantity", "unit", units),
     })
-    df = df.withColumn(
-        "conversion_method", quantity_method("__amount", "__unit", "quantity", "unit", units)
-    )
     unit_clean, inferred = quantity_outcome("__amount", "conversion_method")
     df = df.withColumns({
         "quantity_kg": quantity_kg("__amount", "conversion_method", units),
@@ -257,9 +260,26 @@ def clean_scores(raw: DataFrame) -> DataFrame:
     df = df.withColumns({
         "subject_raw": F.col("subject"),
         "subject": subject_name("subject"),
-        "__form": score_form("avg_score", "grading_scale", "max_marks"),
+        "__text": score_text("avg_score"),
+        "__scale": scale_text("grading_scale"),
+        "__full": stripped("max_marks"),
     })
-    df = df.withColumn("score_percentage", score_value("avg_score", "max_marks", "__form"))
+    above, below = ratio_texts("__text")
+    df = df.withColumns({
+        "__letter": letter_value("__text"), "__amount": amount_text("__text"),
+        "__above": above, "__below": below,
+    })
+    df = df.withColumns({
+        name: plain_number(name) for name in ("__amount", "__above", "__below", "__full")
+    })
+    df = df.withColumn(
+        "__form",
+        score_form("__text", "__scale", "max_marks", "__letter", "__above", "__below", "__full"),
+    )
+    df = df.withColumn(
+        "score_percentage",
+        score_value("__form", "__amount", "__letter", "__above", "__below", "__full"),
+    )
     return df.select(
         "assessment_id", "school_id", "date", "grade", "subject", "grading_scale", "avg_score",
         "max_marks", "school_id_raw", "school_id_clean", "school_id_changed_flag", "date_raw",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chalkline.plans import cleaners
 from chalkline.plans.risk import DEFAULT_MODEL, RiskModel, welfare_risk
 from chalkline.plans.star import Star, star_from_raw
+from chalkline.session import prefer_compiled_methods
 from chalkline.sources import tables
 from chalkline.sources.raw import read_raw
 
@@ -30,7 +31,7 @@ def rescue(
 
     The audit reads the written tables, where a retried task cannot have counted a row twice.
     """
-    raw = read_raw(spark, paths)
+    raw = read_raw(prefer_compiled_methods(spark), paths)
     tables.write_star(star_from_raw(raw), root, by_month)
     audit = audit_all(tables.open_star(spark, root), raw["school_master"])
     path = tables.write_audit(audit, f"{root}/data_quality_report")

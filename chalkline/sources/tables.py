@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException, ParseException
 
+from chalkline.plans.cleaners import current_infrastructure
 from chalkline.plans.star import Star
 from chalkline.plans.views import VIEWS
 
@@ -46,8 +47,11 @@ def write_table(df: DataFrame, root: str, name: str, by_month: bool = False) ->
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Overwrites a directory of CSV files with a header row; NULL is left empty."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Overwrites a directory of CSV files with a header row; NULL is left empty, blanks are kept."""
+    (
+        df.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
     return path
 
 
@@ -83,8 +87,6 @@ def write_star(star: Star, root: str, by_month: bool = False) -> None:
     for name, df in star.tables().items():
         if name != "dim_infrastructure_current":
             write_table(df, root, name, by_month and name in dated)
-    from chalkline.plans.cleaners import current_infrastructure
-
     history = read_table(spark, root, "fact_infrastructure_history").drop("date_month")
     write_table(current_infrastructure(history), root, "dim_infrastructure_current")
 
