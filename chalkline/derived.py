@@ -202,8 +202,9 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     """The star over the derived records. There is one school per customer at most, and the
     customer count is read from the Parquet footer."""
     prefer_compiled_methods(spark)
-    raw = {name: derive(spark, sf_dir) for name, derive in RAW.items()}
-    return star_from_raw(raw, school_rows=load(spark, sf_dir, "customer").count())
+    return star_from_raw(
+        lambda name: RAW[name](spark, sf_dir), lambda: load(spark, sf_dir, "customer").count()
+    )
 
 
 _BOOK = (

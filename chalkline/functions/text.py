@@ -56,7 +56,17 @@ def title_case(c) -> Column:
     return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
 
+def _literal(value):
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
 def lookup(c, mapping) -> Column:
-    """The value a constant mapping gives for the text, NULL when it lists no such key."""
-    pairs = [F.lit(item) for pair in mapping.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), column(c))
+    """The value a constant mapping gives for the text, NULL when it lists no such key.
+
+    The mapping is written as one SQL literal: building it from single columns takes a call to
+    the JVM for each entry.
+    """
+    entries = ", ".join(_literal(item) for pair in mapping.items() for item in pair)
+    return F.try_element_at(F.expr(f"map({entries})"), column(c))

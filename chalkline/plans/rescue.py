@@ -32,7 +32,7 @@ def rescue(
     The audit reads the written tables, where a retried task cannot have counted a row twice.
     """
     raw = read_raw(prefer_compiled_methods(spark), paths)
-    tables.write_star(star_from_raw(raw), root, by_month)
+    tables.write_star(star_from_raw(raw.__getitem__), root, by_month)
     audit = audit_all(tables.open_star(spark, root), raw["school_master"])
     path = tables.write_audit(audit, f"{root}/data_quality_report")
     return spark.read.schema(audit.schema).json(path)

@@ -66,14 +66,16 @@ def welfare_risk(star: Star, model: RiskModel = DEFAULT_MODEL) -> DataFrame:
         "mdm_risk": F.when(short_of_meals, model.meals_risk_below).otherwise(model.meals_risk_met),
         "integrity_risk": _within_100(F.col("proxy_anomaly_rate")),
     })
-    score = F.round(
+    # Sums of doubles differ in their last digits with the order rows arrive in; that noise is
+    # rounded off first, so that a score halfway between two cents always goes to the even one.
+    score = F.bround(F.round(
         F.col("attendance_risk") * model.attendance_weight
         + F.col("learning_risk") * model.learning_weight
         + F.col("infrastructure_risk") * model.infrastructure_weight
         + F.col("mdm_risk") * model.meals_weight
         + F.col("integrity_risk") * model.integrity_weight,
-        2,
-    )
+        9,
+    ), 2)
     band = (
         F.when(F.col("welfare_risk_score") < model.moderate_from, F.lit("Low Risk"))
         .when(F.col("welfare_risk_score") >= model.high_from, F.lit("High Risk"))

@@ -1,48 +1,86 @@
 """The star schema: cleaned tables around the school dimension."""
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from chalkline.plans import cleaners
 
+SCHOOL = "dim_school"
+ATTENDANCE = "fact_attendance"
+PROCUREMENT = "fact_mdm_procurement"
+INFRA_HISTORY = "fact_infrastructure_history"
+INFRA_CURRENT = "dim_infrastructure_current"
+SCORES = "fact_test_scores"
+TABLES = (SCHOOL, ATTENDANCE, PROCUREMENT, INFRA_HISTORY, INFRA_CURRENT, SCORES)
+
 
-@dataclass(frozen=True)
 class Star:
-    """Lazy frames of the governed tables.
+    """Lazy frames of the governed tables, each built when it is first asked for.
 
-    `school_rows` is an upper bound on the rows of the school dimension where one is known;
-    only with it may row-level views broadcast the dimension.
+    `count_schools` gives an upper bound on the rows of the school dimension where one is to be
+    had cheaply; only with it may row-level views broadcast the dimension.
     """
 
-    school: DataFrame
-    attendance: DataFrame
-    procurement: DataFrame
-    infra_history: DataFrame
-    infra_current: DataFrame
-    scores: DataFrame
-    school_rows: int | None = None
+    def __init__(
+        self,
+        builders: Mapping[str, Callable[["Star"], DataFrame]],
+        count_schools: Callable[[], int] | None = None,
+    ):
+        self._builders = builders
+        self._count_schools = count_schools
+        self._frames: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._builders[name](self)
+        return self._frames[name]
+
+    @property
+    def school(self) -> DataFrame:
+        return self.table(SCHOOL)
+
+    @property
+    def attendance(self) -> DataFrame:
+        return self.table(ATTENDANCE)
+
+    @property
+    def procurement(self) -> DataFrame:
+        return self.table(PROCUREMENT)
+
+    @property
+    def infra_history(self) -> DataFrame:
+        return self.table(INFRA_HISTORY)
+
+    @property
+    def infra_current(self) -> DataFrame:
+        return self.table(INFRA_CURRENT)
+
+    @property
+    def scores(self) -> DataFrame:
+        return self.table(SCORES)
+
+    @cached_property
+    def school_rows(self) -> int | None:
+        return None if self._count_schools is None else self._count_schools()
 
     def tables(self) -> dict[str, DataFrame]:
-        return {
-            "dim_school": self.school,
-            "fact_attendance": self.attendance,
-            "fact_mdm_procurement": self.procurement,
-            "fact_infrastructure_history": self.infra_history,
-            "dim_infrastructure_current": self.infra_current,
-            "fact_test_scores": self.scores,
-        }
-
-
-def star_from_raw(raw: dict[str, DataFrame], school_rows: int | None = None) -> Star:
-    """The star as one lazy plan over raw frames, nothing written in between."""
-    history = cleaners.clean_infrastructure(raw["school_infrastructure"])
+        return {name: self.table(name) for name in TABLES}
+
+
+def star_from_raw(
+    raw: Callable[[str], DataFrame], count_schools: Callable[[], int] | None = None
+) -> Star:
+    """The star as lazy plans over raw frames, given by dataset name; nothing is written."""
     return Star(
-        school=cleaners.clean_school_master(raw["school_master"]),
-        attendance=cleaners.clean_attendance(raw["student_attendance"]),
-        procurement=cleaners.clean_procurement(raw["mdm_procurement"]),
-        infra_history=history,
-        infra_current=cleaners.current_infrastructure(history),
-        scores=cleaners.clean_scores(raw["test_scores"]),
-        school_rows=school_rows,
+        {
+            SCHOOL: lambda _: cleaners.clean_school_master(raw("school_master")),
+            ATTENDANCE: lambda _: cleaners.clean_attendance(raw("student_attendance")),
+            PROCUREMENT: lambda _: cleaners.clean_procurement(raw("mdm_procurement")),
+            INFRA_HISTORY: lambda _: cleaners.clean_infrastructure(raw("school_infrastructure")),
+            INFRA_CURRENT: lambda star: cleaners.current_infrastructure(star.infra_history),
+            SCORES: lambda _: cleaners.clean_scores(raw("test_scores")),
+        },
+        count_schools,
     )

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 # one near that size late. Spark's default lets a generated stage be eight times as long.
 _METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 _SPARK_DEFAULT = "65535"
-_PREFERRED = "4000"
+_PREFERRED = "7000"
 
 
 def prefer_compiled_methods(spark: SparkSession) -> SparkSession:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException, ParseException
 
+from chalkline.plans import star as star_tables
 from chalkline.plans.cleaners import current_infrastructure
 from chalkline.plans.star import Star
 from chalkline.plans.views import VIEWS
@@ -67,28 +68,23 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def open_star(spark: SparkSession, root: str) -> Star:
     """The star over written tables. The school count comes from the Parquet footers."""
-    school = read_table(spark, root, "dim_school")
+    def reader(name):
+        return lambda _: read_table(spark, root, name)
+
     return Star(
-        school=school,
-        attendance=read_table(spark, root, "fact_attendance"),
-        procurement=read_table(spark, root, "fact_mdm_procurement"),
-        infra_history=read_table(spark, root, "fact_infrastructure_history"),
-        infra_current=read_table(spark, root, "dim_infrastructure_current"),
-        scores=read_table(spark, root, "fact_test_scores"),
-        school_rows=school.count(),
+        {name: reader(name) for name in star_tables.TABLES},
+        lambda: read_table(spark, root, star_tables.SCHOOL).count(),
     )
 
 
 def write_star(star: Star, root: str, by_month: bool = False) -> None:
     """Writes all six tables. The snapshot is built from the written history, not a second time."""
-    spark = star.school.sparkSession
-    dated = {"fact_attendance", "fact_mdm_procurement", "fact_infrastructure_history",
-             "fact_test_scores"}
-    for name, df in star.tables().items():
-        if name != "dim_infrastructure_current":
-            write_table(df, root, name, by_month and name in dated)
-    history = read_table(spark, root, "fact_infrastructure_history").drop("date_month")
-    write_table(current_infrastructure(history), root, "dim_infrastructure_current")
+    for name in star_tables.TABLES:
+        if name == star_tables.INFRA_CURRENT:
+            history = read_table(star.school.sparkSession, root, star_tables.INFRA_HISTORY)
+            write_table(current_infrastructure(history.drop("date_month")), root, name)
+        else:
+            write_table(star.table(name), root, name, by_month and name != star_tables.SCHOOL)
 
 
 def register_views(star: Star) -> list[str]:

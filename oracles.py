@@ -373,8 +373,8 @@ _TABLES = {
         least(greatest(proxy_anomaly_rate, 0), 100) AS integrity_risk
       FROM risk_inputs""",
     "risk": """
-      SELECT *, round(attendance_risk * 0.30::DOUBLE + learning_risk * 0.25::DOUBLE + infrastructure_risk * 0.20::DOUBLE
-          + mdm_risk * 0.15::DOUBLE + integrity_risk * 0.10::DOUBLE, 2) AS welfare_risk_score,
+      SELECT *, round_even(round(attendance_risk * 0.30::DOUBLE + learning_risk * 0.25::DOUBLE + infrastructure_risk * 0.20::DOUBLE
+          + mdm_risk * 0.15::DOUBLE + integrity_risk * 0.10::DOUBLE, 9), 2) AS welfare_risk_score,
         CASE WHEN welfare_risk_score < 40 THEN 'Low Risk' WHEN welfare_risk_score < 70 THEN 'Moderate Risk'
           WHEN welfare_risk_score >= 70 THEN 'High Risk' ELSE 'Moderate Risk' END AS welfare_risk_category
       FROM risk_parts""",
