@@ -1,6 +1,6 @@
 """Dimension attributes for fact rows."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,30 +24,32 @@ def left_lookup(
     key: str,
     columns: Sequence[str],
     dim_rows: int | None = None,
+    keys: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """`fact` LEFT JOIN `dim` on `key`, where `dim` has one row per key.
 
     With `dim_rows`, an upper bound on the dimension's rows, of at most `BROADCAST_ROWS` the
     dimension is broadcast and the facts stay where they are. Otherwise the join shuffles, and
-    the heaviest keys are taken out of it (`spread_lookup`).
+    the heaviest keys are taken out of it (`spread_lookup`); `keys` may give a cheaper frame to
+    find them in.
     """
     if dim_rows is not None and dim_rows <= BROADCAST_ROWS:
         return fact.join(F.broadcast(dim.select(key, *columns)), key, "left")
-    return spread_lookup(fact, dim, key, columns)
+    heavy = heavy_keys(fact.select(key) if keys is None else keys(), key)
+    return spread_lookup(fact, dim, key, columns, heavy)
 
 
 def spread_lookup(
-    fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], top: int = HEAVY_KEYS
+    fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], heavy: DataFrame
 ) -> DataFrame:
     """A left lookup that no frequent key can slow down.
 
-    The `top` most frequent keys, found in a pass that reads the key column only, are looked up
-    in a broadcast of their dimension rows. In the shuffled join that serves all other keys, rows
-    that are already served, and rows without a key, get a join key made of a hash of the whole
-    row: it matches nothing and spreads them evenly. The choice of heavy keys affects only the
-    speed, never the result.
+    The `heavy` keys, at most `HEAVY_KEYS` rows from `heavy_keys`, are looked up in a broadcast of
+    their dimension rows. In the shuffled join that serves all other keys, rows that are already
+    served, and rows without a key, get a join key made of a hash of the whole row: it matches
+    nothing and spreads them evenly. The choice of heavy keys affects only the speed, never the
+    result.
     """
-    heavy = heavy_keys(fact.select(key), key, top)
     heavy_rows = heavy.join(dim.select(key, *columns), key, "left")
     near = F.broadcast(
         heavy_rows.select(F.col(key).alias("__near_key"), F.struct(*columns).alias("__near"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from chalkline.operators.lookup import left_lookup
 from chalkline.plans.cleaners import VALID
-from chalkline.plans.star import Star
+from chalkline.plans.star import ATTENDANCE, PROCUREMENT, SCORES, Star
 
 _PLACE = ["school_name", "district", "block"]
 
@@ -14,6 +14,13 @@ def _valid_rate():
     return F.when(F.col("data_quality_status") == VALID, F.col("attendance_rate"))
 
 
+def _with_school(star: Star, name: str, fact: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of the named fact with columns of their school."""
+    return left_lookup(
+        fact, star.school, "school_id", columns, star.school_rows, lambda: star.school_ids(name)
+    )
+
+
 def attendance_daily(star: Star) -> DataFrame:
     """Attendance records with their school."""
     fact = star.attendance.select(
@@ -21,7 +28,7 @@ def attendance_daily(star: Star) -> DataFrame:
         "total_students", "present_students", "attendance_rate", "teacher_present", "marked_by",
         "is_impossible_attendance", "is_proxy_attendance", "is_weekend", "data_quality_status",
     )
-    joined = left_lookup(fact, star.school, "school_id", [*_PLACE, "school_type"], star.school_rows)
+    joined = _with_school(star, ATTENDANCE, fact, [*_PLACE, "school_type"])
     return joined.select(
         "record_id", "school_id", *_PLACE, "school_type", *fact.columns[2:],
     )
@@ -62,7 +69,7 @@ def procurement_summary(star: Star) -> DataFrame:
         "grain_type", "quantity_kg", "total_cost", "cost_per_kg", "payment_status",
         "unit_inferred_flag",
     )
-    joined = left_lookup(fact, star.school, "school_id", _PLACE, star.school_rows)
+    joined = _with_school(star, PROCUREMENT, fact, _PLACE)
     return joined.select("procurement_id", "school_id", *_PLACE, *fact.columns[2:])
 
 
@@ -83,7 +90,7 @@ def test_summary(star: Star) -> DataFrame:
         "assessment_id", "school_id", F.col("date").alias("assessment_date"), "grade", "subject",
         "grading_scale_raw", "avg_score_raw", "score_percentage",
     )
-    joined = left_lookup(fact, star.school, "school_id", _PLACE, star.school_rows)
+    joined = _with_school(star, SCORES, fact, _PLACE)
     return joined.select("assessment_id", "school_id", *_PLACE, *fact.columns[2:])
 
 
