@@ -8,6 +8,7 @@ the source tables is used.
 import io
 import posixpath
 import zipfile
+from functools import lru_cache
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -198,9 +199,13 @@ RAW = {
 }
 
 
+@lru_cache(maxsize=8)
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star over the derived records. There is one school per customer at most, and the
-    customer count is read from the Parquet footer."""
+    """The star over the derived records; queries of a session share its plans, not its data.
+
+    There is one school per customer at most, and the customer count is read from the Parquet
+    footer.
+    """
     prefer_compiled_methods(spark)
     return star_from_raw(
         lambda name: RAW[name](spark, sf_dir), lambda: load(spark, sf_dir, "customer").count()

@@ -1,15 +1,15 @@
 """Dates written in many ways.
 
-A date text is read in steps, each a plain expression: the *form* says how the text is laid
-out, the *fields* are year, month and day as written, the *value* is the day they give and the *method* names
-the outcome. `with_date_lineage` in the operators keeps each step as a column, so that it is
-computed once; `parse_date` puts them into one expression.
+The *form* of a date text says how it is laid out, its *value* is the day that gives, and the
+*method* names the outcome. The value is a chain in which every step uses the one before it
+once: when a filter on a date is pushed below the projection that computes it, the expression
+moves with it, and must not multiply.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chalkline.functions.text import ascii_digits, column, lookup, stripped
+from chalkline.functions.text import ascii_digits, column, stripped
 
 # Outcome names (fixed values).
 MISSING = "MISSING"
@@ -24,7 +24,6 @@ _MONTHS = (
 )
 _SHORT = "|".join(m[:3] for m in _MONTHS)
 _LONG = "|".join(_MONTHS)
-_MONTH_NUMBERS = {m[:3]: str(n) for n, m in enumerate(_MONTHS, start=1)}
 
 _ISO_PATTERN = r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}$"
 _NUMERIC_PATTERN = r"^(?:\d{1,2}[-/]\d{1,2}[-/]|\d{1,2}\.\d{1,2}\.)\d{4}$"
@@ -32,31 +31,33 @@ _TEXT_PATTERN = rf"(?i)^\d{{1,2}}-(?:(?:{_SHORT})-(?:\d{{4}}|\d{{2}})|(?:{_LONG}
 _FIRST_ABOVE_12 = r"^(?:1[3-9]|[2-9]\d)\D"
 _SECOND_ABOVE_12 = r"^\d+\D(?:1[3-9]|[2-9]\d)\D"
 
-# Every layout that is read, and the order of year, month and day in it. The first that fits
-# applies. Those after the text months are the bounded list of other layouts, always flagged
-# ambiguous.
-_CLOCK = r"[T ](?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?"
+# Every layout that is read, in small letters, and the order of year, month and day in it. The
+# first that fits applies; of a month's name the first three letters are taken. Those after the
+# text months are the bounded list of other layouts, always flagged ambiguous.
+_YEAR = r"(?!0000)(\d{4})"
+_NAME = r"([a-z]{3})[a-z]*"
+_CLOCK = r"[t ](?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?:z|[+-]\d{2}:?\d{2})?"
 _LAYOUTS = (
-    (r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})", "ymd"),
-    (r"(1[3-9]|[2-9]\d)[-/](\d{1,2})[-/](\d{4})", "dmy"),
-    (r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})", "mdy"),
-    (r"(0?\d|1[0-2])\.(1[3-9]|[2-9]\d)\.(\d{4})", "mdy"),
-    (r"(\d{1,2})\.(\d{1,2})\.(\d{4})", "dmy"),
-    (rf"(\d{{1,2}})-({_SHORT})-(\d{{4}}|\d{{2}})", "dmy"),
-    (rf"(\d{{1,2}})-({_LONG})-(\d{{4}})", "dmy"),
-    (r"(\d{4})(\d{2})(\d{2})", "ymd"),
-    (rf"(\d{{4}})[-/](\d{{1,2}})[-/](\d{{1,2}}){_CLOCK}", "ymd"),
-    (rf"({_LONG}|{_SHORT}) (\d{{1,2}}),? (\d{{4}})", "mdy"),
-    (rf"(\d{{1,2}}) ({_LONG}|{_SHORT}),? (\d{{4}})", "dmy"),
+    (rf"{_YEAR}[-/](\d{{1,2}})[-/](\d{{1,2}})", "ymd"),
+    (rf"(1[3-9]|[2-9]\d)[-/](\d{{1,2}})[-/]{_YEAR}", "dmy"),
+    (rf"(\d{{1,2}})[-/](\d{{1,2}})[-/]{_YEAR}", "mdy"),
+    (rf"(0?\d|1[0-2])\.(1[3-9]|[2-9]\d)\.{_YEAR}", "mdy"),
+    (rf"(\d{{1,2}})\.(\d{{1,2}})\.{_YEAR}", "dmy"),
+    (rf"(\d{{1,2}})-({_SHORT})-((?!0000)\d{{4}}|\d{{2}})", "dmy"),
+    (rf"(\d{{1,2}})-(?=(?:{_LONG})-){_NAME}-{_YEAR}", "dmy"),
+    (rf"{_YEAR}(\d{{2}})(\d{{2}})", "ymd"),
+    (rf"{_YEAR}[-/](\d{{1,2}})[-/](\d{{1,2}}){_CLOCK}", "ymd"),
+    (rf"(?=(?:{_LONG}|{_SHORT}) ){_NAME} (\d{{1,2}}),? {_YEAR}", "mdy"),
+    (rf"(\d{{1,2}}) (?=(?:{_LONG}|{_SHORT}),? ){_NAME},? {_YEAR}", "dmy"),
     (r"(0?\d|1[0-2])[-/](\d{1,2})[-/](\d{2})", "mdy"),
     (r"(1[3-9]|[2-9]\d)[-/](\d{1,2})[-/](\d{2})", "dmy"),
 )
 
-# All layouts as one pattern, and the replacement that puts year, month and day in that order:
-# groups of layouts that did not match are empty.
-_ANY_LAYOUT = "(?i)^(?:" + "|".join(pattern for pattern, _ in _LAYOUTS) + ")$"
-_FIELD_MARK = "\x1f"
-_IN_ORDER = _FIELD_MARK.join(
+# All layouts as one pattern that fits any text, and the replacement that puts year, month and
+# day in that order: groups of layouts that did not match are empty, and so are all fields of a
+# text that has no layout.
+_ANY_TEXT = "(?s)^(?:" + "|".join(pattern for pattern, _ in _LAYOUTS) + "|.*)$"
+_IN_ORDER = "-".join(
     "".join(f"${3 * n + order.index(field) + 1}" for n, (_, order) in enumerate(_LAYOUTS))
     for field in "ymd"
 )
@@ -91,24 +92,14 @@ def date_form(text) -> Column:
     )
 
 
-def date_fields(text) -> Column:
-    """Year, month and day as written, in this order; one field when no layout fits."""
-    return F.split(F.regexp_replace(column(text), _ANY_LAYOUT, _IN_ORDER), _FIELD_MARK)
-
-
-def date_iso(fields) -> Column:
-    """`y-m-d` from the fields, NULL when there are not three of them."""
-    year, month, day = (F.get(column(fields), F.lit(i)) for i in range(3))
-    number = F.coalesce(lookup(F.lower(F.left(month, F.lit(3))), _MONTH_NUMBERS), month)
+def date_value(text) -> Column:
+    """The calendar day the text gives, NULL where it gives none. Years start at 1."""
+    day = F.regexp_replace(F.lower(column(text)), _ANY_TEXT, _IN_ORDER)
+    for number, month in enumerate(_MONTHS, start=1):
+        day = F.replace(day, F.lit(month[:3]), F.lit(str(number)))
     # Two-digit years run from 1969 to 2068.
-    century = F.when(F.length(year) == 4, F.lit("")).when(year >= "69", F.lit("19")).otherwise(F.lit("20"))
-    return F.concat(century, year, F.lit("-"), number, F.lit("-"), day)
-
-
-def date_value(iso) -> Column:
-    """The calendar day, NULL where there is none. Years start at 1."""
-    iso = column(iso)
-    return F.when(~iso.startswith("0000"), iso.try_cast("date"))
+    day = F.regexp_replace(day, r"^(69|[7-9]\d)-", "19$1-")
+    return F.regexp_replace(day, r"^(\d\d)-", "20$1-").try_cast("date")
 
 
 def date_outcome(form, value):
@@ -129,7 +120,7 @@ def parse_date(c) -> Column:
     """Struct (value, method, ambiguous, error) of a date text, as one expression."""
     text = date_text(c)
     form = date_form(text)
-    value = date_value(date_iso(date_fields(text)))
+    value = date_value(text)
     method, ambiguous, error = date_outcome(form, value)
     return F.struct(
         value.alias("value"), method.alias("method"), ambiguous.alias("ambiguous"),

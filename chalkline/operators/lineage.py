@@ -7,9 +7,7 @@ projection, so Spark computes each of them once per row; their names start with
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chalkline.functions.dates import (
-    date_fields, date_form, date_iso, date_outcome, date_text, date_value,
-)
+from chalkline.functions.dates import date_form, date_outcome, date_text, date_value
 from chalkline.functions.flags import parse_boolean
 from chalkline.functions.identifiers import id_digits, id_text, id_value
 
@@ -28,18 +26,16 @@ def with_id_lineage(df: DataFrame, name: str = "school_id") -> DataFrame:
 
 def with_date_lineage(df: DataFrame, name: str = "date") -> DataFrame:
     """`<name>` as a DATE, `_raw`, `_clean`, `_parse_method`, `_ambiguous_flag`, `_parse_error_flag`."""
-    text, form, fields = f"__{name}_text", f"__{name}_form", f"__{name}_fields"
+    text, form = f"__{name}_text", f"__{name}_form"
     df = df.withColumns({f"{name}_raw": F.col(name), text: date_text(name)})
-    df = df.withColumns({form: date_form(text), fields: date_fields(text)})
-    df = df.withColumn(name, date_iso(fields))
-    df = df.withColumn(name, date_value(name))
+    df = df.withColumns({form: date_form(text), name: date_value(text)})
     method, ambiguous, error = date_outcome(form, name)
     return df.withColumns({
         f"{name}_clean": F.col(name),
         f"{name}_parse_method": method,
         f"{name}_ambiguous_flag": ambiguous,
         f"{name}_parse_error_flag": error,
-    }).drop(text, form, fields)
+    }).drop(text, form)
 
 
 def with_boolean_lineage(df: DataFrame, *names: str) -> DataFrame:
