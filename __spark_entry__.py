@@ -32,6 +32,12 @@ from chalkline.sources import raw as raw_sources  # noqa: E402
 from chalkline.sources import tables  # noqa: E402
 from chalkline.sources.workbook import decode_workbooks  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from chalkline.llm import queries as text_queries
+except ImportError:
+    corpus_pipeline = text_queries = None
+
 DISTRICT = "Nation_3"
 SCHOOL_TYPE = "Machinery"
 DIGITS = 6
@@ -210,6 +216,20 @@ def _on_risk(build):
     return lambda spark, sf_dir: rounded(build(welfare_risk(derived.star(spark, sf_dir))))
 
 
+def _text_queries():
+    """The operators on training text and their pipeline, where that subpackage is installed."""
+    if text_queries is None:
+        return {}
+    return text_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def _text_twins():
+    if text_queries is None:
+        return {}
+    whole = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return text_queries.TWINS | whole
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or report; each runs over whole tables."""
     return {
@@ -283,12 +303,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "workbook_scan": workbook_scan,
         "risk_table_write": risk_table_write,
         "adhoc_sql": adhoc_sql,
+        **_text_queries(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The DuckDB twin of each registered query."""
-    return oracles.all_twins(DISTRICT, SCHOOL_TYPE, DIGITS)
+    return oracles.all_twins(DISTRICT, SCHOOL_TYPE, DIGITS) | _text_twins()
 
 
 def entry(spark: SparkSession) -> DataFrame:
