@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chalkline.llm import decontaminate, hash_ring, quality_rules, source_mix
+from chalkline.llm import byte_rnn, decontaminate, hash_ring, quality_rules, rule_ensemble, source_mix, toxicity_fm
 from chalkline.llm.twins import TWINS
 
 SHARDS = 40
@@ -13,6 +13,18 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_rule_ensemble(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    model = rule_ensemble.train(documents, _table(spark, sf_dir, "labels"))
+    return rule_ensemble.judged(rule_ensemble.score(documents, model))
+
+
+def op4_toxicity_fm(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity_fm.train(documents, _table(spark, sf_dir, "labels"))
+    return toxicity_fm.judged(toxicity_fm.score(documents, model))
+
+
 def op6_hash_ring(spark, sf_dir):
     placed = hash_ring.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -41,6 +53,11 @@ def op8_decontaminate(spark, sf_dir):
     ))
 
 
+def op9_byte_rnn(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    return byte_rnn.judged(byte_rnn.identify(documents, byte_rnn.train(documents)))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.quality_verdicts(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -49,8 +66,11 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_rule_ensemble": op3_rule_ensemble,
+    "op4_toxicity_fm": op4_toxicity_fm,
     "op6_hash_ring": op6_hash_ring,
     "op7_source_mix": op7_source_mix,
     "op8_decontaminate": op8_decontaminate,
+    "op9_byte_rnn": op9_byte_rnn,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -16,6 +16,8 @@ _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+PUNCTUATED = _SPACE.copy()
+PUNCTUATED[:48] = PUNCTUATED[58:65] = PUNCTUATED[91:97] = PUNCTUATED[123:128] = True
 _powers = {}
 
 
@@ -66,11 +68,11 @@ def _chunks(column):
         start += len(chunk)
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte of each word. Rows end words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~_SPACE[data]
+    inside = ~separators[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
