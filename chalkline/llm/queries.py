@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chalkline.llm import byte_rnn, decontaminate, hash_ring, quality_rules, rule_ensemble, source_mix, toxicity_fm
+from chalkline.llm import byte_rnn, decontaminate, hash_ring, ngram_join, quality_rules, rule_ensemble, source_mix, toxicity_fm
 from chalkline.llm.twins import TWINS
 
 SHARDS = 40
@@ -25,6 +25,11 @@ def op4_toxicity_fm(spark, sf_dir):
     return toxicity_fm.judged(toxicity_fm.score(documents, model))
 
 
+def op5_ngram_join(spark, sf_dir):
+    join = ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
+    return ngram_join.components_by_document(join).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_hash_ring(spark, sf_dir):
     placed = hash_ring.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -68,6 +73,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op3_rule_ensemble": op3_rule_ensemble,
     "op4_toxicity_fm": op4_toxicity_fm,
+    "op5_ngram_join": op5_ngram_join,
     "op6_hash_ring": op6_hash_ring,
     "op7_source_mix": op7_source_mix,
     "op8_decontaminate": op8_decontaminate,

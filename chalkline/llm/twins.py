@@ -27,6 +27,30 @@ FROM doc LEFT JOIN hit USING (row_no) LEFT JOIN named USING (row_no)
 """
 
 
+OP5 = r"""
+WITH RECURSIVE split AS (
+    SELECT row_number() OVER () AS row_no, doc_id,
+        regexp_extract_all(LOWERED, '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+shingle AS (
+    SELECT DISTINCT row_no, array_to_string(words[pos:pos + 4], ' ') AS shingle FROM (
+        SELECT row_no, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS pos FROM split WHERE len(words) > 0)),
+sized AS (SELECT row_no, count(*) AS n FROM shingle GROUP BY row_no),
+common AS (
+    SELECT x.row_no AS a, y.row_no AS b, count(*) AS n FROM shingle x JOIN shingle y USING (shingle)
+    WHERE x.row_no <> y.row_no GROUP BY ALL),
+link AS (
+    SELECT a, b FROM common JOIN sized x ON x.row_no = a JOIN sized y ON y.row_no = b
+    WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)),
+reach(a, b) AS (
+    SELECT row_no, row_no FROM split
+    UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT split.doc_id, coalesce(any_value(sized.n), 0) AS n_shingles, min(other.doc_id) AS component_id
+FROM split LEFT JOIN sized USING (row_no) JOIN reach ON reach.a = split.row_no JOIN split AS other ON other.row_no = reach.b
+GROUP BY split.row_no, split.doc_id
+""".replace("LOWERED", _LOWERED)
+
+
 def _quality_twin():
     from chalkline.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, SYMBOLS, THRESHOLDS
     from chalkline.llm.text_stats import STOP_WORDS
@@ -62,4 +86,4 @@ def _quality_twin():
     """
 
 
-TWINS = {"op8_decontaminate": OP8, "op10_quality_rules": _quality_twin()}
+TWINS = {"op5_ngram_join": OP5, "op8_decontaminate": OP8, "op10_quality_rules": _quality_twin()}
