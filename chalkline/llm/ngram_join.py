@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chalkline.llm.components import connected_components
+from chalkline.llm.packed import bucket_cuts, by_key, grouped
 from chalkline.llm.words import hashed_words, mixed, slices
 from chalkline.sources.tables import scratch_path
 
@@ -93,15 +94,6 @@ def _packed(*arrays):
     )
 
 
-def _bucket_of(hashes, buckets):
-    return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-
-
-def _bucket_cuts(hashes, buckets):
-    """Where the buckets of sorted hashes begin."""
-    return np.searchsorted(_bucket_of(hashes, buckets), np.arange(buckets + 1, dtype=np.uint64))
-
-
 PACKED = "bucket long, kind int, x binary, y binary"
 _POSTINGS, _CREDITS = 0, 1
 
@@ -121,7 +113,7 @@ def _prefix_postings(n_words, percent, buckets):
         # Of a shingle met in several sets one row goes out, without an owner.
         sent = ~same[:-1]
         hashes, owners = hashes[sent], np.where(many, len(sets), owners)[sent].astype(np.uint16)
-        cuts = _bucket_cuts(hashes, buckets)
+        cuts = bucket_cuts(hashes, buckets)
         known = np.append(signatures, 0)
         for bucket in range(buckets):
             a, b = cuts[bucket], cuts[bucket + 1]
@@ -152,23 +144,9 @@ def _prefix_postings(n_words, percent, buckets):
     return run
 
 
-def _by_bucket(batches, key=0):
-    """(key, rows of all batches with that key) where rows come sorted by key."""
-    current, rows = None, []
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if row[key] != current and rows:
-                yield current, rows
-                rows = []
-            current = row[key]
-            rows.append(row)
-    if rows:
-        yield current, rows
-
-
 def _shared_counts(batches):
     """(sig, shared): how many of a set's sent shingles another set has, by bucket."""
-    for _, rows in _by_bucket(batches):
+    for _, rows in by_key(batches):
         found_sigs, found_counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         hashes, owners = [], []
         for _, kind, x, y in rows:
@@ -210,10 +188,10 @@ def _set_rows(n_words, chunks):
 def _chunk_frequencies(buckets):
     """The distinct shingles of each chunk of sets with their counts, by bucket."""
     def run(batches):
-        for chunk, rows in _by_bucket(batches):
+        for chunk, rows in by_key(batches):
             once = {row[1]: row[2] for row in rows}
             hashes, counts = np.unique(np.concatenate([np.frombuffer(s, dtype=np.uint64) for s in once.values()]), return_counts=True)
-            cuts = _bucket_cuts(hashes, buckets)
+            cuts = bucket_cuts(hashes, buckets)
             sent = []
             for bucket in range(buckets):
                 a, b = cuts[bucket], cuts[bucket + 1]
@@ -226,7 +204,7 @@ def _chunk_frequencies(buckets):
 
 def _total_frequencies(batches):
     """For each chunk the shingles that more than one set holds, with their document frequency."""
-    for _, rows in _by_bucket(batches):
+    for _, rows in by_key(batches):
         parts = [np.frombuffer(row[2], dtype=np.uint64) for row in rows]
         hashes, index = np.unique(np.concatenate(parts), return_inverse=True)
         totals = np.bincount(index, weights=np.concatenate([np.frombuffer(row[3], dtype=np.uint32) for row in rows]).astype(float))
@@ -254,7 +232,7 @@ def choose_matches(frequencies: np.ndarray, n: int, percent: int, most: int = MO
 def _adaptive_postings(percent):
     """Prefix postings of every set: rows of kind 0 bring a chunk's frequencies, rows of kind 1 its sets."""
     def run(batches):
-        for _, rows in _by_bucket(batches):
+        for _, rows in by_key(batches):
             known = [(np.frombuffer(r[3], dtype=np.uint64), np.frombuffer(r[4], dtype=np.int64)) for r in rows if r[1] == 0]
             hashes = np.concatenate([h for h, _ in known] or [np.zeros(0, np.uint64)])
             totals = np.concatenate([d for _, d in known] or [np.zeros(0, np.int64)])
@@ -352,7 +330,7 @@ def ngram_join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = max(16, total // (3 * BUCKET_SHINGLES))
 
     postings = own.select("text").mapInArrow(_prefix_postings(n_words, percent, buckets), PACKED)
-    shared = _grouped(postings, "bucket").mapInArrow(_shared_counts, "sig long, shared long").groupBy("sig").agg(F.sum("shared").alias("shared"))
+    shared = grouped(postings, "bucket").mapInArrow(_shared_counts, "sig long, shared long").groupBy("sig").agg(F.sum("shared").alias("shared"))
     least = F.ceil(F.lit(percent) * F.col("n") / 100)
     staying = written(classes.join(shared, "sig").where(F.col("shared") >= 1 + F.floor(least / 10)).select("sig", "doc_id", "n"), "staying")
 
@@ -362,11 +340,11 @@ def ngram_join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = own.join(ids.hint("merge"), own.doc_id.eqNullSafe(ids.kept_id), "left_semi").select("text")
     sets = written(texts.mapInArrow(_set_rows(n_words, chunks), "chunk long, sig long, n long, shingles binary"), "sets")
 
-    counts = _grouped(sets.select("chunk", "sig", "shingles"), "chunk").mapInArrow(_chunk_frequencies(buckets), PACKED)
-    totals = _grouped(counts, "bucket").mapInArrow(_total_frequencies, PACKED)
+    counts = grouped(sets.select("chunk", "sig", "shingles"), "chunk").mapInArrow(_chunk_frequencies(buckets), PACKED)
+    totals = grouped(counts, "bucket").mapInArrow(_total_frequencies, PACKED)
     brought = totals.select(F.col("bucket").alias("chunk"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("sig"), "x", "y")
     packed = sets.select("chunk", F.lit(1).alias("kind"), "sig", F.col("shingles").alias("x"), F.lit(None).cast("binary").alias("y"))
-    prefixes = written(_grouped(brought.unionByName(packed), "chunk").mapInArrow(_adaptive_postings(percent), POSTING), "prefixes")
+    prefixes = written(grouped(brought.unionByName(packed), "chunk").mapInArrow(_adaptive_postings(percent), POSTING), "prefixes")
 
     first = written(verified(_hub_pairs(prefixes, percent), sets, percent), "links-hub")
     near = connected_components(first.select("a", "b"))
@@ -375,10 +353,6 @@ def ngram_join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return Join(rows, links, near if across.isEmpty() else connected_components(links.select("a", "b")))
 
 
-def _grouped(df, key):
-    return df.repartition(F.col(key)).sortWithinPartitions(key)
-
-
 def _hub_pairs(prefixes, percent):
     """For each class the two central classes with which it has most postings in common."""
     hubs = prefixes.groupBy("shingle").agg(F.max(F.struct("weight", "sig", "n", "place", "matches")).alias("hub"))

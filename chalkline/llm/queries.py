@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chalkline.llm import byte_rnn, decontaminate, hash_ring, ngram_join, quality_rules, rule_ensemble, source_mix, toxicity_fm
+from chalkline.llm import byte_rnn, decontaminate, hash_ring, katz, ngram_join, quality_rules, rule_ensemble, source_mix, toxicity_fm
 from chalkline.llm.twins import TWINS
 
 SHARDS = 40
@@ -13,6 +13,10 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_katz(spark, sf_dir):
+    return katz.held_out_scores(_table(spark, sf_dir, "documents"))
+
+
 def op3_rule_ensemble(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     model = rule_ensemble.train(documents, _table(spark, sf_dir, "labels"))
@@ -71,6 +75,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_katz": op1_katz,
     "op3_rule_ensemble": op3_rule_ensemble,
     "op4_toxicity_fm": op4_toxicity_fm,
     "op5_ngram_join": op5_ngram_join,

@@ -104,3 +104,10 @@ def hash_text(text: str) -> int:
     """The hash of one word, as `hashed_words` gives it."""
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     return int(Hasher(data)(np.array([0]), np.array([len(data)]))[0])
+
+
+def unmixed(x: np.ndarray) -> np.ndarray:
+    """The inverse of `mixed`."""
+    x = (x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))) * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = (x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))) * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
