@@ -79,8 +79,8 @@ def _signed_rows(n_words):
         for batch in batches:
             sets = list(column_sets(batch.column(1), n_words))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.int64()),
-            ], names=["doc_id", "n_shingles", "sig"])
+                batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.int64()),
+            ], names=["doc_id", "text_hash", "n_shingles", "sig"])
 
     return run
 
@@ -303,7 +303,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 class Join:
-    """The tables of one join: `rows` (doc_id, n_shingles, sig), `links` (a, b, common, either), `labels` (id, label)."""
+    """The tables of one join: `rows` (doc_id, text_hash, n_shingles, sig), `links` (a, b, common, either), `labels` (id, label)."""
 
     def __init__(self, rows, links, labels):
         self.rows, self.links, self.labels = rows, links, labels
@@ -324,7 +324,8 @@ def ngram_join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return spark.read.parquet(f"{root}/{name}")
 
     own = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = written(own.mapInArrow(_signed_rows(n_words), "doc_id long, n_shingles long, sig long"), "rows")
+    hashed = own.withColumn("text_hash", F.xxhash64("text"))
+    rows = written(hashed.mapInArrow(_signed_rows(n_words), "doc_id long, text_hash long, n_shingles long, sig long"), "rows")
     classes = rows.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"))
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(16, total // (3 * BUCKET_SHINGLES))
@@ -399,10 +400,40 @@ def components_by_document(join: Join) -> DataFrame:
     `component_id` is the smallest doc_id reachable by links, `component` its signature label. A row without
     shingles is a component of its own.
     """
-    labelled = join.rows.join(join.labels.select(F.col("id").alias("sig"), "label"), "sig", "left")
-    labelled = labelled.withColumn("component", F.coalesce("label", "sig")).drop("label")
+    labelled = _labelled(join)
     smallest = labelled.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least_id"))
     return labelled.join(smallest, "component", "left").select(
         "doc_id", "n_shingles", "sig", "component",
         F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def _labelled(join: Join) -> DataFrame:
+    rows = join.rows.join(join.labels.select(F.col("id").alias("sig"), "label"), "sig", "left")
+    return rows.withColumn("component", F.coalesce("label", "sig")).drop("label")
+
+
+def drop_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of `documents`, with their columns, less all but one of each component.
+
+    The row with the smallest id stays (NULL ids come last; of several texts under that id, the one with the
+    smallest hash). Rows without shingles all stay. A row that repeats another in id and text counts as its copy.
+    """
+    join = ngram_join(documents, doc_id, text, percent=percent)
+    rows = _labelled(join).where("n_shingles > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    first = rows.groupBy("component").agg(F.min(order).alias("kept")).select("component", "kept.doc_id", "kept.text_hash")
+    kept = first.select(F.col("component").alias("k_component"), F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("text_hash") == F.col("k_hash"))
+    gone = rows.join(kept, (F.col("component") == F.col("k_component")) & same, "left_anti")
+    gone = gone.select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash")).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    hashed = documents.select(F.col(f"`{doc_id}`").cast("long").alias("own_id"), F.xxhash64(F.col(f"`{text}`")).alias("own_hash"), row)
+    match = F.col("own_id").eqNullSafe(F.col("g_id")) & (F.col("own_hash") == F.col("g_hash"))
+    left = hashed.join(gone.hint("merge"), match, "left_anti")
+    repeats = rows.groupBy("doc_id", "text_hash").count().where("count > 1")
+    if repeats.isEmpty():
+        return left.select("row.*")
+    wordless = ~F.coalesce(F.col(f"row.`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    once = left.where(~wordless).dropDuplicates(["own_id", "own_hash"])
+    return left.where(wordless).unionByName(once).select("row.*")

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chalkline.llm import byte_rnn, decontaminate, hash_ring, katz, ngram_join, quality_rules, rule_ensemble, source_mix, toxicity_fm
+from chalkline.llm import byte_rnn, decontaminate, hash_ring, katz, ngram_join, quality_rules, rule_ensemble, source_mix, token_rollup, toxicity_fm
 from chalkline.llm.twins import TWINS
+from chalkline.sources.tables import scratch_path
 
 SHARDS = 40
 
@@ -17,6 +18,24 @@ def op1_katz(spark, sf_dir):
     return katz.held_out_scores(_table(spark, sf_dir, "documents"))
 
 
+def op2_token_rollup(spark, sf_dir):
+    """All documents are counted by one tokenizer; some are then deleted, others revised (digits removed), which is
+    sent twice; the rest are counted by a second tokenizer version. The result is the rollup."""
+    ledger = token_rollup.Ledger(spark, scratch_path(spark, "token-counts"))
+    documents = _table(spark, sf_dir, "documents")
+    digit = F.pmod("doc_id", F.lit(10))
+    gone, revised = F.coalesce(digit == 3, F.lit(False)), F.coalesce(digit == 7, F.lit(False))
+    first = token_rollup.word_counts(documents, "words-1")
+    scrubbed = documents.where(revised).withColumn("text", F.regexp_replace("text", "[0-9]+", ""))
+    second = token_rollup.word_counts(scrubbed, "words-1", "revise").unionByName(
+        token_rollup.word_counts(documents.where(gone), "words-1", "delete")
+    )
+    third = token_rollup.word_counts(documents.where(~gone), "words-2")
+    for batch, changes in (("1", first), ("2", second), ("2", second), ("3", third)):
+        ledger.apply(batch, changes)
+    return ledger.totals()
+
+
 def op3_rule_ensemble(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     model = rule_ensemble.train(documents, _table(spark, sf_dir, "labels"))
@@ -44,13 +63,13 @@ def op6_hash_ring(spark, sf_dir):
 
 def op7_source_mix(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
-    mixed, sizes, targets = source_mix.mix_documents(documents)
+    mix = source_mix.plan_mix(documents)
     schema = T.StructType([
         T.StructField("source", T.StringType()), T.StructField("source_size", T.LongType()),
         T.StructField("target", T.DoubleType()),
     ])
-    known = spark.createDataFrame([(name, sizes[name], targets[name]) for name in sizes], schema)
-    rows = mixed.withColumn("own", F.col("members")[0])
+    known = spark.createDataFrame([(name, mix.sizes[name], mix.targets[name]) for name in mix.sizes], schema)
+    rows = source_mix.mixed_rows(mix).withColumn("own", F.col("members")[0])
     return rows.join(F.broadcast(known), rows.own.eqNullSafe(known.source)).select(
         "doc_id", "size", "source_size", "target", "taken", "copies"
     )
@@ -76,6 +95,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_katz": op1_katz,
+    "op2_token_rollup": op2_token_rollup,
     "op3_rule_ensemble": op3_rule_ensemble,
     "op4_toxicity_fm": op4_toxicity_fm,
     "op5_ngram_join": op5_ngram_join,

@@ -105,16 +105,34 @@ def sized_rows(documents: DataFrame, sources: Column, doc_id: str = "doc_id", te
     return rows.withColumns({"pattern": F.to_json("members"), "cell": F.pmod("pick", F.lit(CELLS)).cast("int")})
 
 
-def mix_documents(
+class Mix:
+    """A decided mix: the sources' `sizes` and `targets`, and `plan`, one (pattern, whole, last_cell, last_pick) per pattern.
+
+    A row takes part `whole` times, and once more when it comes before the end of the seeded order's last copy.
+    """
+
+    def __init__(self, rows, sizes, targets, plan):
+        self.rows, self.sizes, self.targets, self.plan = rows, sizes, targets, plan
+
+    def with_copies(self, rows: DataFrame) -> DataFrame:
+        """Adds `copies` to rows that have pattern, pick and cell. The plan has a row per combination of sources in use."""
+        schema = "pattern string, whole int, last_cell int, last_pick long"
+        table = rows.sparkSession.createDataFrame(self.plan, schema)
+        inside = (F.col("cell") < F.col("last_cell")) | ((F.col("cell") == F.col("last_cell")) & (F.col("pick") <= F.col("last_pick")))
+        copies = (F.col("whole") + F.coalesce(inside, F.lit(False)).cast("int")).cast("long")
+        return rows.join(F.broadcast(table), "pattern").withColumn("copies", copies).drop("whole", "last_cell", "last_pick")
+
+
+def plan_mix(
     documents: DataFrame, sources: Column | None = None, doc_id: str = "doc_id", text: str = "text",
     weights=WEIGHTS, seed: int = SEED,
-) -> tuple[DataFrame, dict, dict]:
-    """(doc_id, members, size, copies, taken) for every row, the sources' sizes, and their targets.
+) -> Mix:
+    """Decides the mix of all rows.
 
     `sources` is an array column of the sources a row belongs to (default: its `source` alone; NULL is a source of
-    its own, last in order). Rows that repeat are rows of their own; rows equal in id and text are
-    exchangeable, so reruns give the same rows. Rows without a source or without words are not taken, nor anything
-    of an empty table. Extra columns are not read.
+    its own, last in order). Rows that repeat are rows of their own; rows equal in id and text are taken
+    together, so reruns agree. Rows without a source or without words are not taken, nor anything of an empty
+    table. Extra columns are not read.
     """
     spark = documents.sparkSession
     members = F.array(F.col("source")) if sources is None else sources
@@ -132,11 +150,12 @@ def mix_documents(
         for name in members_of[key]:
             sizes[name] = sizes.get(name, 0) + words
     targets = target_words(sizes, weights)
-    taken_words = {}
+    taken = {}
     for (key, _), flow in route(pattern_words, members_of, targets).items():
-        taken_words[key] = taken_words.get(key, 0) + flow
-    plan = [(key, *_copies(taken_words.get(key, 0), pattern_words[key], by_cell[key])) for key in pattern_words]
-    return _taken(rows, plan), sizes, targets
+        taken[key] = taken.get(key, 0) + flow
+    ends = {key: _copies(taken.get(key, 0), pattern_words[key], by_cell[key]) for key in pattern_words}
+    last = _last_picks(rows, [(key, cell, wanted) for key, (_, cell, wanted) in ends.items()])
+    return Mix(rows, sizes, targets, [(key, whole, cell, last.get(key)) for key, (whole, cell, _) in ends.items()])
 
 
 def _copies(taken: int, words: int, by_cell: dict) -> tuple[int, int, int]:
@@ -151,16 +170,29 @@ def _copies(taken: int, words: int, by_cell: dict) -> tuple[int, int, int]:
     return whole, -1, 0
 
 
-def _taken(rows: DataFrame, plan: list[tuple]) -> DataFrame:
-    """One row per membership pattern is broadcast: their number is that of the sources' combinations in use."""
-    table = rows.sparkSession.createDataFrame(plan, "pattern string, whole int, last_cell int, wanted long")
-    known = rows.join(F.broadcast(table), "pattern")
-    ended = F.col("cell") == F.col("last_cell")
-    plain = known.where(~ended).withColumn("extra", F.col("cell") < F.col("last_cell"))
-    order = Window.partitionBy("pattern").orderBy("pick", "doc_id", "size")
-    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    last = known.where(ended).withColumn("extra", 2 * before + F.col("size") <= 2 * F.col("wanted"))
-    copies = (F.col("whole") + F.col("extra").cast("int")).cast("long")
-    return plain.unionByName(last).select(
-        "doc_id", "members", "size", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+def _last_picks(rows: DataFrame, ends: list[tuple]) -> dict:
+    """For each pattern the last pick of its last cell that is taken: the words up to there are nearest to those wanted."""
+    table = rows.sparkSession.createDataFrame(ends, "pattern string, cell int, wanted long")
+    inside = rows.join(F.broadcast(table), ["pattern", "cell"]).groupBy("pattern", "wanted", "pick").agg(F.sum("size").alias("size"))
+    order = Window.partitionBy("pattern").orderBy("pick").rowsBetween(Window.unboundedPreceding, 0)
+    near = inside.withColumn("upto", F.sum("size").over(order)).where("2 * upto - size <= 2 * wanted")
+    return {r["pattern"]: r["pick"] for r in near.groupBy("pattern").agg(F.max("pick").alias("pick")).collect()}
+
+
+def mixed_rows(mix: Mix) -> DataFrame:
+    """(doc_id, members, size, copies, taken) for every row that was mixed."""
+    return mix.with_copies(mix.rows).select(
+        "doc_id", "members", "size", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def apply_mix(documents: DataFrame, mix: Mix, doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
+    """The rows of `documents`, with their columns, as often as the mix takes them. Nothing is shuffled."""
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    picked = documents.select(
+        row.alias("row"), F.to_json(F.array("source")).alias("pattern"),
+        F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.crc32(body.cast("binary"))).alias("pick"),
+    ).withColumn("cell", F.pmod("pick", F.lit(CELLS)).cast("int"))
+    counted = mix.with_copies(picked).where("copies > 0")
+    return counted.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")

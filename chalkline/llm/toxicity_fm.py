@@ -17,7 +17,7 @@ from chalkline.llm.sampling import held_out, labelled_ids, labelled_texts
 from chalkline.llm.words import PUNCTUATED, Hasher, slices, word_bounds
 
 FOLDS = 5
-SAMPLE = 12_000
+SAMPLE = 8_000
 TERMS = 2048
 RANK = 4
 MIN_DOCUMENTS = 5

@@ -27,6 +27,17 @@ FROM doc LEFT JOIN hit USING (row_no) LEFT JOIN named USING (row_no)
 """
 
 
+OP2 = r"""
+WITH counted AS (
+    SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(CASE WHEN doc_id % 10 = 7
+        THEN regexp_replace(coalesce(text, ''), '[0-9]+', '', 'g') ELSE coalesce(text, '') END, '[^\x20\x09-\x0D]+')) AS n
+    FROM documents WHERE coalesce(doc_id % 10 <> 3, true)
+    UNION ALL
+    SELECT source, lang, 'words-2', len(regexp_extract_all(coalesce(text, ''), '[^\x09-\x0D\x20-\x2F\x3A-\x40]+'))
+    FROM documents WHERE coalesce(doc_id % 10 <> 3, true))
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM counted GROUP BY ALL
+"""
+
 OP5 = r"""
 WITH RECURSIVE split AS (
     SELECT row_number() OVER () AS row_no, doc_id,
@@ -86,4 +97,4 @@ def _quality_twin():
     """
 
 
-TWINS = {"op5_ngram_join": OP5, "op8_decontaminate": OP8, "op10_quality_rules": _quality_twin()}
+TWINS = {"op2_token_rollup": OP2, "op5_ngram_join": OP5, "op8_decontaminate": OP8, "op10_quality_rules": _quality_twin()}

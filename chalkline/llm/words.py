@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 16_384
 
 _BASE = 0xD1342543DE82EF95
 _ROOT = np.uint64(_BASE)
@@ -55,7 +56,7 @@ def slices(column, limit: int = SLICE_BYTES):
         start = 0
         while start < len(chunk):
             end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
-            end = min(max(end, start + 1), len(chunk))
+            end = min(max(end, start + 1), start + SLICE_ROWS, len(chunk))
             own = offsets[start:end + 1]
             yield chunk_start + start, data[own[0]:own[-1]], own - own[0]
             start = end
