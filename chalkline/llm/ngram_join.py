@@ -31,6 +31,7 @@ from chalkline.sources.tables import scratch_path
 WORDS = 5
 PERCENT = 80
 MOST_MATCHES = 8
+BITMAP_WORDS = 32
 BUCKET_SHINGLES = 1_000_000
 FLUSH_SHINGLES = 1_500_000
 FLUSH_DOCUMENTS = 60_000
@@ -217,7 +218,7 @@ def _total_frequencies(batches):
         yield _packed(*sent)
 
 
-POSTING = "shingle long, sig long, n int, place int, matches int, weight long"
+POSTING = "shingle long, sig long, n int, alone int, place int, matches int, weight long"
 
 
 def choose_matches(frequencies: np.ndarray, n: int, percent: int, most: int = MOST_MATCHES) -> int:
@@ -238,7 +239,7 @@ def _adaptive_postings(percent):
             totals = np.concatenate([d for _, d in known] or [np.zeros(0, np.int64)])
             order = np.argsort(hashes, kind="stable")
             hashes, totals = hashes[order], totals[order]
-            columns = [[], [], [], [], [], []]
+            columns = [[] for _ in range(7)]
             done = set()
             for _, kind, sig, x, _ in rows:
                 if kind == 0 or sig in done:
@@ -258,13 +259,13 @@ def _adaptive_postings(percent):
                 if first < end:
                     size = end - first
                     for column, values in zip(columns, (
-                        own[first:end].view(np.int64), np.full(size, sig), np.full(size, n, np.int32),
+                        own[first:end].view(np.int64), np.full(size, sig), np.full(size, n, np.int32), np.full(size, first, np.int32),
                         np.arange(first + 1, end + 1, dtype=np.int32), np.full(size, matches, np.int32), np.full(size, df.sum()),
                     )):
                         column.append(values)
             if columns[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in columns], names=["shingle", "sig", "n", "place", "matches", "weight"]
+                    [pa.array(np.concatenate(c)) for c in columns], names=["shingle", "sig", "n", "alone", "place", "matches", "weight"]
                 )
 
     return run
@@ -276,9 +277,14 @@ def _overlap_needed(a, b, percent):
 
 
 def _near_enough(percent):
-    """Both entries lie in the prefixes that the two sizes leave: a condition on columns of x and y."""
+    """A condition on columns of x and y: either set has enough shingles that any other set holds (not `alone`), and
+    both entries lie in the prefixes that the two sizes leave."""
     need = _overlap_needed(F.col("x.n"), F.col("y.n"), percent)
-    return (F.col("x.place") <= F.col("x.n") - need + F.col("x.matches")) & (F.col("y.place") <= F.col("y.n") - need + F.col("y.matches"))
+    near = F.lit(True)
+    for side in "xy":
+        n, place, matches, alone = (F.col(f"{side}.{name}") for name in ("n", "place", "matches", "alone"))
+        near &= (n - alone >= need) & (place <= n - need + matches)
+    return near
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -349,14 +355,14 @@ def ngram_join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     first = written(verified(_hub_pairs(prefixes, percent), sets, percent), "links-hub")
     near = connected_components(first.select("a", "b"))
-    across = written(verified(_cross_pairs(prefixes, near, percent), sets, percent), "links-cross")
+    across = written(verified(_cross_pairs(prefixes, near, sets, percent), sets, percent), "links-cross")
     links = first.unionByName(across)
     return Join(rows, links, near if across.isEmpty() else connected_components(links.select("a", "b")))
 
 
 def _hub_pairs(prefixes, percent):
     """For each class the two central classes with which it has most postings in common."""
-    hubs = prefixes.groupBy("shingle").agg(F.max(F.struct("weight", "sig", "n", "place", "matches")).alias("hub"))
+    hubs = prefixes.groupBy("shingle").agg(F.max(F.struct("weight", "sig", "n", "alone", "place", "matches")).alias("hub"))
     joined = prefixes.alias("x").join(hubs.selectExpr("shingle", "hub.*").alias("y"), "shingle")
     near = joined.where((F.col("x.sig") != F.col("y.sig")) & _near_enough(percent))
     counted = near.groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).agg(F.count("*").alias("common"), F.max("y.weight").alias("weight"))
@@ -368,20 +374,44 @@ def _hub_pairs(prefixes, percent):
     ).distinct()
 
 
-def _cross_pairs(prefixes, labels, percent):
+def _bitmaps(batches):
+    """Each set's shingles as a bitmap of their first bits."""
+    for batch in batches:
+        maps = []
+        for own in batch.column(1).to_pylist():
+            places = np.frombuffer(own, dtype=np.uint64) >> np.uint64(64 - (BITMAP_WORDS * 64).bit_length() + 1)
+            words = np.zeros(BITMAP_WORDS, dtype=np.uint64)
+            np.bitwise_or.at(words, (places >> np.uint64(6)).astype(np.int64), np.uint64(1) << (places & np.uint64(63)))
+            maps.append(words.view(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.list_(pa.int64()))], names=["sig", "bits"])
+
+
+def _missing(one, other):
+    """At least so many of one's shingles are not in the other: bits of its map that the other's lacks."""
+    lacking = F.zip_with(one, other, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+    return F.aggregate(lacking, F.lit(0), lambda total, n: total + n)
+
+
+def _cross_pairs(prefixes, labels, sets, percent):
     """Pairs of different components with enough common prefix shingles.
 
-    Within a posting the largest component by weight is never paired with itself: only rows outside it look
-    for partners.
+    Within a posting the main component (of the most central class) is never paired with itself: only rows outside
+    it look for partners. Near copies that were not linked to the centre meet very many rows of the
+    main component; most of these are ruled out when they meet, by bitmaps that show too many missing shingles.
     """
     own = prefixes.join(labels.select(F.col("id").alias("sig"), "label"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     mixed_lists = own.groupBy("shingle").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("weight", "sig", "label")).alias("hub")
     ).where("low <> high").select("shingle", F.col("hub.label").alias("main"))
     rows = own.join(mixed_lists, "shingle")
+    bits = sets.select("sig", "shingles").mapInArrow(_bitmaps, "sig long, bits array<long>").dropDuplicates(["sig"])
+    rows = rows.join(bits, "sig")
     x, y = rows.where("label <> main").alias("x"), rows.alias("y")
     once = (F.col("y.label") == F.col("y.main")) | (F.col("x.sig") < F.col("y.sig"))
-    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & once & _near_enough(percent))
+    need = _overlap_needed(F.col("x.n"), F.col("y.n"), percent)
+    likely = (_missing(F.col("x.bits"), F.col("y.bits")) <= F.col("x.n") - need) & (_missing(F.col("y.bits"), F.col("x.bits")) <= F.col("y.n") - need)
+    apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label"))
+    met = x.join(y, apart & once & _near_enough(percent) & likely)
     low = F.col("x.sig") < F.col("y.sig")
 
     def side(wanted, name):
