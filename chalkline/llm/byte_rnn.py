@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chalkline.llm.packed import small_batches
 from chalkline.llm.sampling import held_out
 from chalkline.llm.words import slices
 
@@ -234,7 +235,7 @@ def identify(documents: DataFrame, network: Network, doc_id: str = "doc_id", tex
     A NULL, empty or letterless text is `und` with score 0, and so is every text if no language was learned. Equal
     probabilities go to the first language by name. Ids may be NULL or repeat; other columns are not read.
     """
-    source = documents.sparkSession.sparkContext.broadcast((network.languages, network.weights))
+    source = small_batches(documents.sparkSession).sparkContext.broadcast((network.languages, network.weights))
 
     def run(batches):
         network = Network(*source.value)

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chalkline.llm.packed import small_batches
+
 WINDOW = 10
 PATTERN_BYTES = 32 << 20
 
@@ -130,7 +132,7 @@ def find_contamination(
     is scanned; where there are several, their results are joined by a row number that the texts'
     own hash and id make reproducible.
     """
-    spark = documents.sparkSession
+    spark = small_batches(documents.sparkSession)
     windows = item_windows(benchmark, window=window)
     total = windows.select(F.sum(F.octet_length("pattern") + 64)).first()[0] or 0
     blocks = -(-total // pattern_bytes) or 1
@@ -178,7 +180,7 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, doc_id: str =
 
 
 def _clean_rows(documents, benchmark, text):
-    spark = documents.sparkSession
+    spark = small_batches(documents.sparkSession)
     windows = item_windows(benchmark)
     total = windows.select(F.sum(F.octet_length("pattern") + 64)).first()[0] or 0
     blocks = -(-total // PATTERN_BYTES) or 1

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chalkline.llm.components import connected_components
-from chalkline.llm.packed import bucket_cuts, by_key, grouped
+from chalkline.llm.packed import bucket_cuts, by_key, grouped, small_batches
 from chalkline.llm.words import hashed_words, mixed, slices
 from chalkline.sources.tables import scratch_path
 
@@ -32,8 +32,8 @@ WORDS = 5
 PERCENT = 80
 MOST_MATCHES = 8
 BITMAP_WORDS = 32
-BUCKET_SHINGLES = 1_000_000
-FLUSH_SHINGLES = 1_500_000
+BUCKET_SHINGLES = 700_000
+FLUSH_SHINGLES = 600_000
 FLUSH_DOCUMENTS = 60_000
 
 _SALTS = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -322,7 +322,7 @@ def ngram_join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     signature. NULL and empty texts have no shingles and no links. Ids may be NULL or repeat, also with different
     texts; other columns are not read. Empty tables give empty ones.
     """
-    spark = documents.sparkSession
+    spark = small_batches(documents.sparkSession)
     root = scratch_path(spark, "ngram-join")
 
     def written(df, name):

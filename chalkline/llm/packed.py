@@ -1,10 +1,24 @@
 """Arrays of 64-bit hashes that travel in rows: one row holds a task's hashes of one range (a bucket)."""
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SPARK_DEFAULT = "67108864b"
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Lets Python workers read texts in batches of about 4 MB, so that memory does not follow the texts' length.
+
+    It is a setting of the session; one that the session made itself is left alone.
+    """
+    if spark.conf.get(_BATCH_BYTES, _SPARK_DEFAULT) == _SPARK_DEFAULT:
+        spark.conf.set(_BATCH_BYTES, "4m")
+    return spark
+
+
 def bucket_cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Where the buckets of sorted hashes begin, and the end."""
     places = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)

@@ -7,7 +7,7 @@ get the same hash only by chance (about n * n / 2**65 for n distinct words).
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SLICE_ROWS = 16_384
 
 _BASE = 0xD1342543DE82EF95
