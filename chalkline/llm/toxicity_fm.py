@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chalkline.llm.packed import small_batches
 from chalkline.llm.sampling import held_out, labelled_ids, labelled_texts
 from chalkline.llm.words import PUNCTUATED, Hasher, slices, word_bounds
 
@@ -94,7 +95,7 @@ def fit(rows, terms, labels, rank=RANK, steps=STEPS, seed=SEED, most=TERMS) -> M
     kept = screen(rows, terms, labels, most)
     at = np.minimum(np.searchsorted(kept, terms), max(len(kept) - 1, 0))
     inside = kept[at] == terms if len(kept) else np.zeros(len(terms), bool)
-    rows, at = rows[inside], at[inside]
+    rows, at = rows[inside].astype(np.int32), at[inside].astype(np.int32)
     n, k = len(labels), len(kept)
     by_term = np.argsort(at, kind="stable")
     term_rows = rows[by_term]
@@ -106,10 +107,12 @@ def fit(rows, terms, labels, rank=RANK, steps=STEPS, seed=SEED, most=TERMS) -> M
     for step in range(1, steps + 1):
         model = Model(kept, state["bias"][0], state["weights"], state["vectors"])
         error = (1 / (1 + np.exp(-np.clip(model.margins(rows, at, n), -30, 30))) - labels) / n
-        sums = np.stack([np.bincount(rows, weights=state["vectors"][at, f], minlength=n) for f in range(rank)], axis=1)
         pull = error[term_rows]
         own = np.add.reduceat(pull, bounds)
-        cross = np.add.reduceat(pull[:, None] * sums[term_rows], bounds, axis=0)
+        cross = np.empty((k, rank))
+        for f in range(rank):
+            sums = np.bincount(rows, weights=state["vectors"][at, f], minlength=n)
+            cross[:, f] = np.add.reduceat(pull * sums[term_rows], bounds)
         gradient = {
             "bias": np.array([error.sum()]), "weights": own + 1e-6 * state["weights"],
             "vectors": cross - own[:, None] * state["vectors"] + 1e-5 * state["vectors"],
@@ -124,6 +127,7 @@ def fit(rows, terms, labels, rank=RANK, steps=STEPS, seed=SEED, most=TERMS) -> M
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
     """Fits on at most `sample` labelled documents outside the held-out fold, taken by hash of their id."""
+    small_batches(documents.sparkSession)
     texts = labelled_texts(documents, labelled_ids(labels, label, FOLDS, sample)).select("doc_id", "label", "text")
     found = texts.mapInArrow(_sample_terms, "doc_id long, label int, terms binary")
     # An id on several rows counts once.
@@ -159,7 +163,7 @@ def score(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
 
     NULL and empty texts score as a text without terms. Ids may be NULL or repeat; other columns are not read.
     """
-    source = documents.sparkSession.sparkContext.broadcast(model.arrays())
+    source = small_batches(documents.sparkSession).sparkContext.broadcast(model.arrays())
 
     def run(batches):
         scores = text_scorer(Model(*source.value))
@@ -178,7 +182,7 @@ def judged(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def drop_toxic(documents: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of `documents`, with all their columns, that score below the threshold. Nothing is shuffled."""
-    source = documents.sparkSession.sparkContext.broadcast(model.arrays())
+    source = small_batches(documents.sparkSession).sparkContext.broadcast(model.arrays())
     at = documents.columns.index(text)
 
     def run(batches):
