@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chalkline.llm.packed import bucket_cuts, by_key, grouped, summed
+from chalkline.llm.packed import bucket_cuts, by_key, grouped, small_batches, summed
 from chalkline.llm.sampling import held_out
 from chalkline.llm.words import hashed_words, mixed, slices, unmixed
 from chalkline.sources.tables import scratch_path
@@ -32,9 +32,9 @@ FOLDS = 10
 FREQUENT = 1e-5
 DISCOUNTED = 5
 BASE_ADDED = 0.1
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_000_000
 FLUSH_DOCUMENTS = 60_000
-BUCKET_TOKENS = 6_000_000
+BUCKET_TOKENS = 4_000_000
 PARTS = 256
 
 COUNTS = "bucket long, x binary, y binary"
@@ -259,7 +259,7 @@ def _weights_from(parts) -> Weights:
 
 def train(texts: DataFrame, text: str = "text", frequent: float = FREQUENT) -> Model:
     """Counts words and pairs of all rows of `texts` into tables in the scratch folder, and finds the weights."""
-    spark = texts.sparkSession
+    spark = small_batches(texts.sparkSession)
     root = scratch_path(spark, "katz")
     body = texts.select(F.col(f"`{text}`").alias("text"))
 
@@ -441,7 +441,7 @@ def score(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     alone. Ids may be NULL or repeat; other columns are not read. A model of no texts gives every token the
     mass in reserve.
     """
-    source = documents.sparkSession.sparkContext.broadcast(model.plain())
+    source = small_batches(documents.sparkSession).sparkContext.broadcast(model.plain())
     own = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     sent = own.mapInArrow(_scattered(source), SENT)
 

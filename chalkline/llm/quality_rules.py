@@ -38,12 +38,12 @@ def measured(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     NULL and empty texts count nothing. Ids may be NULL or repeat; other columns are not read.
     """
     own = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return S.with_repeat_words(S.with_words(own)).select(
+    return S.settled(S.with_repeat_words(S.with_words(own)).select(
         "doc_id", S.n_words().alias("n_words"), S.word_chars().alias("word_chars"),
         S.characters_of(SYMBOLS).alias("n_symbols"), S.characters_of("!").alias("n_exclamations"),
         F.size("_ts_lines").cast("long").alias("n_lines"), S.n_dup_lines().alias("n_dup_lines"),
         "n_repeat_words", S.n_stop_words().alias("n_stop_words"),
-    )
+    ))
 
 
 def apply_rules(counts: DataFrame, thresholds=THRESHOLDS) -> DataFrame:

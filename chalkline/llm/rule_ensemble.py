@@ -37,7 +37,7 @@ def statistics(texts: DataFrame) -> DataFrame:
         "stop_word_ratio": S.n_stop_words() / words, "dup_line_ratio": S.n_dup_lines() / lines,
     }
     others = [F.col(c) for c in texts.columns if c != "text"]
-    return S.with_words(texts).select(*others, *[values[name].cast("double").alias(name) for name in STATISTICS])
+    return S.settled(S.with_words(texts).select(*others, *[values[name].cast("double").alias(name) for name in STATISTICS]))
 
 
 def grow_tree(x, bins, residual, weight, depth=DEPTH, least=20):
