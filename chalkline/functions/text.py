@@ -21,6 +21,11 @@ def column(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def stripped(c) -> Column:
     """Text without white space (tabs, line ends and non-breaking blanks too) at either end."""
     return F.btrim(column(c), F.lit(WHITESPACE))

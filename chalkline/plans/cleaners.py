@@ -7,7 +7,9 @@ the two datasets that keep one row per school add one aggregate.
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from chalkline import schemas
 from chalkline.functions.categories import (
     grade_name, grain_name, payment_name, subject_name, vendor_name,
 )
@@ -19,11 +21,11 @@ from chalkline.functions.scores import (
     amount_text, letter_value, ratio_texts, scale_text, score_form, score_method, score_text,
     score_value,
 )
-from chalkline.functions.text import ascii_digits, plain_number, stripped, title_case
+from chalkline.functions.text import ascii_digits, plain_number, quoted, stripped, title_case
 from chalkline.operators.audit import counters, flag_counter, histogram, row_counters
 from chalkline.operators.dedup import COPIES, dedup_exact
 from chalkline.operators.lineage import with_boolean_lineage, with_date_lineage, with_id_lineage
-from chalkline.operators.merge import first_non_null_per_key
+from chalkline.operators.merge import first_non_null_per_key, tie_break
 from chalkline.vocabulary import AMENITIES
 
 # Attendance record states (fixed values), in the order they are decided.
@@ -41,9 +43,26 @@ def _sure(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def _others(df: DataFrame, schema: T.StructType, produced: list[str]) -> list[str]:
+    """Columns of the input that its dataset does not declare. They pass through as they are, but
+    for those whose name a cleaned column has."""
+    taken = {name.lower() for name in [*schema.names, *produced, COPIES]}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
 # School master ---------------------------------------------------------------------------
 
 
+def _with_others(df: DataFrame, raw: DataFrame, schema: T.StructType, columns: list) -> DataFrame:
+    """The cleaned columns, then the undeclared ones of the raw data."""
+    cleaned = df.select(*columns)
+    return df.select(*columns, *map(quoted, _others(raw, schema, cleaned.columns)))
+
+
+_MASTER_LINEAGE = ["school_id_raw", "school_id_clean", "school_id_changed_flag", "district_raw",
+                   "district_clean", "block_raw", "block_clean"]
+
+
 def _merged_schools(raw: DataFrame) -> DataFrame:
     """One row per school, the row without a school id included, with its raw row counts."""
     df = with_id_lineage(dedup_exact(raw))
@@ -56,10 +75,11 @@ def _merged_schools(raw: DataFrame) -> DataFrame:
     df = df.withColumns({name: title_case(name) for name in defaults})
     head = ["school_id_raw", "school_id_changed_flag", "district", "district_raw", "block",
             "block_raw", "school_type", "medium"]
-    order = ["total_enrolled_students", "school_name", "school_id_raw", "district_raw", "block_raw",
-             "school_type", "medium"]
+    ties = ["school_name", "school_id_raw", "district_raw", "block_raw", "school_type", "medium"]
+    others = _others(raw, schemas.SCHOOL_MASTER, _MASTER_LINEAGE)
     return first_non_null_per_key(
-        df, "school_id", [F.col(c) for c in order], head, ["school_name"],
+        df, "school_id", [F.col("total_enrolled_students"), tie_break(*ties, *others)], head,
+        ["school_name", *others],
         extra=[
             F.max("total_enrolled_students").alias("total_enrolled_students"),
             F.sum(COPIES).alias("__raw_rows"),
@@ -75,6 +95,7 @@ def clean_school_master(raw: DataFrame) -> DataFrame:
         "total_enrolled_students", "school_id_raw", F.col("school_id").alias("school_id_clean"),
         "school_id_changed_flag", "district_raw", F.col("district").alias("district_clean"),
         "block_raw", F.col("block").alias("block_clean"),
+        *map(quoted, _others(raw, schemas.SCHOOL_MASTER, _MASTER_LINEAGE)),
     )
 
 
@@ -120,7 +141,7 @@ def clean_attendance(raw: DataFrame) -> DataFrame:
         .when(F.col("date_parse_error_flag"), F.lit(BAD_DATE))
         .otherwise(F.lit(VALID))
     )
-    return df.withColumn("data_quality_status", status).select(
+    return _with_others(df.withColumn("data_quality_status", status), raw, schemas.STUDENT_ATTENDANCE, [
         "record_id", "school_id", "date", "grade", "total_students", "present_students",
         "teacher_present", "marked_by", "school_id_raw", "school_id_clean",
         "school_id_changed_flag", "date_raw", "date_clean", "date_parse_method",
@@ -128,7 +149,7 @@ def clean_attendance(raw: DataFrame) -> DataFrame:
         "teacher_present_raw", "teacher_present_clean", "teacher_present_is_unknown_flag",
         "is_impossible_attendance", "attendance_rate", "is_weekend", "is_sunday",
         "is_proxy_attendance", "data_quality_status", COPIES,
-    )
+    ])
 
 
 def audit_attendance(clean: DataFrame) -> DataFrame:
@@ -171,7 +192,7 @@ def clean_procurement(raw: DataFrame, units: UnitRules = DEFAULT_UNITS) -> DataF
         "unit_inferred_flag": inferred,
     })
     cost, kg = F.col("total_cost"), F.col("quantity_kg")
-    return df.select(
+    return _with_others(df, raw, schemas.MDM_PROCUREMENT, [
         "procurement_id", "school_id", "date", "vendor_name", "grain_type", "quantity", "unit",
         "total_cost", "payment_status", "school_id_raw", "school_id_clean",
         "school_id_changed_flag", "date_raw", "date_clean", "date_parse_method",
@@ -182,7 +203,7 @@ def clean_procurement(raw: DataFrame, units: UnitRules = DEFAULT_UNITS) -> DataF
         "unit_inferred_flag", "cost_raw", F.col("total_cost").alias("total_cost_numeric"),
         F.when(kg > 0, cost / kg).alias("cost_per_kg"), "payment_status_raw",
         F.col("payment_status").alias("payment_status_clean"), COPIES,
-    )
+    ])
 
 
 def audit_procurement(clean: DataFrame) -> DataFrame:
@@ -211,7 +232,7 @@ def clean_infrastructure(raw: DataFrame) -> DataFrame:
     any_known = F.coalesce(*AMENITIES).isNotNull()
     of_all = float(len(AMENITIES))
     lineage = [f"{a}{suffix}" for a in AMENITIES for suffix in ("_raw", "_clean", "_is_unknown_flag")]
-    return df.select(
+    return _with_others(df, raw, schemas.SCHOOL_INFRASTRUCTURE, [
         "school_id", "date", *AMENITIES, "inspector_name", "remarks", "school_id_raw",
         "school_id_clean", "school_id_changed_flag", "date_raw", "date_clean",
         "date_parse_method", "date_ambiguous_flag", "date_parse_error_flag", *lineage,
@@ -221,7 +242,7 @@ def clean_infrastructure(raw: DataFrame) -> DataFrame:
         F.when(any_known, F.col("amenities_deficit_count") / of_all * 100.0)
         .alias("infrastructure_deficit_pct"),
         COPIES,
-    )
+    ])
 
 
 def current_infrastructure(history: DataFrame) -> DataFrame:
@@ -233,15 +254,18 @@ def current_infrastructure(history: DataFrame) -> DataFrame:
             "amenities_functional_count", "amenities_deficit_count"]
     fill = [*AMENITIES, "inspector_name", "remarks", "infrastructure_score",
             "infrastructure_deficit_pct"]
-    order = ["date", "school_id_raw", "date_raw", "inspector_name", "remarks", *raw]
+    ties = ["school_id_raw", "date_raw", "inspector_name", "remarks", *raw]
+    settled = [*head, *fill, "school_id_clean", "date_clean", *[f"{a}_clean" for a in AMENITIES]]
+    others = _others(history, schemas.SCHOOL_INFRASTRUCTURE, settled)
     current = first_non_null_per_key(
-        history.where(F.col("school_id").isNotNull()), "school_id", [F.col(c) for c in order],
-        head, fill, extra=[F.max("date").alias("date")],
+        history.where(F.col("school_id").isNotNull()), "school_id",
+        [F.col("date"), tie_break(*ties, *others)], head, [*fill, *others],
+        extra=[F.max("date").alias("date")],
     )
     copies = {f"{a}_clean": F.col(a) for a in AMENITIES}
     copies |= {"school_id_clean": F.col("school_id"), "date_clean": F.col("date")}
     columns = [c for c in history.columns if c != COPIES]
-    return current.withColumns(copies).select(*columns)
+    return current.withColumns(copies).select(*map(quoted, columns))
 
 
 def audit_infrastructure(history: DataFrame) -> DataFrame:
@@ -280,7 +304,7 @@ def clean_scores(raw: DataFrame) -> DataFrame:
         "score_percentage",
         score_value("__form", "__amount", "__letter", "__above", "__below", "__full"),
     )
-    return df.select(
+    return _with_others(df, raw, schemas.TEST_SCORES, [
         "assessment_id", "school_id", "date", "grade", "subject", "grading_scale", "avg_score",
         "max_marks", "school_id_raw", "school_id_clean", "school_id_changed_flag", "date_raw",
         "date_clean", "date_parse_method", "date_ambiguous_flag", "date_parse_error_flag",
@@ -288,7 +312,7 @@ def clean_scores(raw: DataFrame) -> DataFrame:
         F.col("grading_scale").alias("grading_scale_raw"), F.col("avg_score").alias("avg_score_raw"),
         "score_percentage", score_method("__form", "score_percentage").alias("score_conversion_method"),
         F.col("score_percentage").isNotNull().alias("score_valid_flag"), COPIES,
-    )
+    ])
 
 
 def audit_scores(clean: DataFrame) -> DataFrame:

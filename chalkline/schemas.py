@@ -1,4 +1,4 @@
-"""Declared schemas of the five raw datasets: messy columns are text, counts are integers."""
+"""Declared schemas of the five raw datasets: messy columns are text, counts are numbers."""
 
 from pyspark.sql import types as T
 
@@ -7,7 +7,7 @@ from chalkline.vocabulary import AMENITIES
 
 def _schema(text, counts=()):
     fields = [T.StructField(name, T.StringType()) for name in text]
-    fields += [T.StructField(name, T.IntegerType()) for name in counts]
+    fields += [T.StructField(name, T.DoubleType()) for name in counts]
     return T.StructType(fields)
 
 

@@ -8,7 +8,9 @@ the task that reads it, row by row, and leaves as Arrow batches.
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from datetime import datetime, timedelta
+from decimal import Decimal
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -17,6 +19,9 @@ from pyspark.sql import types as T
 
 BATCH_ROWS = 10_000
 
+# Numbers of the built-in formats that show dates and times (fixed values).
+_BUILT_IN_DATES = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
@@ -49,26 +54,78 @@ def _column_index(reference: str) -> int:
     return index - 1
 
 
-def _cell_text(cell, shared):
+def _is_date_format(code: str) -> bool:
+    """Whether a number format shows a date: letters of dates outside quotes, escapes and brackets."""
+    bare = re.sub(r'"[^"]*"|\\.|_.|\[[^\]]*\]', "", code)
+    return code.lower() != "general" and re.search("[dmyhs]", bare, re.IGNORECASE) is not None
+
+
+def _date_styles(archive: zipfile.ZipFile) -> set[int]:
+    """Numbers of the cell styles that show a serial number as a date."""
+    if "xl/styles.xml" not in archive.namelist():
+        return set()
+    root = ElementTree.fromstring(archive.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId")): f.get("formatCode", "") for f in root.iter(f"{_MAIN}numFmt")}
+    styles = [int(x.get("numFmtId", "0")) for x in root.findall(f"{_MAIN}cellXfs/{_MAIN}xf")]
+    return {
+        at for at, style in enumerate(styles)
+        if (_is_date_format(own[style]) if style in own else style in _BUILT_IN_DATES)
+    }
+
+
+def _day_zero(archive: zipfile.ZipFile) -> datetime:
+    """The day of serial number 0: workbooks count from 1900 or, if they say so, from 1904."""
+    book = ElementTree.fromstring(archive.read("xl/workbook.xml"))
+    settings = book.find(f"{_MAIN}workbookPr")
+    late = settings is not None and settings.get("date1904", "0") in ("1", "true")
+    return datetime(1904, 1, 1) if late else datetime(1899, 12, 30)
+
+
+def _date_text(serial: str, zero: datetime) -> str:
+    """The text of a date cell; a time without a day, below 1, is written as a time."""
+    days = float(serial)
+    # Serial numbers from 1900 count a 29 February 1900 that never was.
+    if zero.year < 1900 and 1 <= days < 60:
+        days += 1
+    moment = zero + timedelta(seconds=round(days * 86_400))
+    return moment.strftime("%H:%M:%S" if 0 <= days < 1 else "%Y-%m-%d %H:%M:%S")
+
+
+def _number_text(value: str) -> str:
+    """A stored number written out, without an exponent and without a fraction of zero."""
+    text = format(Decimal(repr(float(value))), "f")
+    return text.removesuffix(".0")
+
+
+def _cell_text(cell, shared, dates, zero):
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         return _texts(cell.find(f"{_MAIN}is"))
     value = cell.findtext(f"{_MAIN}v")
-    if value is None:
+    if value is None or kind == "e":
         return None
     if kind == "s":
         return shared[int(value)]
     if kind == "b":
         return "TRUE" if value == "1" else "FALSE"
+    if kind == "n":
+        if int(cell.get("s", "0")) in dates:
+            return _date_text(value, zero)
+        return _number_text(value)
     return value
 
 
 def sheet_rows(content: bytes) -> Iterator[list]:
-    """Rows of the first sheet as lists of texts, blank cells as None."""
+    """Rows of the first sheet as lists of texts; blank cells and error values are None."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         shared = _shared_strings(archive)
+        dates, zero = _date_styles(archive), _day_zero(archive)
         with archive.open(_first_sheet(archive)) as sheet:
-            for _, element in ElementTree.iterparse(sheet):
+            data = None
+            for event, element in ElementTree.iterparse(sheet, ("start", "end")):
+                if event == "start":
+                    data = element if element.tag == f"{_MAIN}sheetData" else data
+                    continue
                 if element.tag != f"{_MAIN}row":
                     continue
                 row = []
@@ -76,14 +133,18 @@ def sheet_rows(content: bytes) -> Iterator[list]:
                     reference = cell.get("r")
                     at = _column_index(reference) if reference else position
                     row.extend([None] * (at + 1 - len(row)))
-                    row[at] = _cell_text(cell, shared)
-                element.clear()
+                    row[at] = _cell_text(cell, shared, dates, zero)
+                # The row is detached, or a full sheet would leave a million empty ones behind.
+                data.clear()
                 yield row
 
 
-def _records(content: bytes, names: list[str]) -> Iterator[list]:
+def _records(content: bytes, names: list[str], required: list[str]) -> Iterator[list]:
     rows = sheet_rows(content)
     header = next(rows, [])
+    absent = [name for name in required if name not in header]
+    if absent:
+        raise ValueError(f"columns not found by heading: {', '.join(absent)}")
     at = [header.index(name) if name in header else None for name in names]
     for row in rows:
         record = [row[i] if i is not None and i < len(row) else None for i in at]
@@ -91,15 +152,19 @@ def _records(content: bytes, names: list[str]) -> Iterator[list]:
             yield record
 
 
-def decode_workbooks(files: DataFrame, schema: T.StructType) -> DataFrame:
-    """Records of a frame of workbooks (binary column `content`); columns are found by heading."""
+def decode_workbooks(files: DataFrame, schema: T.StructType, required: Sequence[str] | None = None) -> DataFrame:
+    """Records of a frame of workbooks (binary column `content`); columns are found by heading.
+
+    A workbook without a heading that is `required`, all of the schema by default, is an error.
+    """
     names = schema.names
+    needed = names if required is None else list(required)
 
     def decode(batches):
         for batch in batches:
             for content in batch["content"]:
                 chunk = []
-                for record in _records(content, names):
+                for record in _records(content, names, needed):
                     chunk.append(record)
                     if len(chunk) == BATCH_ROWS:
                         yield pd.DataFrame(chunk, columns=names, dtype=object)
@@ -110,10 +175,25 @@ def decode_workbooks(files: DataFrame, schema: T.StructType) -> DataFrame:
     return files.select("content").mapInPandas(decode, schema)
 
 
-def read_workbooks(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Records of every workbook under a path, all columns as text."""
+def headings(files: DataFrame) -> list[str]:
+    """The distinct headings of a frame of workbooks, of which only the first rows are decoded."""
+    def first_rows(batches):
+        for batch in batches:
+            for content in batch["content"]:
+                rows = sheet_rows(content)
+                yield pd.DataFrame({"heading": [name for name in next(rows, []) if name]}, dtype=object)
+                rows.close()
+
+    found = files.select("content").mapInPandas(first_rows, "heading string").distinct()
+    return sorted(row["heading"] for row in found.collect())
+
+
+def read_workbooks(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
+    """Records of every workbook under a path, all columns as text: the required ones, then all others."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
         .option("recursiveFileLookup", "true").load(path)
     )
-    return decode_workbooks(files, schema)
+    names = [*required, *[name for name in headings(files) if name not in required]]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return decode_workbooks(files, schema, required)

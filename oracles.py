@@ -151,6 +151,11 @@ def norm_cost(c):
 _DATE_COLUMNS = "school_id_raw, school_id_clean, school_id_changed_flag, date_raw, date_clean, date_parse_method, date_ambiguous_flag, date_parse_error_flag"
 
 
+def _tie_break(columns):
+    values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in columns)
+    return f"md5(concat_ws(chr(31), {values}))"
+
+
 def _dedup_keyed(raw):
     """De-duplicated rows with id and date normalised; raw texts keep their names with `_raw`."""
     return f"""
@@ -159,6 +164,10 @@ def _dedup_keyed(raw):
       FROM (SELECT *, count(*) AS exact_copies FROM {raw} GROUP BY ALL)"""
 
 
+_SCHOOL_TIES = ["school_name", "school_id_raw", "district_raw", "block_raw", "school_type", "medium"]
+_SCHOOL_ORDER = f"total_enrolled_students DESC NULLS LAST, {_tie_break(_SCHOOL_TIES)} DESC"
+
+
 def _keyed_columns(alias="d"):
     method = date_method(f"{alias}.t", f"{alias}.date")
     return f"""{alias}.school_id_raw, {alias}.school_id AS school_id_clean,
@@ -231,10 +240,8 @@ _TABLES = {
         school_id AS school_id_clean, {changed('school_id_raw', 'school_id')} AS school_id_changed_flag,
         district_raw, district AS district_clean, block_raw, block AS block_clean
       FROM school_rows WHERE school_id IS NOT NULL
-      WINDOW o AS (PARTITION BY school_id ORDER BY total_enrolled_students DESC NULLS LAST, school_name DESC NULLS LAST,
-          school_id_raw DESC NULLS LAST, district_raw DESC NULLS LAST, block_raw DESC NULLS LAST, school_type DESC, medium DESC),
-        w AS (PARTITION BY school_id ORDER BY total_enrolled_students DESC NULLS LAST, school_name DESC NULLS LAST,
-          school_id_raw DESC NULLS LAST, district_raw DESC NULLS LAST, block_raw DESC NULLS LAST, school_type DESC, medium DESC
+      WINDOW o AS (PARTITION BY school_id ORDER BY {_SCHOOL_ORDER}),
+        w AS (PARTITION BY school_id ORDER BY {_SCHOOL_ORDER}
           ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
       QUALIFY row_number() OVER o = 1""",
     "attendance_flags": f"""
@@ -386,8 +393,8 @@ def _current():
                "date_ambiguous_flag", "date_parse_error_flag", *[f"{a}_raw" for a in AMENITIES],
                *[f"{a}_is_unknown_flag" for a in AMENITIES], "amenities_functional_count", "amenities_deficit_count"]
     filled = [*AMENITIES, "inspector_name", "remarks", "infrastructure_score", "infrastructure_deficit_pct"]
-    ties = ["date", "school_id_raw", "date_raw", "inspector_name", "remarks", *[f"{a}_raw" for a in AMENITIES]]
-    order = ", ".join(f"{c} DESC NULLS LAST" for c in ties)
+    ties = ["school_id_raw", "date_raw", "inspector_name", "remarks", *[f"{a}_raw" for a in AMENITIES]]
+    order = f"date DESC NULLS LAST, {_tie_break(ties)} DESC"
 
     def latest(c):
         return f"first_value({c} IGNORE NULLS) OVER w"

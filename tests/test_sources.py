@@ -7,8 +7,10 @@ from types import SimpleNamespace
 
 import pandas as pd
 import pytest
+from pyspark.sql import types as T
 
 from chalkline import derived, schemas
+from chalkline.plans.cleaners import clean_attendance, clean_school_master, clean_scores
 from chalkline.plans.rescue import open_warehouse, rescue, save_risk
 from chalkline.sources import raw, tables
 from chalkline.sources.workbook import sheet_rows
@@ -65,6 +67,9 @@ def office_workbook():
     return target.getvalue()
 
 
+PART = T.StructType([schemas.MDM_PROCUREMENT[name] for name in ("procurement_id", "unit")])
+
+
 def test_workbooks(spark, tmp_path):
     content = office_workbook()
     assert next(sheet_rows(content))[0] == "procurement_id"
@@ -72,9 +77,85 @@ def test_workbooks(spark, tmp_path):
     two = pd.DataFrame({"unit": ["bags", None], "procurement_id": ["<7>", "8"]}, dtype=object)
     (tmp_path / "two.xlsx").write_bytes(derived.workbook_bytes(two))
     (tmp_path / "notes.txt").write_text("no workbook")
-    got = raw.read_excel(spark, str(tmp_path), schemas.MDM_PROCUREMENT)
+    got = raw.read_excel(spark, str(tmp_path), PART)
+    assert got.columns == ["procurement_id", "unit", "quantity"]
     assert {(r.procurement_id, r.unit, r.quantity) for r in got.collect()} == {
         ("12", "kg", "2.5"), ("TRUE", None, None), ("<7>", "bags", None), ("8", None, None)}
+    with pytest.raises(Exception, match="not found by heading: quantity"):
+        raw.read_excel(spark, str(tmp_path), T.StructType([*PART, schemas.MDM_PROCUREMENT["quantity"]])).collect()
+
+
+def typed_sheet(cells, late=False):
+    """A workbook with one row of cells; style 1 is a built-in date, style 2 an own one, style 3 an amount."""
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    source = io.BytesIO(derived.workbook_bytes(pd.DataFrame()))
+    target = io.BytesIO()
+    with zipfile.ZipFile(source) as old, zipfile.ZipFile(target, "w") as new:
+        book = old.read("xl/workbook.xml").decode()
+        new.writestr("xl/workbook.xml", book.replace("<sheets>", '<workbookPr date1904="1"/><sheets>') if late else book)
+        new.writestr("xl/_rels/workbook.xml.rels", old.read("xl/_rels/workbook.xml.rels"))
+        new.writestr("xl/styles.xml", f'<styleSheet {main}><numFmts><numFmt numFmtId="170" formatCode="dd\\.mm\\.yyyy"/>'
+                     '<numFmt numFmtId="171" formatCode="[Red]0.00&quot; days&quot;"/></numFmts><cellXfs><xf numFmtId="0"/>'
+                     '<xf numFmtId="14"/><xf numFmtId="170"/><xf numFmtId="171"/></cellXfs></styleSheet>')
+        new.writestr("xl/worksheets/sheet1.xml", f"<worksheet {main}><sheetData><row>{cells}</row></sheetData></worksheet>")
+    return target.getvalue()
+
+
+def test_workbook_cells_are_typed():
+    cells = ('<c s="1"><v>45757</v></c><c s="2"><v>45757.354166666664</v></c><c s="3"><v>12</v></c><c t="e"><v>#DIV/0!</v></c>'
+             '<c><v>1E-4</v></c><c><v>40.0</v></c><c t="d"><v>2025-04-10T08:30:00</v></c><c s="1"><v>59</v></c><c s="1"><v>0.5</v></c>')
+    assert next(sheet_rows(typed_sheet(cells))) == [
+        "2025-04-10 00:00:00", "2025-04-10 08:30:00", "12", None, "0.0001", "40", "2025-04-10T08:30:00", "1900-02-28 00:00:00", "12:00:00"]
+    assert next(sheet_rows(typed_sheet('<c s="1"><v>44295</v></c>', late=True))) == ["2025-04-10 00:00:00"]
+
+
+ATTENDANCE = "present_students,date,shift,record_id,total_students,school_id,grade,teacher_present,marked_by"
+
+
+def test_csv_by_heading_keeps_other_columns(spark, tmp_path):
+    lines = [ATTENDANCE, "40.9,2025-01-06,am,r1,40.5,SCH-7,I,yes,x", "40.9,2025-01-06,pm,r1,40.5,SCH-7,I,yes,x", "N/A,2025-01-06,am,r2,nan,S8,I,yes,x"]
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    got = raw.read_csv(spark, str(tmp_path / "a.csv"), schemas.STUDENT_ATTENDANCE)
+    assert got.columns == [*schemas.STUDENT_ATTENDANCE.names, "shift"]
+    rows = clean_attendance(got).collect()
+    assert {(r.school_id, str(r.date), r.shift, r.present_students, r.is_impossible_attendance, r.exact_copies) for r in rows} == {
+        ("SCH0007", "2025-01-06", "am", 40.9, True, 1), ("SCH0007", "2025-01-06", "pm", 40.9, True, 1), ("SCH0008", "2025-01-06", "am", None, False, 1)}
+
+
+@pytest.mark.parametrize("lines", [
+    [ATTENDANCE.replace("grade", "class"), "1,2025-01-06,am,r,1,7,I,y,x"],
+    [ATTENDANCE, "1,2025-01-06,am,r,1,7,I,y,x,more"],
+    [ATTENDANCE, "1,2025-01-06,am"],
+])
+def test_broken_csv_fails(spark, tmp_path, lines):
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    with pytest.raises(Exception, match="heading|MALFORMED"):
+        raw.read_csv(spark, str(tmp_path / "a.csv"), schemas.STUDENT_ATTENDANCE).collect()
+
+
+def test_csv_files_of_one_path_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(ATTENDANCE + "\n1,2025-01-06,am,r,1,7,I,y,x")
+    (tmp_path / "b.csv").write_text(ATTENDANCE.replace("shift,record_id", "record_id,shift") + "\n1,2025-01-06,r,am,1,7,I,y,x")
+    with pytest.raises(Exception, match="header"):
+        raw.read_csv(spark, str(tmp_path), schemas.STUDENT_ATTENDANCE).collect()
+
+
+def test_json_keeps_other_keys_and_fails_on_broken_lines(spark, tmp_path):
+    path = tmp_path / "s.jsonl"
+    path.write_text('{"assessment_id": "a", "room": 1.50}\n{"assessment_id": "a", "room": 2}\n')
+    got = raw.read_json(spark, str(path), schemas.TEST_SCORES, lines=True)
+    assert {(r.assessment_id, r.room, r.exact_copies) for r in clean_scores(got).collect()} == {("a", "1.50", 1), ("a", "2", 1)}
+    path.write_text('{"assessment_id": "a"}\n{"assessment_id": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        raw.read_json(spark, str(path), schemas.TEST_SCORES, lines=True).collect()
+
+
+def test_undeclared_columns_follow_their_school(spark):
+    rows = [("7", "n", "d", "b", "t", "m", 5.0, None, "x.y", 9), ("7", "n", "d", "b", "t", "m", 3.0, "late", None, 9)]
+    df = spark.createDataFrame(rows, T.StructType(schemas.SCHOOL_MASTER.fields + [
+        T.StructField("phone", T.StringType()), T.StructField("a.b", T.StringType()), T.StructField("exact_copies", T.IntegerType())]))
+    row = clean_school_master(df).first()
+    assert (row["total_enrolled_students"], row["phone"], row["a.b"]) == (5.0, "late", "x.y")
 
 
 def session(master, **conf):
