@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -26,7 +27,7 @@ from chalkline.operators.lineage import (  # noqa: E402
 from chalkline.operators.merge import first_non_null_per_key  # noqa: E402
 from chalkline.operators.report import linear_trend, result_digest, with_formal_labels  # noqa: E402
 from chalkline.plans import reports, views  # noqa: E402
-from chalkline.plans.rescue import audit_all, save_risk  # noqa: E402
+from chalkline.plans.rescue import audit_all, open_warehouse, rescue, save_risk  # noqa: E402
 from chalkline.plans.risk import welfare_risk  # noqa: E402
 from chalkline.sources import raw as raw_sources  # noqa: E402
 from chalkline.sources import tables  # noqa: E402
@@ -72,6 +73,13 @@ def normalize_date(spark, sf_dir):
     ))
 
 
+def normalize_date_fallback(spark, sf_dir):
+    orders = derived.load(spark, sf_dir, "orders")
+    return with_date_lineage(orders.selectExpr(
+        "o_orderkey", f"{derived.fallback_date_text('o_orderdate', 'o_orderkey')} AS date"
+    ))
+
+
 def normalize_boolean(spark, sf_dir):
     events = derived.load(spark, sf_dir, "events")
     return with_boolean_lineage(events.selectExpr(
@@ -164,6 +172,33 @@ def csv_round_trip(spark, sf_dir):
     return raw_sources.read_csv(spark, path, schemas.SCHOOL_INFRASTRUCTURE)
 
 
+def csv_by_heading(spark, sf_dir):
+    """Columns in another order and one undeclared, in which alone half of the rows differ."""
+    raw = derived.student_attendance(spark, sf_dir)
+    wide = raw.withColumn("shift", F.explode(F.array(F.lit("am"), F.lit("pm"))))
+    path = tables.write_csv(wide.select(*sorted(wide.columns)), tables.scratch_path(spark, "headings"))
+    return dedup_exact(raw_sources.read_csv(spark, path, schemas.STUDENT_ATTENDANCE))
+
+
+def csv_counts(spark, sf_dir):
+    raw = derived.school_master(spark, sf_dir)
+    count = "total_enrolled_students"
+    spelt = raw.withColumn(count, F.expr(f"""CASE {count} % 4 WHEN 0 THEN {count} || '.5' WHEN 1 THEN 'N/A'
+        WHEN 2 THEN {count} || '.0' ELSE {count} || '' END"""))
+    path = tables.write_csv(spelt, tables.scratch_path(spark, "counts"))
+    return raw_sources.read_csv(spark, path, schemas.SCHOOL_MASTER)
+
+
+def json_array(spark, sf_dir):
+    """Files that hold one array of records each, at most 5,000 ids to a file."""
+    raw = derived.test_scores(spark, sf_dir)
+    block = F.floor(F.substring("assessment_id", 4, 18).cast("long") / 5000)
+    arrays = raw.groupBy(block.alias("block")).agg(F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value"))
+    path = tables.scratch_path(spark, "arrays")
+    arrays.repartition("block").write.partitionBy("block").text(path)
+    return raw_sources.read_json(spark, f"{path}/block=*", schemas.TEST_SCORES)
+
+
 def json_round_trip(spark, sf_dir):
     raw = derived.test_scores(spark, sf_dir)
     path = tables.scratch_path(spark, "json")
@@ -187,6 +222,40 @@ def risk_table_write(spark, sf_dir):
     return rounded(save_risk(derived.star(spark, sf_dir), tables.scratch_path(spark, "risk")))
 
 
+def risk_view(spark, sf_dir):
+    save_risk(derived.star(spark, sf_dir), tables.scratch_path(spark, "risk-view"))
+    return rounded(spark.table(tables.RISK_VIEW))
+
+
+def rescue_run(spark, sf_dir):
+    """The whole run over raw files in three formats; the result is the audit as it was written."""
+    base = tables.scratch_path(spark, "rescue")
+    paths = {}
+    for name, build in derived.RAW.items():
+        raw = build(spark, sf_dir)
+        if name == "test_scores":
+            paths[name] = f"{base}/{name}.jsonl"
+            raw.write.json(paths[name])
+        elif name == "student_attendance":
+            paths[name] = f"{base}/{name}.parquet"
+            raw.write.parquet(paths[name])
+        else:
+            paths[name] = tables.write_csv(raw, f"{base}/{name}.csv")
+    return rescue(spark, paths, f"{base}/warehouse")
+
+
+def warehouse_open(spark, sf_dir):
+    """Tables written, opened and registered; the result is the number of rows of each view."""
+    root = tables.scratch_path(spark, "warehouse")
+    tables.write_star(derived.star(spark, sf_dir), root)
+    open_warehouse(spark, root)
+    counts = [
+        spark.table(name).agg(F.lit(name).alias("relation"), F.count(F.lit(1)).alias("n_rows"))
+        for name in views.VIEWS
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def adhoc_sql(spark, sf_dir):
     tables.register_views(derived.star(spark, sf_dir))
     return rounded(tables.read_query(spark, """
@@ -235,6 +304,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "normalize_id": normalize_id,
         "normalize_date": normalize_date,
+        "normalize_date_fallback": normalize_date_fallback,
         "normalize_boolean": normalize_boolean,
         "normalize_grade": normalize_grade,
         "normalize_quantity": normalize_quantity,
@@ -298,10 +368,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda s: linear_trend(views.school_kpis(s), "avg_attendance_rate", "avg_fln_score")
         ),
         "csv_round_trip": csv_round_trip,
+        "csv_by_heading": csv_by_heading,
+        "csv_counts": csv_counts,
+        "json_array": json_array,
         "json_round_trip": json_round_trip,
         "parquet_round_trip": parquet_round_trip,
         "workbook_scan": workbook_scan,
         "risk_table_write": risk_table_write,
+        "risk_view": risk_view,
+        "rescue_run": rescue_run,
+        "warehouse_open": warehouse_open,
         "adhoc_sql": adhoc_sql,
         **_text_queries(),
     }

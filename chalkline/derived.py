@@ -77,6 +77,20 @@ def rare_date_text(d: str, k: str) -> str:
     )
 
 
+def fallback_date_text(d: str, k: str) -> str:
+    """A date in spellings outside the main layouts."""
+    layouts = (
+        "MM-dd-yyyy 08:30:00", "MM/dd/yyyy 14:30", "dd/MMM/yyyy", "dd.MMMM.yyyy", "yyyy.MM.dd", "yyyy-MMM-dd",
+        "MM.dd.yy", "dd-MMM-yyyy 08:30", "dd MMMM yyyy 09:00", "EEEE, dd MMMM yyyy", "dd-MMMM-yy", "MMM d, yyyy",
+        "yyyyMMdd'T083000'", "MMM yyyy", "yyyy-MM", "yyyy",
+    )
+    whens = " ".join(
+        f"WHEN {n} THEN date_format({d}, \"{layout}\")" for n, layout in enumerate(layouts)
+    )
+    text = f"CASE {k} % {len(layouts)} {whens} END"
+    return f"CASE WHEN {k} % {len(layouts)} = 11 THEN replace({text}, 'Sep', 'Sept') ELSE {text} END"
+
+
 def boolean_text(k: str) -> str:
     return (
         f"CASE ({k}) % 8 WHEN 0 THEN 'Yes' WHEN 1 THEN 'Hai' WHEN 2 THEN '1' WHEN 3 THEN 'Working' "

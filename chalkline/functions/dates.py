@@ -33,10 +33,15 @@ _SECOND_ABOVE_12 = r"^\d+\D(?:1[3-9]|[2-9]\d)\D"
 
 # Every layout that is read, in small letters, and the order of year, month and day in it. The
 # first that fits applies; of a month's name the first three letters are taken. Those after the
-# text months are the bounded list of other layouts, always flagged ambiguous.
+# text months are the list of other layouts, always flagged ambiguous: a clock may follow the day,
+# a weekday precede it, and a month or year alone means its first day.
 _YEAR = r"(?!0000)(\d{4})"
 _NAME = r"([a-z]{3})[a-z]*"
-_CLOCK = r"[t ](?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?:z|[+-]\d{2}:?\d{2})?"
+_WORD = rf"(?=(?:{_LONG}|{_SHORT}|sept)(?![a-z])){_NAME}"
+_NTH = r"(\d{1,2})(?:st|nd|rd|th)?"
+_WEEKDAY = r"(?:(?:mon|tue|wed|thu|fri|sat|sun|(?:mon|tues|wednes|thurs|fri|satur|sun)day),? )?"
+_CLOCK = (r"(?:[t ](?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?[ap]m)?"
+          r"(?:z|[+-]\d{2}:?\d{2})?)")
 _LAYOUTS = (
     (rf"{_YEAR}[-/](\d{{1,2}})[-/](\d{{1,2}})", "ymd"),
     (rf"(1[3-9]|[2-9]\d)[-/](\d{{1,2}})[-/]{_YEAR}", "dmy"),
@@ -45,20 +50,28 @@ _LAYOUTS = (
     (rf"(\d{{1,2}})\.(\d{{1,2}})\.{_YEAR}", "dmy"),
     (rf"(\d{{1,2}})-({_SHORT})-((?!0000)\d{{4}}|\d{{2}})", "dmy"),
     (rf"(\d{{1,2}})-(?=(?:{_LONG})-){_NAME}-{_YEAR}", "dmy"),
-    (rf"{_YEAR}(\d{{2}})(\d{{2}})", "ymd"),
-    (rf"{_YEAR}[-/](\d{{1,2}})[-/](\d{{1,2}}){_CLOCK}", "ymd"),
-    (rf"(?=(?:{_LONG}|{_SHORT}) ){_NAME} (\d{{1,2}}),? {_YEAR}", "mdy"),
-    (rf"(\d{{1,2}}) (?=(?:{_LONG}|{_SHORT}),? ){_NAME},? {_YEAR}", "dmy"),
-    (r"(0?\d|1[0-2])[-/](\d{1,2})[-/](\d{2})", "mdy"),
-    (r"(1[3-9]|[2-9]\d)[-/](\d{1,2})[-/](\d{2})", "dmy"),
+    (rf"{_YEAR}(\d{{2}})(\d{{2}})(?:t\d{{4}}(?:\d{{2}})?)?", "ymd"),
+    (rf"{_YEAR}[-/.](\d{{1,2}})[-/.](\d{{1,2}}){_CLOCK}?", "ymd"),
+    (rf"(1[3-9]|[2-9]\d)[-/.](\d{{1,2}})[-/.]{_YEAR}{_CLOCK}", "dmy"),
+    (rf"(\d{{1,2}})[-/.](\d{{1,2}})[-/.]{_YEAR}{_CLOCK}", "mdy"),
+    (rf"(1[3-9]|[2-9]\d)[-/.](\d{{1,2}})[-/.](\d{{2}}){_CLOCK}?", "dmy"),
+    (rf"(0?\d|1[0-2])[-/.](\d{{1,2}})[-/.](\d{{2}}){_CLOCK}?", "mdy"),
+    (rf"{_WEEKDAY}{_WORD}\.?[- ]{_NTH},?[- ]{_YEAR}{_CLOCK}?", "mdy"),
+    (rf"{_WEEKDAY}{_NTH}[-/. ]{_WORD}[-/., ] ?{_YEAR}{_CLOCK}?", "dmy"),
+    (rf"(\d{{1,2}})[-/. ]{_WORD}[-/. ](\d{{2}}){_CLOCK}?", "dmy"),
+    (rf"{_YEAR}[-/. ]{_WORD}[-/. ](\d{{1,2}}){_CLOCK}?", "ymd"),
+    (rf"{_WORD},?[- ]{_YEAR}", "my"),
+    (rf"{_YEAR}[-/](\d{{1,2}})", "ym"),
+    (_YEAR, "y"),
 )
 
 # All layouts as one pattern that fits any text, and the replacement that puts year, month and
 # day in that order: groups of layouts that did not match are empty, and so are all fields of a
 # text that has no layout.
 _ANY_TEXT = "(?s)^(?:" + "|".join(pattern for pattern, _ in _LAYOUTS) + "|.*)$"
+_FIELDS = "".join(order for _, order in _LAYOUTS)
 _IN_ORDER = "-".join(
-    "".join(f"${3 * n + order.index(field) + 1}" for n, (_, order) in enumerate(_LAYOUTS))
+    "".join(f"${at}" for at, name in enumerate(_FIELDS, start=1) if name == field)
     for field in "ymd"
 )
 
@@ -99,7 +112,9 @@ def date_value(text) -> Column:
         day = F.replace(day, F.lit(month[:3]), F.lit(str(number)))
     # Two-digit years run from 1969 to 2068.
     day = F.regexp_replace(day, r"^(69|[7-9]\d)-", "19$1-")
-    return F.regexp_replace(day, r"^(\d\d)-", "20$1-").try_cast("date")
+    day = F.regexp_replace(day, r"^(\d\d)-", "20$1-")
+    # A year or month alone leaves the fields after it empty.
+    return F.rtrim(day, F.lit("-")).try_cast("date")
 
 
 def date_outcome(form, value):

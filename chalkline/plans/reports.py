@@ -29,10 +29,11 @@ def scope_filter(district: str | None = None, school_type: str | None = None) ->
 
 
 def kpi_scoped(star: Star, district: str | None = None, school_type: str | None = None) -> DataFrame:
-    """Headline numbers of the schools in scope, as one row."""
-    return views.school_kpis(star, procurement=False).where(
-        scope_filter(district, school_type)
-    ).agg(
+    """Headline numbers of the schools in scope, as one row. Facts of other schools are not reduced."""
+    chosen = None
+    if district is not None or school_type is not None:
+        chosen = star.school.where(scope_filter(district, school_type))
+    return views.school_kpis(star, procurement=False, scope=chosen).agg(
         F.count("school_id").alias("total_schools"),
         F.sum("total_enrolled_students").alias("total_enrollment"),
         F.avg("avg_attendance_rate").alias("overall_attendance"),
@@ -82,7 +83,7 @@ def attendance_totals(star: Star) -> DataFrame:
 
 def monthly_trend(star: Star) -> DataFrame:
     """State-wide months: unweighted means of the district values."""
-    return views.attendance_monthly(star).where(F.col("month").isNotNull()).groupBy("month").agg(
+    return views.dated_months(star).where("dated > 0").groupBy("month").agg(
         F.avg("avg_attendance_rate").alias("avg_attendance_rate"),
         F.avg("proxy_anomaly_rate_pct").alias("proxy_anomaly_rate_pct"),
     ).orderBy("month")
@@ -90,9 +91,11 @@ def monthly_trend(star: Star) -> DataFrame:
 
 def trend_by_district(star: Star, district: str | None = None) -> DataFrame:
     """Monthly attendance of one district, or of the state. A district keeps undated records."""
-    monthly = views.attendance_monthly(star)
-    scope = F.col("month").isNotNull() if district is None else F.col("district") == district
-    return monthly.where(scope).groupBy("month").agg(
+    if district is None:
+        monthly = views.dated_months(star).where("dated > 0")
+    else:
+        monthly = views.dated_months(star, star.school.where(F.col("district") == district))
+    return monthly.groupBy("month").agg(
         F.avg("avg_attendance_rate").alias("avg_attendance_rate")
     ).orderBy(F.col("month").asc_nulls_last())
 
@@ -107,7 +110,8 @@ def latest_proxies(star: Star, limit: int = 20, district: str | None = None) ->
     """The latest records with full attendance on a Sunday.
 
     Without a district the top rows are found before the school lookup, which then serves
-    `limit` rows only; a left lookup of unique schools neither adds nor drops rows.
+    `limit` rows only; a left lookup of unique schools neither adds nor drops rows. With one, its
+    schools are joined to the proxies alone.
     """
     if district is None:
         own = ["school_id", "attendance_date", "present_students", "total_students", "marked_by"]
@@ -117,9 +121,8 @@ def latest_proxies(star: Star, limit: int = 20, district: str | None = None) ->
         top = proxies.orderBy(*_latest_first(proxies, own)).limit(limit)
         named = top.join(star.school.select("school_id", "school_name", "district"), "school_id", "left")
         return named.select(_PROXY_COLUMNS).orderBy(*_latest_first(named, own))
-    chosen = views.attendance_daily(star).where(
-        F.col("is_proxy_attendance") & (F.col("district") == district)
-    ).select(_PROXY_COLUMNS)
+    proxies = star.attendance.where("is_proxy_attendance").withColumnRenamed("date", "attendance_date")
+    chosen = proxies.join(star.school.where(F.col("district") == district), "school_id").select(_PROXY_COLUMNS)
     return chosen.orderBy(*_latest_first(chosen, _PROXY_COLUMNS)).limit(limit)
 
 

@@ -34,27 +34,37 @@ def attendance_daily(star: Star) -> DataFrame:
     )
 
 
-def attendance_monthly(star: Star) -> DataFrame:
-    """Attendance by district and month.
+def in_scope(fact: DataFrame, scope: DataFrame | None) -> DataFrame:
+    """The rows of a fact whose school is among the schools in scope, all of them without a scope."""
+    return fact if scope is None else fact.join(scope.select("school_id"), "school_id", "left_semi")
+
+
+def dated_months(star: Star, scope: DataFrame | None = None) -> DataFrame:
+    """Attendance by district and month, with `dated`, the number of records that have a date.
 
     Records are first reduced to one row per school and month, so the school lookup joins
-    those few rows instead of every record.
+    those few rows instead of every record. Months that exist are those with `dated` above 0:
+    unlike a filter on the month, one on that sum is not pushed below the aggregates, where the
+    date would be worked out once more for it. `scope` are schools that alone count.
     """
-    per_school = star.attendance.groupBy(
+    per_school = in_scope(star.attendance, scope).groupBy(
         "school_id", F.date_format("date", "yyyy-MM").alias("month")
     ).agg(
         F.count("record_id").alias("records"),
+        F.count("date").alias("dated"),
         F.sum(_valid_rate()).alias("rate_sum"),
         F.count(_valid_rate()).alias("rate_count"),
         F.count_if("is_proxy_attendance").alias("proxies"),
         F.count_if("is_impossible_attendance").alias("impossibles"),
     )
-    placed = per_school.join(star.school.select("school_id", "district"), "school_id", "left")
+    schools = star.school if scope is None else scope
+    placed = per_school.join(schools.select("school_id", "district"), "school_id", "left")
     by_district = placed.groupBy("district", "month").agg(
         F.sum("records").alias("total_records"),
         F.try_divide(F.sum("rate_sum"), F.sum("rate_count")).alias("avg_attendance_rate"),
         F.sum("proxies").alias("proxy_anomaly_records"),
         F.sum("impossibles").alias("impossible_records"),
+        F.sum("dated").alias("dated"),
     )
     return by_district.withColumn(
         "proxy_anomaly_rate_pct",
@@ -62,6 +72,11 @@ def attendance_monthly(star: Star) -> DataFrame:
     )
 
 
+def attendance_monthly(star: Star) -> DataFrame:
+    """Attendance by district and month."""
+    return dated_months(star).drop("dated")
+
+
 def procurement_summary(star: Star) -> DataFrame:
     """Procurements with their school."""
     fact = star.procurement.select(
@@ -94,40 +109,48 @@ def test_summary(star: Star) -> DataFrame:
     return joined.select("assessment_id", "school_id", *_PLACE, *fact.columns[2:])
 
 
-def attendance_by_school(star: Star) -> DataFrame:
-    return star.attendance.groupBy("school_id").agg(
+def attendance_by_school(star: Star, scope: DataFrame | None = None) -> DataFrame:
+    return in_scope(star.attendance, scope).groupBy("school_id").agg(
         F.avg(_valid_rate()).alias("avg_attendance_rate"),
         (F.count_if("is_proxy_attendance") * 100.0 / F.count(F.lit(1))).alias("proxy_anomaly_rate"),
     )
 
 
-def scores_by_school(star: Star) -> DataFrame:
-    return star.scores.groupBy("school_id").agg(F.avg("score_percentage").alias("avg_fln_score"))
+def scores_by_school(star: Star, scope: DataFrame | None = None) -> DataFrame:
+    return in_scope(star.scores, scope).groupBy("school_id").agg(
+        F.avg("score_percentage").alias("avg_fln_score")
+    )
 
 
-def procurement_by_school(star: Star) -> DataFrame:
-    return star.procurement.groupBy("school_id").agg(
+def procurement_by_school(star: Star, scope: DataFrame | None = None) -> DataFrame:
+    return in_scope(star.procurement, scope).groupBy("school_id").agg(
         F.sum("quantity_kg").alias("total_quantity_kg"), F.sum("total_cost").alias("total_cost")
     )
 
 
-def school_kpis(star: Star, procurement: bool = True) -> DataFrame:
+def school_kpis(
+    star: Star, procurement: bool = True, scope: DataFrame | None = None
+) -> DataFrame:
     """One row per school with the measures of every fact.
 
     Each fact is reduced to one row per school before it is joined, so no join multiplies rows
-    and all of them work on the partitioning the aggregates already have.
+    and all of them work on the partitioning the aggregates already have. With a `scope`, some
+    rows of the school dimension, facts of other schools are left out before they are reduced.
     """
+    schools = star.school if scope is None else scope
     kpis = (
-        star.school.join(attendance_by_school(star), "school_id", "left")
+        schools.join(attendance_by_school(star, scope), "school_id", "left")
         .join(
             star.infra_current.select(
                 "school_id", "infrastructure_score", "infrastructure_deficit_pct"
             ),
             "school_id", "left",
         )
-        .join(scores_by_school(star), "school_id", "left")
+        .join(scores_by_school(star, scope), "school_id", "left")
     )
-    return kpis.join(procurement_by_school(star), "school_id", "left") if procurement else kpis
+    if not procurement:
+        return kpis
+    return kpis.join(procurement_by_school(star, scope), "school_id", "left")
 
 
 def district_summary(star: Star) -> DataFrame:

@@ -102,7 +102,12 @@ def register_risk(risk: DataFrame) -> None:
 
 
 def read_query(spark: SparkSession, text: str) -> DataFrame:
-    """An ad-hoc query over the registered views. Only queries fit between the brackets."""
+    """An ad-hoc query over the registered views; the text must be one query and nothing else.
+
+    EXPLAIN parses the text on its own, without running it, so brackets in it are balanced;
+    a statement that is no query does not parse as a subquery.
+    """
+    spark.sql(f"EXPLAIN {text.strip().rstrip(';')}")
     return spark.sql(f"SELECT * FROM (\n{text.strip().rstrip(';')}\n)")
 
 

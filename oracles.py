@@ -32,6 +32,15 @@ def _rare_date(d, k):
             f"{whens} WHEN 10 THEN '30.02.' || strftime({d}, '%Y') ELSE '  ' END")
 
 
+def _fallback_date(d, k):
+    layouts = ("%m-%d-%Y 08:30:00", "%m/%d/%Y 14:30", "%d/%b/%Y", "%d.%B.%Y", "%Y.%m.%d", "%Y-%b-%d", "%m.%d.%y",
+               "%d-%b-%Y 08:30", "%d %B %Y 09:00", "%A, %d %B %Y", "%d-%B-%y", "%b %-d, %Y", "%Y%m%dT083000",
+               "%b %Y", "%Y-%m", "%Y")
+    whens = " ".join(f"WHEN {n} THEN strftime({d}, '{f}')" for n, f in enumerate(layouts))
+    text = f"CASE {k} % 16 {whens} END"
+    return f"CASE WHEN {k} % 16 = 11 THEN replace({text}, 'Sep', 'Sept') ELSE {text} END"
+
+
 def _bool(k):
     words = ["Yes", "Hai", "1", "Working", "Nahi hai", "Kharab", "maybe"]
     return f"CASE ({k}) % 8 " + " ".join(f"WHEN {n} THEN '{w}'" for n, w in enumerate(words)) + " END"
@@ -505,6 +514,12 @@ def all_twins(district, school_type, digits):
         "normalize_date": f"""SELECT o_orderkey, date, date_raw, date AS date_clean, {method} AS date_parse_method,
             (date IS NOT NULL AND ({method}) IN ('DOT_DD_MM_AMBIGUOUS', 'DASH_MM_DD_AMBIGUOUS', 'PANDAS_FALLBACK')) AS date_ambiguous_flag,
             date IS NULL AS date_parse_error_flag FROM {dates}""",
+        "normalize_date_fallback": f"""SELECT o_orderkey, v AS date, d AS date_raw, v AS date_clean,
+            CASE WHEN k = 10 AND month(v) = 5 THEN 'TEXT_MONTH' ELSE 'PANDAS_FALLBACK' END AS date_parse_method,
+            NOT (k = 10 AND month(v) = 5) AS date_ambiguous_flag, FALSE AS date_parse_error_flag
+            FROM (SELECT o_orderkey, o_orderkey % 16 AS k, {_fallback_date('o_orderdate', 'o_orderkey')} AS d,
+              CAST(CASE WHEN o_orderkey % 16 IN (13, 14) THEN date_trunc('month', o_orderdate)
+                WHEN o_orderkey % 16 = 15 THEN date_trunc('year', o_orderdate) ELSE o_orderdate END AS DATE) AS v FROM orders)""",
         "normalize_boolean": f"""SELECT event_id, {norm_bool('w')} AS working, w AS working_raw, {norm_bool('w')} AS working_clean,
             ({norm_bool('w')}) IS NULL AS working_is_unknown_flag, {norm_bool('event_type')} AS kind, event_type AS kind_raw,
             {norm_bool('event_type')} AS kind_clean, ({norm_bool('event_type')}) IS NULL AS kind_is_unknown_flag
@@ -614,13 +629,26 @@ def all_twins(district, school_type, digits):
             {r('regr_intercept(avg_fln_score, avg_attendance_rate)', 'intercept')},
             {r('regr_r2(avg_fln_score, avg_attendance_rate)', 'r2')} FROM kpis""",
         "csv_round_trip": "SELECT * FROM raw_infra",
+        "csv_by_heading": """SELECT record_id, school_id, date, grade, CAST(total_students AS DOUBLE) AS total_students,
+            CAST(present_students AS DOUBLE) AS present_students, teacher_present, marked_by, shift, count(*) AS exact_copies
+            FROM (SELECT *, unnest(['am', 'pm']) AS shift FROM raw_attendance) GROUP BY ALL""",
+        "csv_counts": """SELECT * REPLACE (CASE total_enrolled_students % 4 WHEN 0 THEN total_enrolled_students + 0.5::DOUBLE
+            WHEN 1 THEN NULL ELSE total_enrolled_students::DOUBLE END AS total_enrolled_students) FROM raw_school""",
+        "json_array": "SELECT * FROM raw_scores",
         "json_round_trip": "SELECT * FROM raw_scores",
         "parquet_round_trip": "SELECT * FROM attendance",
         "workbook_scan": "SELECT * FROM raw_procurement",
         "risk_table_write": risk_sql,
+        "risk_view": risk_sql,
+        "rescue_run": " UNION ALL ".join(audit),
         "adhoc_sql": f"""SELECT block, count(*) AS records, {r('avg(attendance_rate)', 'avg_rate')} FROM daily
             WHERE data_quality_status = 'VALID' GROUP BY block""",
     }
+    opened = {"vw_school_attendance_daily": "attendance_daily", "vw_school_attendance_monthly": "attendance_monthly",
+              "vw_school_mdm_summary": "procurement_summary", "vw_school_infrastructure_summary": "infra_summary",
+              "vw_school_test_summary": "test_summary", "vw_district_summary": "district_summary"}
+    bodies["warehouse_open"] = " UNION ALL ".join(
+        f"SELECT '{view}' AS relation, count(*) AS n_rows FROM ({bodies[name]})" for view, name in opened.items())
     twins = {name: twin(body) for name, body in bodies.items()}
     overview = ("SELECT district, avg(avg_attendance_rate) AS v FROM district_kpis WHERE district IS NOT NULL GROUP BY district")
     digest = twin(f"SELECT 1 FROM ({overview})").removesuffix(f"SELECT 1 FROM ({overview})")

@@ -77,6 +77,28 @@ def test_dates(spark):
         assert tuple(row) == (expected, *outcome), text
 
 
+@pytest.fixture
+def fallback_dates():
+    """Spellings outside the main layouts, and those of them that are still no day."""
+    days = dict.fromkeys((
+        "10/Apr/2025", "10.April.2025", "2025.04.10", "2025-Apr-10", "04.10.25", "10 April 2025 09:00",
+        "Thursday, 10 April 2025", "Thu 10 Apr 2025", "10-APRIL-25", "10th April 2025", "April 10th, 2025", "20250410T083000", "04/10/2025 14:30",
+        "04-10-2025 08:30:00", "04.10.2025 08:30", "4/10/2025 2:30 PM", "2025-04-10T08:30:00+05:30", "2025/04/10 08:30",
+    ), "2025-04-10")
+    return days | {
+        "13/04/2025 14:30": "2025-04-13", "13.04.25": "2025-04-13", "Sept 5, 2025": "2025-09-05", "Apr 2025": "2025-04-01",
+        "2025-04": "2025-04-01", "2025": "2025-01-01", "2025-13": None, "31 April 2025": None, "Aprilis 2025": None,
+        "04/10/2025 25:00": None, "2025-": None, "-": None, "next Monday": None,
+    }
+
+
+def test_fallback_dates(spark, fallback_dates):
+    for (text, day), row in zip(fallback_dates.items(), apply(spark, parse_date, list(fallback_dates))):
+        expected = day and datetime.date.fromisoformat(day)
+        method = "UNPARSED_ERROR" if day is None else "PANDAS_FALLBACK"
+        assert tuple(row) == (expected, method, day is not None, day is None), text
+
+
 def test_booleans(spark):
     spelt = {word.title(): True for word in TRUE_WORDS} | {word.lower(): False for word in FALSE_WORDS}
     check(spark, parse_boolean, spelt | {

@@ -17,7 +17,8 @@ SF = "/root/testdata/sf0.001"
 
 def frame(spark, name, rows):
     schema = schemas.RAW_SCHEMAS[name]
-    return spark.createDataFrame([tuple(row.get(c) for c in schema.names) for row in rows], schema)
+    rows = [tuple(float(v) if isinstance(v := row.get(c), int) else v for c in schema.names) for row in rows]
+    return spark.createDataFrame(rows, schema)
 
 
 def attendance(spark, *rows):
@@ -200,3 +201,29 @@ def test_monthly_counts_add_up(spark):
     star = derived.star(spark, SF)
     total = views.attendance_monthly(star).agg(F.sum("total_records")).first()[0]
     assert total == star.attendance.count()
+
+
+def test_scoped_reports_reduce_only_facts_in_scope(spark):
+    star = derived.star(spark, SF)
+    logical = reports.kpi_scoped(star, "Nation_3")._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Join LeftSemi") == 2
+    trend = reports.trend_by_district(star, "Nation_3")._jdf.queryExecution().optimizedPlan().toString()
+    assert trend.count("Join LeftSemi") == 1
+
+
+def test_months_are_filtered_above_the_aggregates(spark):
+    star = derived.star(spark, SF)
+    patterns = [
+        report(star)._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(lower(")
+        for report in (views.attendance_monthly, reports.monthly_trend)
+    ]
+    assert patterns[0] == patterns[1] > 0
+
+
+def test_merge_settles_ties_wherever_the_rows_lie(spark):
+    rows = [("7", d, "yes" if d == "2025-01-07" else None, "no", None, None, None, who, None)
+            for d in ("2025-01-06", "2025-01-07") for who in ("x", "y")]
+    df = spark.createDataFrame(rows, schemas.SCHOOL_INFRASTRUCTURE)
+    history = cleaners.clean_infrastructure(df)
+    first = cleaners.current_infrastructure(history.repartition(3)).collect()
+    assert first == cleaners.current_infrastructure(history.repartition(5, "inspector_name")).collect()

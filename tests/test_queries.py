@@ -9,7 +9,7 @@ from compare import difference, open_duckdb
 SF = "/root/testdata/sf0.001"
 
 CHECKED = (
-    "normalize_id", "normalize_date", "normalize_boolean", "title_case", "dedup_exact",
+    "normalize_id", "normalize_date", "normalize_date_fallback", "csv_by_heading", "csv_counts", "json_array", "normalize_boolean", "title_case", "dedup_exact",
     "first_non_null_per_key", "latest_snapshot", "school_master_clean", "attendance_clean",
     "procurement_clean", "infra_current", "scores_clean", "audit_counts", "attendance_daily",
     "district_summary", "kpi_scoped", "monthly_trend", "proxy_top20", "welfare_risk", "workbook_scan",

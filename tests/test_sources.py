@@ -239,3 +239,12 @@ def test_ad_hoc_errors_and_commands_are_refused(spark, warehouse, text):
     df, error = tables.try_query(spark, text)
     assert df is None and error
     assert spark.table("dim_school").count() > 0
+
+
+@pytest.mark.parametrize("text", ["select 1 as a) x join (select 2 as b", "DROP VIEW IF EXISTS v", "EXTENDED SELECT 1"])
+def test_only_whole_queries_are_read(spark, text):
+    assert tables.try_query(spark, text)[0] is None
+
+
+def test_a_query_may_have_brackets_and_a_semicolon(spark):
+    assert tables.read_query(spark, "SELECT (1 + 2) AS a;").first().a == 3
