@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chalkline.llm import byte_rnn, decontaminate, hash_ring, katz, ngram_join, quality_rules, rule_ensemble, source_mix, token_rollup, toxicity_fm
+from chalkline.llm import byte_rnn, decontaminate, hash_ring, katz_ngrams, ngram_join, quality_rules, rule_ensemble, source_mix, token_rollup, toxicity_fm
 from chalkline.llm.twins import TWINS
 from chalkline.sources.tables import scratch_path
 
@@ -15,7 +15,7 @@ def _table(spark, sf_dir, name):
 
 
 def op1_katz(spark, sf_dir):
-    return katz.held_out_scores(_table(spark, sf_dir, "documents"))
+    return katz_ngrams.held_out_scores(_table(spark, sf_dir, "documents"))
 
 
 def op2_token_rollup(spark, sf_dir):
