@@ -1,7 +1,7 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 A document is the set of its distinct five-word shingles, as 64-bit hashes. Two documents link when
-100 * |A and B| >= percent * |A or B|. The join is exact and keeps all links between different sets:
+100 * |A and B| >= percent * |A or B|. The join is exact and gives all links between different sets:
 
 1. Documents with equal sets are one class; its signature (the sum of its hashes) stands for it.
 2. In one order of all shingles, a pair that links shares at least l shingles among the first
@@ -12,10 +12,13 @@ A document is the set of its distinct five-word shingles, as 64-bit hashes. Two
    candidates need l common shingles. Pairs use the smaller l of the two.
 4. Every class is first verified against the most central class it shares a posting with, which joins groups of
    near copies at linear cost; pairs still in different components are then enumerated, filtered by
-   their matches and sizes, and verified. Pairs within one component need no verification.
+   their matches and sizes, and verified. Components need no more than these links (`spanning`).
+5. Pairs within one component are verified too: block against block of its classes, or, where fewer pairs
+   meet in its postings than it has, those that share enough of their prefixes.
 
 Posting lists travel as packed arrays by ranges of the hash; a shingle that many documents of a task hold is sent once
-per task. Nothing is capped, and no step emits all pairs of a group.
+per task. Nothing is capped. The links of a group of near copies, and so the work of step 5, grow with the square of its
+classes; so does step 4's on a frequent prefix shingle of documents that do not link, in the task that owns it.
 """
 
 import numpy as np
@@ -32,6 +35,8 @@ WORDS = 5
 PERCENT = 80
 MOST_MATCHES = 8
 BITMAP_WORDS = 32
+BLOCK_SETS = 64
+BLOCK_SHINGLES = 16_384
 BUCKET_SHINGLES = 700_000
 FLUSH_SHINGLES = 600_000
 FLUSH_DOCUMENTS = 60_000
@@ -315,11 +320,13 @@ class Join:
         self.rows, self.links, self.labels = rows, links, labels
 
 
-def ngram_join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT) -> Join:
+def ngram_join(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT, spanning: bool = False,
+) -> Join:
     """Runs the join over whole texts and writes its tables to the scratch folder.
 
-    `links` are verified pairs of class signatures that span every component; classes are the rows of equal
-    signature. NULL and empty texts have no shingles and no links. Ids may be NULL or repeat, also with different
+    `links` are all pairs of class signatures that link, or, if `spanning`, verified ones that span every
+    component; classes are the rows of equal signature. NULL and empty texts have no shingles and no links. Ids may be NULL or repeat, also with different
     texts; other columns are not read. Empty tables give empty ones.
     """
     spark = small_batches(documents.sparkSession)
@@ -357,6 +364,8 @@ def ngram_join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     near = connected_components(first.select("a", "b"))
     across = written(verified(_cross_pairs(prefixes, near, sets, percent), sets, percent), "links-cross")
     links = first.unionByName(across)
+    if not spanning:
+        links = written(_inner_links(prefixes, near, sets, percent), "links-inner").unionByName(across)
     return Join(rows, links, near if across.isEmpty() else connected_components(links.select("a", "b")))
 
 
@@ -424,6 +433,80 @@ def _cross_pairs(prefixes, labels, sets, percent):
     return counted.where("common >= matches").select("a", "b")
 
 
+def _inner_links(prefixes, labels, sets, percent):
+    """(a, b, common, either) of all links within the components."""
+    own = prefixes.join(labels.select(F.col("id").alias("sig"), "label"), "sig")
+    held = own.groupBy("label", "shingle").agg(F.count("*").alias("m"))
+    met = held.groupBy("label").agg(F.sum(F.col("m") * (F.col("m") - 1)).alias("met"))
+    sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+    way = sizes.join(met, "label", "left").select(
+        "label", "size", ((F.col("size") <= BLOCK_SETS) | (F.col("size") * (F.col("size") - 1) <= F.coalesce("met", F.lit(0)))).alias("whole")
+    )
+    ways = labels.join(way, "label").select(F.col("id").alias("sig"), "label", "size", "whole")
+    members = sets.dropDuplicates(["sig"]).join(ways.where("whole"), "sig")
+    blocks = F.ceil(F.col("size") / BLOCK_SETS)
+    placed = members.withColumn("block", F.pmod(F.xxhash64("sig"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    cell = F.concat_ws(" ", "label", F.least("block", "other"), F.greatest("block", "other")).alias("cell")
+    blockwise = grouped(placed.select(cell, "block", "sig", "shingles"), "cell").mapInArrow(
+        _block_links(percent), "a long, b long, common long, either long"
+    )
+    fewer = own.join(ways.where("NOT whole").select("sig", "size"), "sig")
+    postings = fewer.join(held, ["label", "shingle"]).where("m > 1")
+    # A hot posting is split: x lies in one of its parts, y in all.
+    parts = F.ceil(F.col("m") / BLOCK_SETS)
+    x = postings.withColumn("part", F.pmod(F.xxhash64("sig"), parts)).alias("x")
+    y = postings.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).alias("y")
+    same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") == F.col("y.label")) & (F.col("x.part") == F.col("y.part"))
+    pairs = x.join(y, same & (F.col("x.sig") < F.col("y.sig")) & _near_enough(percent)).select(
+        F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), F.least("x.matches", "y.matches").alias("matches")
+    ).groupBy("a", "b", "matches").agg(F.count("*").alias("common")).where("common >= matches")
+    return blockwise.unionByName(verified(pairs, sets, percent))
+
+
+def _block_links(percent):
+    """The links between two blocks of sets, or within one."""
+    def run(batches):
+        for _, rows in by_key(batches):
+            sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
+            sizes = np.array([len(s) for s in sets])
+            hashes, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            known, index, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+            shared = counts > 1
+            place, often = (np.cumsum(shared) - 1)[index], shared[index]
+            order = np.argsort(place[often], kind="stable")
+            place, owners = place[often][order], owners[often][order]
+            common = np.zeros((len(sets), len(sets)))
+            for first in range(0, int(shared.sum()), BLOCK_SHINGLES):
+                a, b = np.searchsorted(place, (first, first + BLOCK_SHINGLES))
+                holds = np.zeros((len(sets), BLOCK_SHINGLES), dtype=np.float32)
+                holds[owners[a:b], place[a:b] - first] = 1
+                common += holds @ holds.T
+            common = common.astype(np.int64)
+            either = sizes[:, None] + sizes - common
+            blocks, sigs = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+            # Of a cell of two blocks only pairs across them are its own.
+            own = (blocks[:, None] != blocks) if rows[0][0].split()[1] != rows[0][0].split()[2] else True
+            x, y = np.nonzero((100 * common >= percent * either) & (sigs[:, None] < sigs) & own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sigs[x]), pa.array(sigs[y]), pa.array(common[x, y]), pa.array(either[x, y])], names=["a", "b", "common", "either"]
+            )
+
+    return run
+
+
+def links_by_document(join: Join) -> DataFrame:
+    """`components_by_document` and n_links, the number of other rows that link with a row; equal sets link.
+
+    The join must not be a `spanning` one.
+    """
+    copies = join.rows.where("n_shingles > 0").groupBy("sig").agg(F.count("*").alias("copies"))
+    ends = join.links.select("a", "b").unionByName(join.links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(copies.withColumnRenamed("sig", "b"), "b").groupBy(F.col("a").alias("sig")).agg(F.sum("copies").alias("others"))
+    counted = copies.join(others, "sig", "left").select("sig", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    own = components_by_document(join).join(counted, "sig", "left")
+    return own.withColumn("n_links", F.when(F.col("n_shingles") > 0, F.col("n_links")).otherwise(F.lit(0).cast("long")))
+
+
 def components_by_document(join: Join) -> DataFrame:
     """(doc_id, n_shingles, sig, component, component_id), one row per row of the documents.
 
@@ -449,7 +532,7 @@ def drop_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     The row with the smallest id stays (NULL ids come last; of several texts under that id, the one with the
     smallest hash). Rows without shingles all stay. A row that repeats another in id and text counts as its copy.
     """
-    join = ngram_join(documents, doc_id, text, percent=percent)
+    join = ngram_join(documents, doc_id, text, percent=percent, spanning=True)
     rows = _labelled(join).where("n_shingles > 0")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     first = rows.groupBy("component").agg(F.min(order).alias("kept")).select("component", "kept.doc_id", "kept.text_hash")

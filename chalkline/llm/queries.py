@@ -49,10 +49,15 @@ def op4_toxicity_fm(spark, sf_dir):
 
 
 def op5_ngram_join(spark, sf_dir):
-    join = ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
+    join = ngram_join.ngram_join(_table(spark, sf_dir, "documents"), spanning=True)
     return ngram_join.components_by_document(join).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_ngram_links(spark, sf_dir):
+    join = ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
+    return ngram_join.links_by_document(join).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op6_hash_ring(spark, sf_dir):
     placed = hash_ring.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -99,6 +104,7 @@ QUERIES = {
     "op3_rule_ensemble": op3_rule_ensemble,
     "op4_toxicity_fm": op4_toxicity_fm,
     "op5_ngram_join": op5_ngram_join,
+    "op5_ngram_links": op5_ngram_links,
     "op6_hash_ring": op6_hash_ring,
     "op7_source_mix": op7_source_mix,
     "op8_decontaminate": op8_decontaminate,

@@ -5,9 +5,10 @@ import math
 import re
 import zlib
 
+import numpy as np
 import pytest
 
-from chalkline.llm import katz, katz_ngrams
+from chalkline.llm import katz, katz_ngrams, ngram_join
 from chalkline.llm.queries import QUERIES
 
 WORD = re.compile(r"[^ \t-\r]+")
@@ -76,3 +77,38 @@ def test_katz_pairs_of_rare_words(spark):
     probe = spark.createDataFrame([(1, "the cat"), (2, "the dog"), (3, "a dog ran"), (4, "the dog ran")], "doc_id long, text string")
     scores = {r["doc_id"]: r["score"] for r in katz_ngrams.score(probe, katz_ngrams.train(texts)).collect()}
     assert scores[1] > scores[2] and scores[3] > scores[4]
+
+
+def links_by_counting(texts, percent=80):
+    sets = {}
+    for i, text in texts.items():
+        tokens = WORD.findall(lowered(text))
+        sets[i] = {tuple(tokens[k:k + 5]) for k in range(max(len(tokens) - 4, 1))} if tokens else set()
+    return {i: sum(
+        j != i and bool(own) and bool(sets[j]) and 100 * len(own & sets[j]) >= percent * len(own | sets[j]) for j in sets
+    ) for i, own in sets.items()}
+
+
+@pytest.mark.parametrize("block,sizes", [(64, (1, 60)), (3, (1, 60)), (1, (30, 60))])
+def test_join_gives_all_links_of_a_component(spark, monkeypatch, block, sizes):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", block)
+    rng = np.random.default_rng(block)
+    texts = {}
+    for _ in range(6):
+        copy = [str(rng.integers(40)) for _ in range(rng.integers(*sizes))]
+        for _ in range(9):
+            texts[len(texts)] = " ".join(copy)
+            copy = list(copy)
+            for _ in range(rng.integers(0, 2)):
+                copy[rng.integers(len(copy))] = str(rng.integers(40))  # a chain: its ends may not link
+    table = spark.createDataFrame([*texts.items(), (900, None), (901, " ")], "doc_id long, text string")
+    join = ngram_join.ngram_join(table)
+    assert join.links.select("a", "b").distinct().count() == join.links.count()
+    found = {r["doc_id"]: r["n_links"] for r in ngram_join.links_by_document(join).collect()}
+    assert found == {**links_by_counting(texts), 900: 0, 901: 0}
+
+
+def test_links_of_given_documents(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    found = {r["doc_id"]: r["n_links"] for r in QUERIES["op5_ngram_links"](spark, "/root/testdata/sf0.001").collect()}
+    assert found == links_by_counting({r["doc_id"]: r["text"] for r in documents.collect()})
