@@ -47,7 +47,8 @@ def normalised_words(text: str | None) -> list[bytes]:
 def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """(pattern, items): the distinct windows and the sorted ids of the items that hold them.
 
-    Items without words have no window; an item on several rows has the windows of all of them.
+    Items without words have no window; an item on several rows has the windows of all of them. Windows of
+    a row without an id are patterns like others, but bring no id.
     """
     def split(batches):
         for batch in batches:
@@ -60,7 +61,7 @@ def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
             yield pa.RecordBatch.from_pydict({"item": pa.array(ids, pa.string()), "pattern": pa.array(patterns, pa.string())})
 
     pairs = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("body"))
-    windows = pairs.where("item IS NOT NULL").mapInArrow(split, "item string, pattern string")
+    windows = pairs.mapInArrow(split, "item string, pattern string")
     return windows.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
@@ -153,11 +154,20 @@ def find_contamination(
     merged = parts.groupBy("row_id").agg(
         F.first("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    ids = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(doc_id, text).alias("row_id"))
-    return ids.join(merged, "row_id").drop("row_id")
+    ids = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(doc_id, text).alias("row_id"), F.col(text).alias("body"))
+    found = ids.join(merged, "row_id").select("doc_id", "n_words", "hit_words", "items", "body")
+
+    def spans(batches):
+        for batch in batches:
+            own = [_original_spans(b, h) if h else [] for h, b in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(own, pa.list_(pa.list_(pa.int64()))), batch.column(3)],
+                names=["doc_id", "n_words", "hit_words", "spans", "items"],
+            )
+
+    return found.mapInArrow(spans, T.StructType([T.StructField("doc_id", T.LongType()), *HITS.fields[1:]]))
 
 
 def report(hits: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from chalkline.llm import katz, katz_ngrams, ngram_join
+from chalkline.llm import decontaminate, katz, katz_ngrams, ngram_join
 from chalkline.llm.queries import QUERIES
 
 WORD = re.compile(r"[^ \t-\r]+")
@@ -112,3 +112,14 @@ def test_links_of_given_documents(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     found = {r["doc_id"]: r["n_links"] for r in QUERIES["op5_ngram_links"](spark, "/root/testdata/sf0.001").collect()}
     assert found == links_by_counting({r["doc_id"]: r["text"] for r in documents.collect()})
+
+
+def test_windows_of_an_item_without_id(spark):
+    benchmark = spark.createDataFrame([(None, "red green blue"), (1, "green blue grey"), (2, "one two")], "item_id long, text string")
+    texts = [(1, "a red green blue b"), (2, "red green blue grey"), (3, "red green"), (None, None)]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    for size in (decontaminate.PATTERN_BYTES, 60):
+        rows = decontaminate.find_contamination(table, benchmark, pattern_bytes=size).collect()
+        found = {r["doc_id"]: (r["hit_words"], r["items"], r["spans"]) for r in rows}
+        assert found == {1: ([1, 2, 3], [], [[2, 16]]), 2: ([0, 1, 2, 3], ["1"], [[0, 19]]), 3: ([], [], []), None: ([], [], [])}
+    assert sorted(str(r["doc_id"]) for r in decontaminate.drop_contaminated(table, benchmark).collect()) == ["3", "None"]
