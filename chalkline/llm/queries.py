@@ -22,12 +22,12 @@ def op2_token_rollup(spark, sf_dir):
     """All documents are counted by one tokenizer; some are then deleted, others revised (digits removed), which is
     sent twice; the rest are counted by a second tokenizer version. The result is the rollup."""
     ledger = token_rollup.Ledger(spark, scratch_path(spark, "token-counts"))
-    documents = _table(spark, sf_dir, "documents")
+    documents = _table(spark, sf_dir, "documents").withColumn("doc_key", token_rollup.document_key())
     digit = F.pmod("doc_id", F.lit(10))
     gone, revised = F.coalesce(digit == 3, F.lit(False)), F.coalesce(digit == 7, F.lit(False))
     first = token_rollup.word_counts(documents, "words-1")
     scrubbed = documents.where(revised).withColumn("text", F.regexp_replace("text", "[0-9]+", ""))
-    second = token_rollup.word_counts(scrubbed, "words-1", "revise").unionByName(
+    second = token_rollup.word_counts(scrubbed, "words-1", "revise", F.col("doc_key")).unionByName(
         token_rollup.word_counts(documents.where(gone), "words-1", "delete")
     )
     third = token_rollup.word_counts(documents.where(~gone), "words-2")

@@ -13,27 +13,41 @@ import base64
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The word tokenizers by version. A vocabulary file of a byte-pair tokenizer is another (`bpe_counts`).
 WORD_TOKENIZERS = {"words-1": r"[^\x20\x09-\x0D]+", "words-2": r"[^\x09-\x0D\x20-\x2F\x3A-\x40]+"}
 
-KEY = ("doc_id", "tokenizer")
+KEY = ("doc_id", "tokenizer", "doc_key")
 GROUP = ("source", "lang", "tokenizer")
 
 
-def word_counts(documents: DataFrame, tokenizer: str, op: str = "insert") -> DataFrame:
-    """Changes for every row of `documents`; NULL texts have no tokens."""
+def document_key() -> Column:
+    """Tells documents of one id, or of none, apart: a hash of source, language and text, NULLs included."""
+    return F.xxhash64(*[x for c in ("source", "lang", "text") for x in (F.col(c).isNull(), F.col(c))])
+
+
+def _with_copies(changes: DataFrame) -> DataFrame:
+    """One change for equal rows, with their number."""
+    return changes.groupBy("op", *KEY, "source", "lang", "n_tokens").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def word_counts(documents: DataFrame, tokenizer: str, op: str = "insert", key: Column | None = None) -> DataFrame:
+    """Changes for every row of `documents`; NULL texts have no tokens. Equal rows are one change with its `copies`.
+
+    `key` is the `document_key` of the rows as they were inserted, where they are revised (default: of the rows as they are).
+    """
     body = F.coalesce(F.col("text"), F.lit(""))
-    return documents.select(
+    return _with_copies(documents.select(
         F.lit(op).alias("op"), F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.lit(tokenizer).alias("tokenizer"),
+        (document_key() if key is None else key).alias("doc_key"),
         F.regexp_count(body, F.lit(WORD_TOKENIZERS[tokenizer])).cast("long").alias("n_tokens"),
-    )
+    ))
 
 
-def bpe_counts(documents: DataFrame, path: str, pattern: str, tokenizer: str, op: str = "insert") -> DataFrame:
-    """Changes counted by a byte-pair vocabulary, a file of base64 tokens and ranks that the driver reads and broadcasts."""
+def bpe_counts(documents: DataFrame, path: str, pattern: str, tokenizer: str, op: str = "insert", key: Column | None = None) -> DataFrame:
+    """Changes as those of `word_counts`, counted by a byte-pair vocabulary, a file of base64 tokens and ranks that the driver reads and broadcasts."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     source = documents.sparkSession.sparkContext.broadcast(ranks)
@@ -46,11 +60,14 @@ def bpe_counts(documents: DataFrame, path: str, pattern: str, tokenizer: str, op
             counts = [len(encoding.encode_ordinary(text or "")) for text in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 pa.array([op] * len(counts), pa.string()), batch.column(0), batch.column(1), batch.column(2),
-                pa.array([tokenizer] * len(counts), pa.string()), pa.array(counts, pa.int64()),
-            ], names=["op", "doc_id", "source", "lang", "tokenizer", "n_tokens"])
+                pa.array([tokenizer] * len(counts), pa.string()), batch.column(4), pa.array(counts, pa.int64()),
+            ], names=["op", "doc_id", "source", "lang", "tokenizer", "doc_key", "n_tokens"])
 
-    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string"), F.col("lang").cast("string"), "text")
-    return own.mapInArrow(run, "op string, doc_id long, source string, lang string, tokenizer string, n_tokens long")
+    own = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string"), F.col("lang").cast("string"), "text",
+        (document_key() if key is None else key).alias("doc_key"),
+    )
+    return _with_copies(own.mapInArrow(run, "op string, doc_id long, source string, lang string, tokenizer string, doc_key long, n_tokens long"))
 
 
 class Ledger:
@@ -76,30 +93,36 @@ class Ledger:
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{kind}/{name}" for name in names])
 
     def entries(self) -> DataFrame:
-        return self._read("entries", "doc_id long, tokenizer string, source string, lang string, n_docs long, n_tokens long")
+        return self._read("entries", "doc_id long, tokenizer string, doc_key long, source string, lang string, n_docs long, n_tokens long")
 
     def live(self) -> DataFrame:
-        """(doc_id, tokenizer, source, lang, n_tokens) of the counts that hold now."""
+        """(doc_id, tokenizer, doc_key, source, lang, n_docs, n_tokens) of the counts that hold now, copies added up."""
         found = self.entries().groupBy(*KEY, "source", "lang").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return found.where("n_docs > 0").drop("n_docs")
+        return found.where("n_docs > 0")
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Commits a batch of changes (op, doc_id, source, lang, tokenizer, n_tokens); False if it was committed before.
 
         op is insert, revise or delete. Inserting a live count revises it, revising an unknown one inserts it,
         deleting an unknown one does nothing. Of several changes of one document and tokenizer in a batch, the
-        greatest by (op, source, lang, n_tokens) holds, so repeated rows count once. NULL is an id, a source and
-        a language like any other; NULL counts are 0. Extra columns are not read. An empty batch commits.
+        greatest by (op, source, lang, n_tokens, copies) holds, so a repeated change counts once. A document is an id,
+        and with the optional column `doc_key` an id and that key; the optional `copies` says how many equal
+        documents the change is for. NULL is an id, a key, a source and a language like any other; NULL counts are 0.
+        Extra columns are not read. An empty batch commits.
         """
         if batch in self.committed():
             return False
-        fields = F.struct("op", "source", "lang", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
+        for name, default in (("doc_key", None), ("copies", 1)):
+            if name not in changes.columns:
+                changes = changes.withColumn(name, F.lit(default).cast("long"))
+        fields = F.struct("op", "source", "lang", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.col("copies").alias("n_docs"))
         latest = changes.groupBy(*KEY).agg(F.max(fields).alias("c")).select(*KEY, "c.*")
         known = self.entries().alias("e").join(
             latest.select(*[F.col(k).alias(f"k_{k}") for k in KEY]),
-            F.col("e.doc_id").eqNullSafe(F.col("k_doc_id")) & F.col("e.tokenizer").eqNullSafe(F.col("k_tokenizer")), "left_semi",
+            F.col("e.doc_id").eqNullSafe(F.col("k_doc_id")) & F.col("e.tokenizer").eqNullSafe(F.col("k_tokenizer"))
+            & F.col("e.doc_key").eqNullSafe(F.col("k_doc_key")), "left_semi",
         )
-        added = latest.where("op IN ('insert', 'revise')").select(*KEY, "source", "lang", F.lit(1).cast("long").alias("n_docs"), "n_tokens")
+        added = latest.where("op IN ('insert', 'revise')").select(*KEY, "source", "lang", "n_docs", (F.col("n_docs") * F.col("n_tokens")).alias("n_tokens"))
         before = known.groupBy(*KEY, "source", "lang").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         taken = before.where("n_docs > 0").select(*KEY, "source", "lang", (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens"))
         added.unionByName(taken).write.mode("overwrite").parquet(f"{self.root}/entries/{batch}")

@@ -7,9 +7,13 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from chalkline.llm import decontaminate, katz, katz_ngrams, ngram_join
+from chalkline.llm import decontaminate, katz, katz_ngrams, ngram_join, source_mix
 from chalkline.llm.queries import QUERIES
+from chalkline.llm.twins import TWINS
+from compare import difference
+from test_queries_llm import views
 
 WORD = re.compile(r"[^ \t-\r]+")
 
@@ -123,3 +127,7 @@ def test_windows_of_an_item_without_id(spark):
         found = {r["doc_id"]: (r["hit_words"], r["items"], r["spans"]) for r in rows}
         assert found == {1: ([1, 2, 3], [], [[2, 16]]), 2: ([0, 1, 2, 3], ["1"], [[0, 19]]), 3: ([], [], []), None: ([], [], [])}
     assert sorted(str(r["doc_id"]) for r in decontaminate.drop_contaminated(table, benchmark).collect()) == ["3", "None"]
+
+
+def test_rollup_counts_every_row(spark, odd_tables):
+    assert difference(QUERIES["op2_token_rollup"](spark, odd_tables), views(odd_tables), TWINS["op2_token_rollup"]) is None
