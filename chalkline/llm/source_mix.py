@@ -94,11 +94,16 @@ def route(pattern_words: dict, members: dict, targets: dict, costs=COPY_COSTS) -
     return {(tail[1], head[1]): flow for tail, head, _, _, flow in arcs if tail != "all" and head != "mix"}
 
 
+def member_set(sources: Column) -> Column:
+    """The sorted distinct sources of a row; none for a NULL array."""
+    return F.array_sort(F.array_distinct(F.coalesce(sources.cast("array<string>"), F.array().cast("array<string>"))))
+
+
 def sized_rows(documents: DataFrame, sources: Column, doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
     """(doc_id, members, pattern, size, pick, cell): one row per row of `documents`. NULL texts have no words."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = documents.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), F.array_sort(F.array_distinct(sources)).alias("members"),
+        F.col(f"`{doc_id}`").alias("doc_id"), member_set(sources).alias("members"),
         F.regexp_count(body, F.lit(WORD)).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.crc32(body.cast("binary"))).alias("pick"),
     )
@@ -106,13 +111,13 @@ def sized_rows(documents: DataFrame, sources: Column, doc_id: str = "doc_id", te
 
 
 class Mix:
-    """A decided mix: the sources' `sizes` and `targets`, and `plan`, one (pattern, whole, last_cell, last_pick) per pattern.
+    """A decided mix: the sources' `sizes` and `targets`, the column `sources` it was decided by, and `plan`, one (pattern, whole, last_cell, last_pick) per pattern.
 
     A row takes part `whole` times, and once more when it comes before the end of the seeded order's last copy.
     """
 
-    def __init__(self, rows, sizes, targets, plan):
-        self.rows, self.sizes, self.targets, self.plan = rows, sizes, targets, plan
+    def __init__(self, rows, sizes, targets, plan, sources):
+        self.rows, self.sizes, self.targets, self.plan, self.sources = rows, sizes, targets, plan, sources
 
     def with_copies(self, rows: DataFrame) -> DataFrame:
         """Adds `copies` to rows that have pattern, pick and cell. The plan has a row per combination of sources in use."""
@@ -155,7 +160,7 @@ def plan_mix(
         taken[key] = taken.get(key, 0) + flow
     ends = {key: _copies(taken.get(key, 0), pattern_words[key], by_cell[key]) for key in pattern_words}
     last = _last_picks(rows, [(key, cell, wanted) for key, (_, cell, wanted) in ends.items()])
-    return Mix(rows, sizes, targets, [(key, whole, cell, last.get(key)) for key, (whole, cell, _) in ends.items()])
+    return Mix(rows, sizes, targets, [(key, whole, cell, last.get(key)) for key, (whole, cell, _) in ends.items()], members)
 
 
 def _copies(taken: int, words: int, by_cell: dict) -> tuple[int, int, int]:
@@ -186,12 +191,18 @@ def mixed_rows(mix: Mix) -> DataFrame:
     )
 
 
-def apply_mix(documents: DataFrame, mix: Mix, doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
-    """The rows of `documents`, with their columns, as often as the mix takes them. Nothing is shuffled."""
+def apply_mix(
+    documents: DataFrame, mix: Mix, doc_id: str = "doc_id", text: str = "text", seed: int = SEED, sources: Column | None = None,
+) -> DataFrame:
+    """The rows of `documents`, with their columns, as often as the mix takes them. Nothing is shuffled.
+
+    `sources` is the array column that `plan_mix` was given (default: the very same).
+    """
+    members = mix.sources if sources is None else sources
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     picked = documents.select(
-        row.alias("row"), F.to_json(F.array("source")).alias("pattern"),
+        row.alias("row"), F.to_json(member_set(members)).alias("pattern"),
         F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.crc32(body.cast("binary"))).alias("pick"),
     ).withColumn("cell", F.pmod("pick", F.lit(CELLS)).cast("int"))
     counted = mix.with_copies(picked).where("copies > 0")

@@ -131,3 +131,15 @@ def test_windows_of_an_item_without_id(spark):
 
 def test_rollup_counts_every_row(spark, odd_tables):
     assert difference(QUERIES["op2_token_rollup"](spark, odd_tables), views(odd_tables), TWINS["op2_token_rollup"]) is None
+
+
+def test_mix_of_overlapping_sources_is_applied(spark):
+    rows = [(i, f"w{i} " * (i % 7 + 1), ["a"] if i % 3 == 0 else ["b", "a"] if i % 3 == 1 else ["b", "c", "a", "b"]) for i in range(300)]
+    table = spark.createDataFrame([*rows, (900, "x y", None), (901, "x y", [])], "doc_id long, text string, belongs array<string>")
+    mix = source_mix.plan_mix(table, F.col("belongs"))
+    planned = {r["doc_id"]: r["copies"] for r in source_mix.mixed_rows(mix).collect() if r["copies"]}
+    assert {tuple(rows[i][2]) for i in planned} == {("a",), ("b", "a"), ("b", "c", "a", "b")} and abs(
+        sum(copies * (i % 7 + 1) for i, copies in planned.items()) - sum(mix.targets.values())
+    ) <= 3 * 7
+    for applied in (source_mix.apply_mix(table, mix), source_mix.apply_mix(table, mix, sources=F.col("belongs"))):
+        assert collections.Counter(r["doc_id"] for r in applied.collect()) == planned
