@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chalkline.llm import byte_rnn, decontaminate, hash_ring, katz_ngrams, ngram_join, quality_rules, rule_ensemble, source_mix, token_rollup, toxicity_fm
+from chalkline.llm import byte_rnn, decontaminate, hash_ring, katz_ngrams, ngram_join, quality_rules, rule_ensemble, source_mix, token_rollup, toxicity_fm, turn_repair
 from chalkline.llm.twins import TWINS
 from chalkline.sources.tables import scratch_path
 
@@ -98,6 +98,10 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_turn_repair(spark, sf_dir):
+    return turn_repair.repair(turn_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_katz": op1_katz,
     "op2_token_rollup": op2_token_rollup,
@@ -110,4 +114,5 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_byte_rnn": op9_byte_rnn,
     "op10_quality_rules": op10_quality_rules,
+    "op11_turn_repair": op11_turn_repair,
 }

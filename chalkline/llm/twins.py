@@ -97,4 +97,67 @@ def _quality_twin():
     """
 
 
-TWINS = {"op2_token_rollup": OP2, "op5_ngram_join": OP5, "op8_decontaminate": OP8, "op10_quality_rules": _quality_twin()}
+def _repair_twin():
+    def way(cost, letter, after, turn=None):
+        turns = f"{after}.t" if turn is None else f"list_prepend({turn}, {after}.t)"
+        return f"{{'c': {cost} + {after}.c, 'a': '{letter}' || {after}.a, 't': {turns}}}"
+
+    def least(*ways):
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def before(place, following, name, kept):
+        """The cheapest way from a place at a row, without inserts before it."""
+        ways, spoken = [way("3", "D", place)], "role || ':' || text"
+        changed = way("(2 + cut)", "R", following, f"'{name}:' || text")
+        keep = " ".join(f"WHEN '{initial}' THEN {way('cut', 'K', to, spoken)}" for initial, to in kept)
+        free = least(*ways, changed, f"CASE init {keep} ELSE {changed} END")
+        return f"CASE WHEN gone THEN {ways[0]} ELSE {free} END"
+
+    def inserted(place, following, name):
+        return least(place, way("2", "I", following, f"'{name}:'"))
+
+    nothing, both = "CAST([] AS VARCHAR[])", "['user:', 'assistant:']"
+    return rf"""
+    WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) AS r(i))),
+    keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+    drawn AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(string_split(key, ''), lambda x: CAST(ord(x) AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) % 20 AS draw FROM keyed, crc),
+    damaged AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role, CASE draw WHEN 1 THEN ''
+            WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM drawn, (SELECT unnest([1, 2]) AS copy) WHERE draw <> 0 AND (copy = 1 OR draw = 3)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth FROM placed),
+    judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+            WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+        left(role, 1) AS init, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS prev FROM ranked),
+    counted AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (prev || init NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+    ways AS (
+        SELECT conv_id, n AS pos, {{'c': 0, 'a': '', 't': {nothing}}} AS e, {{'c': 4, 'a': 'II', 't': {both}}} AS s,
+            {{'c': 2, 'a': 'I', 't': ['assistant:']}} AS u, {{'c': 0, 'a': '', 't': {nothing}}} AS a FROM counted
+        UNION ALL
+        SELECT conv_id, pos, {inserted('e', 'u', 'user')}, {inserted('s', 'u', 'user')}, u, {inserted('a', 'u', 'user')} FROM (
+            SELECT conv_id, pos, e, s, {inserted('u', 'a', 'assistant')} AS u, a FROM (
+                SELECT conv_id, pos - 1 AS pos, {before('e', 'u', 'user', [('s', 's'), ('u', 'u')])} AS e,
+                    {before('s', 'u', 'user', [('u', 'u')])} AS s, {before('u', 'a', 'assistant', [('a', 'a')])} AS u,
+                    {before('a', 'u', 'user', [('u', 'u')])} AS a
+                FROM (SELECT ways.*, j.init, j.role, j.text, CAST(j.fault = 'truncated' AS INT) AS cut, j.fault IN ('blank', 'duplicate') AS gone
+                    FROM ways JOIN judged AS j ON j.conv_id IS NOT DISTINCT FROM ways.conv_id AND j.pos = ways.pos)))),
+    cheapest AS (SELECT conv_id, e FROM ways WHERE pos = 0)
+    SELECT own.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(e.c, 0) AS BIGINT) AS cost,
+        coalesce(e.a, '') AS audit, sha256(coalesce(array_to_string(e.t, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) AS own
+        LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM own.conv_id
+        LEFT JOIN cheapest ON cheapest.conv_id IS NOT DISTINCT FROM own.conv_id
+    """
+
+
+TWINS = {
+    "op2_token_rollup": OP2, "op5_ngram_join": OP5, "op8_decontaminate": OP8, "op10_quality_rules": _quality_twin(),
+    "op11_turn_repair": _repair_twin(),
+}

@@ -23,6 +23,8 @@ def write_tables(spark, root, rows, labels, items):
     documents.write.parquet(f"{root}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    turns = [(1, 0, "user", "Hello there."), (1, 1, "assistant", None), (None, None, None, None), (2, 0, "tool", "x"), (2, 0, "tool", "x")]
+    spark.createDataFrame(turns if rows else [], "conv_id long, turn long, role string, text string").write.parquet(f"{root}/conversations.parquet")
     return root
 
 
