@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chalkline.llm import byte_rnn, decontaminate, hash_ring, katz_ngrams, ngram_join, quality_rules, rule_ensemble, source_mix, token_align, token_rollup, toxicity_fm, turn_repair
+from chalkline.llm import byte_rnn, decontaminate, hash_ring, hyperminhash, katz_ngrams, ngram_join, quality_rules, rule_ensemble, source_mix, token_align, token_rollup, toxicity_fm, turn_repair
 from chalkline.llm.twins import TWINS
 from chalkline.sources.tables import scratch_path
 
@@ -106,6 +106,10 @@ def op12_token_align(spark, sf_dir):
     return token_align.align(_table(spark, sf_dir, "documents"))
 
 
+def op13_hyperminhash(spark, sf_dir):
+    return hyperminhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_katz": op1_katz,
     "op2_token_rollup": op2_token_rollup,
@@ -120,4 +124,5 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_turn_repair": op11_turn_repair,
     "op12_token_align": op12_token_align,
+    "op13_hyperminhash": op13_hyperminhash,
 }

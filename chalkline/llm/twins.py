@@ -38,14 +38,14 @@ WITH counted AS (
 SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM counted GROUP BY ALL
 """
 
-OP5 = r"""
+_COMPONENTS = r"""
 WITH RECURSIVE split AS (
     SELECT row_number() OVER () AS row_no, doc_id,
         regexp_extract_all(LOWERED, '[^\x20\x09-\x0D]+') AS words
     FROM documents),
 shingle AS (
-    SELECT DISTINCT row_no, array_to_string(words[pos:pos + 4], ' ') AS shingle FROM (
-        SELECT row_no, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS pos FROM split WHERE len(words) > 0)),
+    SELECT DISTINCT row_no, array_to_string(words[pos:pos + MORE], ' ') AS shingle FROM (
+        SELECT row_no, words, unnest(range(1, greatest(len(words) - MORE, 1) + 1)) AS pos FROM split WHERE len(words) > 0)),
 sized AS (SELECT row_no, count(*) AS n FROM shingle GROUP BY row_no),
 common AS (
     SELECT x.row_no AS a, y.row_no AS b, count(*) AS n FROM shingle x JOIN shingle y USING (shingle)
@@ -60,6 +60,8 @@ SELECT split.doc_id, coalesce(any_value(sized.n), 0) AS n_shingles, min(other.do
 FROM split LEFT JOIN sized USING (row_no) JOIN reach ON reach.a = split.row_no JOIN split AS other ON other.row_no = reach.b
 GROUP BY split.row_no, split.doc_id
 """.replace("LOWERED", _LOWERED)
+OP5 = _COMPONENTS.replace("MORE", "4")
+OP13 = f"SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM ({_COMPONENTS.replace('MORE', '1')})"
 
 
 def _quality_twin():
@@ -159,5 +161,5 @@ def _repair_twin():
 
 TWINS = {
     "op2_token_rollup": OP2, "op5_ngram_join": OP5, "op8_decontaminate": OP8, "op10_quality_rules": _quality_twin(),
-    "op11_turn_repair": _repair_twin(),
+    "op11_turn_repair": _repair_twin(), "op13_hyperminhash": OP13,
 }
