@@ -10,7 +10,8 @@ in two sets with the probability of their similarity, if by chance not, with 2**
    agrees in none with a probability of about 1e-8, above it far less often.
 3. Of each band's bucket, every class is compared with the one of the least signature first. Pairs whose similarity, estimated from
    all registers less the agreements expected of different minima, may be enough are verified on the full
-   sets. That joins groups of near copies at linear cost.
+   sets. That joins groups of near copies at linear cost. Sizes, and bitmaps that show too many missing shingles, rule out most
+   others of the pairs before, never one that links.
 4. Where a bucket still holds several components, the classes outside the first one's component are compared with all others, block by
    block (`BLOCK` classes), and pairs of different components that pass the estimate are verified.
 
@@ -41,6 +42,7 @@ SEEN = 100_000
 
 EMPTY_REGISTER = np.uint16(65535)
 _BITS = 53
+_MAP_WORDS = 32
 _BANDS = REGISTERS // BAND
 _SALTS = mixed(np.arange(1, BAND + 1, dtype=np.uint64)) | np.uint64(1)
 _STEPS = (mixed(np.arange(PATHS * REGISTERS, dtype=np.uint64)) >> np.uint64(56)).astype(np.int64).reshape(PATHS, REGISTERS)
@@ -82,6 +84,15 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return filled
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The shingles of each set as a bitmap, by bits of their hashes that the registers are not chosen by."""
+    maps = np.zeros((len(sets), _MAP_WORDS * 64), dtype=np.uint8)
+    if sets:
+        at = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        maps[at, (np.concatenate(sets) & np.uint64(_MAP_WORDS * 64 - 1)).astype(np.int64)] = 1
+    return np.packbits(maps, axis=1).view(np.uint64)
+
+
 def band_keys(registers: np.ndarray) -> np.ndarray:
     """A 64-bit key for every band of every row of registers."""
     banded = registers[:, :_BANDS * BAND].reshape(len(registers), _BANDS, BAND).astype(np.uint64)
@@ -105,8 +116,17 @@ def estimates(agreeing: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (agreeing / REGISTERS - chance) / (1 - chance)
 
 
+def possible(n, m, one, other, percent):
+    """Whether sets of sizes n and m may link for all that their bitmaps (rows of words) tell; exact where they say no."""
+    need = -(-percent * (n + m) // (100 + percent))
+    lacking = np.bitwise_count(one & ~other).sum(axis=-1, dtype=np.int64), np.bitwise_count(other & ~one).sum(axis=-1, dtype=np.int64)
+    return (np.minimum(n, m) >= need) & (n - lacking[0] >= need) & (m - lacking[1] >= need)
+
+
 def _rows(n_words):
-    """(doc_id, text_hash, n_shingles, sig, registers); a set that the task has seen lately brings no registers again."""
+    """(doc_id, text_hash, n_shingles, sig, sketch); a set that the task has seen lately brings no sketch again.
+
+    A sketch is the registers and then the bitmap."""
     def run(batches):
         seen = set()
         for batch in batches:
@@ -119,49 +139,55 @@ def _rows(n_words):
                     new.append(at)
             if len(seen) > SEEN:
                 seen = set()
-            registers = [None] * len(sets)
-            for at, own in zip(new, sketches([sets[k] for k in new])):
-                registers[at] = own.tobytes()
+            sketch = [None] * len(sets)
+            chosen = [sets[k] for k in new]
+            for at, registers, bits in zip(new, sketches(chosen), bitmaps(chosen)):
+                sketch[at] = registers.tobytes() + bits.tobytes()
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), pa.array(registers, pa.binary()),
-            ], names=["doc_id", "text_hash", "n_shingles", "sig", "registers"])
+                batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), pa.array(sketch, pa.binary()),
+            ], names=["doc_id", "text_hash", "n_shingles", "sig", "sketch"])
 
     return run
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.uint16).reshape(-1, REGISTERS)
+def _loaded(column) -> tuple[np.ndarray, np.ndarray]:
+    """(registers, bitmaps) of a list of sketches."""
+    raw = np.frombuffer(b"".join(column), dtype=np.uint8).reshape(len(column), -1)
+    return np.ascontiguousarray(raw[:, :2 * REGISTERS]).view(np.uint16), np.ascontiguousarray(raw[:, 2 * REGISTERS:]).view(np.uint64)
 
 
 def _banded(batches):
     for batch in batches:
-        keys = band_keys(_matrix(batch.column(1).to_pylist())).view(np.int64)
+        keys = band_keys(_loaded(batch.column(1).to_pylist())[0]).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), keys.shape[1]))], names=["band", "sig"])
 
 
-def _likely(least):
-    """Of pairs (a, b, n, m, one, other) with registers those whose estimate reaches `least`."""
+def _likely(percent):
+    """Of pairs (a, b, n, m, one, other) with sketches those that may link, with a similarity estimated as `percent` less the margin or more."""
     def run(batches):
         for batch in batches:
-            agreeing = (_matrix(batch.column(4).to_pylist()) == _matrix(batch.column(5).to_pylist())).sum(axis=1)
-            keep = estimates(agreeing, batch.column(2).to_numpy(), batch.column(3).to_numpy()) >= least
+            (one, one_bits), (other, other_bits) = (_loaded(batch.column(k).to_pylist()) for k in (4, 5))
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            keep = estimates((one == other).sum(axis=1), n, m) >= percent / 100 - MARGIN
+            keep &= possible(n, m, one_bits, other_bits, percent)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def _block_pairs(least):
-    """The pairs of a cell's rows (cell, seeking, sig, label, n, registers), one seeking, of different components whose estimate reaches `least`."""
+def _block_pairs(percent):
+    """The same of a cell's rows (cell, seeking, sig, label, n, sketch): pairs of a row that seeks and one that is sought, of different components."""
     def run(batches):
         for _, rows in by_key(batches):
-            _, seeking, sigs, labels, n, registers = zip(*rows)
-            registers, seeking, sigs, labels, n = _matrix(registers), np.array(seeking), np.array(sigs), np.array(labels), np.array(n)
-            x, y = np.flatnonzero(seeking), np.flatnonzero(~seeking)
+            _, seeking, sigs, labels, n, sketch = zip(*rows)
+            (registers, bits), seeking, sigs, labels, n = _loaded(sketch), np.array(seeking), np.array(sigs), np.array(labels), np.array(n)
+            y = np.flatnonzero(~seeking)
             found = []
-            for at in x:
+            for at in np.flatnonzero(seeking):
                 other = y[labels[y] != labels[at]]
+                other = other[possible(n[at], n[other], bits[at], bits[other], percent)]
                 agreeing = (registers[other] == registers[at]).sum(axis=1)
-                other = other[estimates(agreeing, n[at], n[other]) >= least]
+                other = other[estimates(agreeing, n[at], n[other]) >= percent / 100 - MARGIN]
                 found.append((np.minimum(sigs[at], sigs[other]), np.maximum(sigs[at], sigs[other])))
             if found:
                 a, b = (np.concatenate(side) for side in zip(*found))
@@ -192,21 +218,20 @@ def near_duplicates(
     """
     spark = small_batches(documents.sparkSession)
     root = scratch_path(spark, "hyperminhash")
-    least = percent / 100 - MARGIN
 
     def written(df, name):
         df.write.parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
     own = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    rows = written(own.mapInArrow(_rows(n_words), "doc_id long, text_hash long, n_shingles long, sig long, registers binary"), "rows")
+    rows = written(own.mapInArrow(_rows(n_words), "doc_id long, text_hash long, n_shingles long, sig long, sketch binary"), "rows")
     classes = rows.where("n_shingles > 0")
-    bands = classes.where("registers IS NOT NULL").select("sig", "registers").mapInArrow(_banded, "band long, sig long")
+    bands = classes.where("sketch IS NOT NULL").select("sig", "sketch").mapInArrow(_banded, "band long, sig long")
     shared = bands.groupBy("band").agg(F.min("sig").alias("hub"), F.max("sig").alias("last")).where("hub <> last").select("band", "hub")
     postings = written(bands.join(written(shared, "shared"), "band").distinct(), "postings")
     met = postings.select("sig").distinct()
     known = written(
-        classes.where("registers IS NOT NULL").join(met, "sig").groupBy("sig").agg(F.max("registers").alias("registers"), F.max("n_shingles").alias("n")), "sketches"
+        classes.where("sketch IS NOT NULL").join(met, "sig").groupBy("sig").agg(F.max("sketch").alias("sketch"), F.max("n_shingles").alias("n")), "sketches"
     )
     examples = classes.join(met, "sig").groupBy("sig").agg(F.min(F.struct("doc_id", "text_hash")).alias("example")).select("sig", "example.*")
     examples = written(examples, "examples")
@@ -224,9 +249,9 @@ def near_duplicates(
         return written(verified(pairs, sets_of(pairs, name), percent).select("a", "b"), f"{name}-links")
 
     starred = postings.where("sig <> hub").select(F.col("hub").alias("a"), F.col("sig").alias("b")).distinct()
-    for side, size, registers in (("a", "n", "one"), ("b", "m", "other")):
-        starred = starred.join(known.select(F.col("sig").alias(side), F.col("n").alias(size), F.col("registers").alias(registers)), side)
-    first = links(starred.select("a", "b", "n", "m", "one", "other").mapInArrow(_likely(least), "a long, b long"), "hub")
+    for side, size, sketch in (("a", "n", "one"), ("b", "m", "other")):
+        starred = starred.join(known.select(F.col("sig").alias(side), F.col("n").alias(size), F.col("sketch").alias(sketch)), side)
+    first = links(starred.select("a", "b", "n", "m", "one", "other").mapInArrow(_likely(percent), "a long, b long"), "hub")
     near = connected_components(first)
 
     labelled = postings.join(near.select(F.col("id").alias("sig"), "label"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
@@ -241,8 +266,8 @@ def near_duplicates(
     cell = F.concat_ws(" ", "band", "x", "y").alias("cell")
     seeking = across.where("label <> main").withColumn("x", block).withColumn("y", F.explode(every)).select(cell, F.lit(True).alias("seeking"), "sig", "label")
     sought = across.withColumn("y", block).withColumn("x", F.explode(every)).select(cell, F.lit(False).alias("seeking"), "sig", "label")
-    cells = seeking.unionByName(sought).join(known, "sig").select("cell", "seeking", "sig", "label", "n", "registers")
-    second = links(grouped(cells, "cell").mapInArrow(_block_pairs(least), "a long, b long").distinct(), "cross")
+    cells = seeking.unionByName(sought).join(known, "sig").select("cell", "seeking", "sig", "label", "n", "sketch")
+    second = links(grouped(cells, "cell").mapInArrow(_block_pairs(percent), "a long, b long").distinct(), "cross")
 
     whole = near if second.isEmpty() else connected_components(first.unionByName(second))
     smallest = classes.groupBy("sig").agg(F.min("doc_id").alias("least"))
