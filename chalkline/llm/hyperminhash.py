@@ -18,6 +18,8 @@ in two sets with the probability of their similarity, if by chance not, with 2**
 Links inside a component need no more pairs. Nothing is capped: a bucket of any size is dealt to blocks.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +41,7 @@ BLOCK = 512
 MARGIN = 0.2
 PATHS = 1024
 SEEN = 100_000
+FILTER_BITS = 1 << 26
 
 EMPTY_REGISTER = np.uint16(65535)
 _BITS = 53
@@ -196,10 +199,36 @@ def _block_pairs(percent):
     return run
 
 
-def _set_rows(n_words):
+def hash_filter(hashes: DataFrame) -> bytes:
+    """A compressed bitmap of `FILTER_BITS` bits of a column of 64-bit hashes, of a fixed size however many there are.
+
+    The bits are put together in 64-bit words by an aggregate, at most one row for each word.
+    """
+    place = F.pmod(F.col(hashes.columns[0]), F.lit(FILTER_BITS))
+    words = hashes.select(F.shiftright(place, 6).alias("word"), F.pmod(place, F.lit(64)).alias("bit")).groupBy("word").agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")
+    ).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return zlib.compress(bits.tobytes(), 1)
+
+
+def _set_rows(n_words, wanted):
+    """(sig, shingles) of the texts (text, text_hash) whose hash may be in the filter, once for copies that a task has seen lately."""
     def run(batches):
+        bits, seen = np.frombuffer(zlib.decompress(wanted), dtype=np.uint8), set()
         for batch in batches:
-            sets = [s for s in column_sets(batch.column(0), n_words) if len(s)]
+            places = batch.column(1).to_numpy() % FILTER_BITS
+            hit = (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1
+            chosen = []
+            for at in np.flatnonzero(hit):
+                own = batch.column(1)[int(at)].as_py()
+                if own not in seen:
+                    seen.add(own)
+                    chosen.append(int(at))
+            if len(seen) > SEEN:
+                seen = set()
+            sets = [s for s in column_sets(batch.column(0).take(pa.array(chosen, pa.int64())), n_words) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "shingles"]
             )
@@ -233,16 +262,14 @@ def near_duplicates(
     known = written(
         classes.where("sketch IS NOT NULL").join(met, "sig").groupBy("sig").agg(F.max("sketch").alias("sketch"), F.max("n_shingles").alias("n")), "sketches"
     )
-    examples = classes.join(met, "sig").groupBy("sig").agg(F.min(F.struct("doc_id", "text_hash")).alias("example")).select("sig", "example.*")
-    examples = written(examples, "examples")
+    examples = written(classes.join(met, "sig").groupBy("sig").agg(F.min("text_hash").alias("text_hash")), "examples")
 
     def sets_of(pairs, name):
-        """The full sets of the pairs' classes, from one document of each."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-        ids = examples.join(wanted, "sig", "left_semi").select(F.col("doc_id").alias("e_id"), F.col("text_hash").alias("e_hash"))
-        same = own.doc_id.eqNullSafe(F.col("e_id")) & (own.text_hash == F.col("e_hash"))
-        texts = own.join(written(ids, f"{name}-ids"), same, "left_semi").select("text")
-        return written(texts.mapInArrow(_set_rows(n_words), "sig long, shingles binary"), f"{name}-sets").dropDuplicates(["sig"])
+        """The full sets of the pairs' classes, from one text of each, which a filter finds where the texts lie."""
+        classes_met = written(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), f"{name}-classes")
+        wanted = hash_filter(examples.join(classes_met, "sig").select("text_hash"))
+        found = written(own.select("text", "text_hash").mapInArrow(_set_rows(n_words, wanted), "sig long, shingles binary"), f"{name}-sets")
+        return found.join(classes_met, "sig", "left_semi").dropDuplicates(["sig"])
 
     def links(pairs, name):
         pairs = written(pairs, f"{name}-pairs")
@@ -254,18 +281,23 @@ def near_duplicates(
     first = links(starred.select("a", "b", "n", "m", "one", "other").mapInArrow(_likely(percent), "a long, b long"), "hub")
     near = connected_components(first)
 
-    labelled = postings.join(near.select(F.col("id").alias("sig"), "label"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    labelled = written(labelled, "labelled")
-    split = labelled.groupBy("band").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("sig") == F.col("hub"), F.col("label"))).alias("main"),
-        F.count("*").alias("size"),
-    ).where("low <> high").select("band", "main", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    across = labelled.join(written(split, "split"), "band")
-    block = F.pmod(F.xxhash64("sig"), F.col("blocks"))
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    labels = near.select(F.col("id").alias("sig"), "label")
+    hubs = labels.select(F.col("sig").alias("hub"), F.col("label").alias("main"))
+    labelled = postings.join(labels, "sig", "left").join(hubs, "hub", "left")
+    labelled = written(labelled.select("band", "sig", F.coalesce("label", "sig").alias("label"), F.coalesce("main", "hub").alias("main")), "labelled")
+    outside = F.count_if(F.col("label") != F.col("main"))
+    split = labelled.groupBy("band").agg(F.ceil(outside / BLOCK).alias("x_blocks"), F.ceil(F.count("*") / BLOCK).alias("y_blocks"))
+    across = labelled.join(written(split.where("x_blocks > 0"), "split"), "band")
+
+    def block(side):
+        return F.pmod(F.xxhash64("sig"), F.col(f"{side}_blocks")).alias(side)
+
+    def every(side):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{side}_blocks") - 1)).alias(side)
+
     cell = F.concat_ws(" ", "band", "x", "y").alias("cell")
-    seeking = across.where("label <> main").withColumn("x", block).withColumn("y", F.explode(every)).select(cell, F.lit(True).alias("seeking"), "sig", "label")
-    sought = across.withColumn("y", block).withColumn("x", F.explode(every)).select(cell, F.lit(False).alias("seeking"), "sig", "label")
+    seeking = across.where("label <> main").select("band", "sig", "label", block("x"), every("y")).select(cell, F.lit(True).alias("seeking"), "sig", "label")
+    sought = across.select("band", "sig", "label", block("y"), every("x")).select(cell, F.lit(False).alias("seeking"), "sig", "label")
     cells = seeking.unionByName(sought).join(known, "sig").select("cell", "seeking", "sig", "label", "n", "sketch")
     second = links(grouped(cells, "cell").mapInArrow(_block_pairs(percent), "a long, b long").distinct(), "cross")
 
