@@ -42,6 +42,7 @@ except ImportError:
 DISTRICT = "Nation_3"
 SCHOOL_TYPE = "Machinery"
 DIGITS = 6
+SINCE, UNTIL = "1995-03-10", "1996-08-20"
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -285,6 +286,35 @@ def _on_risk(build):
     return lambda spark, sf_dir: rounded(build(welfare_risk(derived.star(spark, sf_dir))))
 
 
+def _stored(build):
+    """A report over written tables and their summary."""
+    return lambda spark, sf_dir: rounded(build(derived.stored_star(spark, sf_dir)))
+
+
+STORED = {
+    "attendance_monthly": views.attendance_monthly,
+    "district_summary": views.district_summary,
+    "kpi_scoped": lambda s: reports.kpi_scoped(s, DISTRICT, SCHOOL_TYPE),
+    "monthly_trend": reports.monthly_trend,
+    "trend_by_district": lambda s: reports.trend_by_district(s, DISTRICT),
+    "district_score_ranking": reports.district_score_ranking,
+    "district_overview": reports.district_overview,
+    "welfare_risk": welfare_risk,
+}
+
+
+def risk_table_replaced(spark, sf_dir):
+    """A risk table written with other weights, then replaced by a job that reads it; the result is the second version."""
+    root = tables.scratch_path(spark, "replaced")
+    star = derived.stored_star(spark, sf_dir)
+    tables.write_table(welfare_risk(star).withColumn("welfare_risk_category", F.lit("none yet")), root, tables.RISK_TABLE)
+    former = tables.read_table(spark, root, tables.RISK_TABLE)
+    bands = welfare_risk(star).select("school_id", F.col("welfare_risk_category").alias("band"))
+    banded = former.join(bands, "school_id").withColumn("welfare_risk_category", F.col("band")).drop("band")
+    tables.write_table(banded, root, tables.RISK_TABLE)
+    return rounded(tables.read_table(spark, root, tables.RISK_TABLE))
+
+
 def _text_queries():
     """The operators on training text and their pipeline, where that subpackage is installed."""
     if text_queries is None:
@@ -327,6 +357,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda s: histogram(s.scores, "test_scores", "scale_breakdown", "grading_scale_raw")
         ),
         "attendance_daily": _on_star(views.attendance_daily),
+        "attendance_daily_skewed": lambda spark, sf_dir: views.attendance_daily(derived.skewed_star(spark, sf_dir)),
         "attendance_monthly": _rounded_on_star(views.attendance_monthly),
         "procurement_summary": _on_star(views.procurement_summary),
         "infra_summary": _on_star(views.infra_summary),
@@ -367,6 +398,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_trendline": _rounded_on_star(
             lambda s: linear_trend(views.school_kpis(s), "avg_attendance_rate", "avg_fln_score")
         ),
+        "result_digest_chosen": _on_risk(lambda r: result_digest(reports.risk_priority(r))),
+        "district_summary_bucketed": lambda spark, sf_dir: rounded(views.district_summary(derived.bucketed_star(spark, sf_dir))),
+        "monthly_trend_ranged": _stored(lambda s: reports.monthly_trend(s, SINCE, UNTIL)),
+        "trend_by_district_ranged": _stored(lambda s: reports.trend_by_district(s, DISTRICT, "1995-03-01", "1996-08-31")),
+        "attendance_totals_ranged": _stored(lambda s: reports.attendance_totals(s, SINCE, UNTIL)),
+        "proxy_ranged": _stored(lambda s: reports.latest_proxies(s, 20, None, SINCE, UNTIL)),
+        **{f"{name}_stored": _stored(build) for name, build in STORED.items()},
+        "risk_table_replaced": risk_table_replaced,
         "csv_round_trip": csv_round_trip,
         "csv_by_heading": csv_by_heading,
         "csv_counts": csv_counts,
@@ -385,7 +424,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The DuckDB twin of each registered query."""
-    return oracles.all_twins(DISTRICT, SCHOOL_TYPE, DIGITS) | _text_twins()
+    return oracles.all_twins(DISTRICT, SCHOOL_TYPE, DIGITS, SINCE, UNTIL, tuple(STORED)) | _text_twins()
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -1,69 +1,32 @@
 """Dimension attributes for fact rows."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is sent to every executor only when it is known to have no more rows than this.
-BROADCAST_ROWS = 200_000
-
-# How many of the most frequent keys are looked up apart from the rest.
-HEAVY_KEYS = 1024
-
-
-def heavy_keys(df: DataFrame, key: str, top: int = HEAVY_KEYS) -> DataFrame:
-    """The `top` most frequent values of a key: never more rows than that, whatever the input."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    return counts.orderBy(F.desc("count"), key).limit(top).select(key)
+# Over how many join keys the facts of one key are spread; the dimension is repeated as often.
+SALTS = 16
 
 
 def left_lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    columns: Sequence[str],
-    dim_rows: int | None = None,
-    keys: Callable[[], DataFrame] | None = None,
+    fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], salts: int = SALTS
 ) -> DataFrame:
     """`fact` LEFT JOIN `dim` on `key`, where `dim` has one row per key.
 
-    With `dim_rows`, an upper bound on the dimension's rows, of at most `BROADCAST_ROWS` the
-    dimension is broadcast and the facts stay where they are. Otherwise the join shuffles, and
-    the heaviest keys are taken out of it (`spread_lookup`); `keys` may give a cheaper frame to
-    find them in.
+    One plan for every size and every distribution of keys, with one scan of each side. Each fact
+    gets a salt from a hash of its whole row, and each dimension row comes once per salt, so the
+    facts of a key that holds much of the data meet it in `salts` places instead of one. Facts
+    without a key match nothing and are spread over all tasks. The salted sides are plain shuffles, so AQE can
+    split what is still too large (facts that are equal in every column share a salt), or broadcast
+    the dimension where it finds it below the session's `autoBroadcastJoinThreshold`.
     """
-    if dim_rows is not None and dim_rows <= BROADCAST_ROWS:
-        return fact.join(F.broadcast(dim.select(key, *columns)), key, "left")
-    heavy = heavy_keys(fact.select(key) if keys is None else keys(), key)
-    return spread_lookup(fact, dim, key, columns, heavy)
-
-
-def spread_lookup(
-    fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], heavy: DataFrame
-) -> DataFrame:
-    """A left lookup that no frequent key can slow down.
-
-    The `heavy` keys, at most `HEAVY_KEYS` rows from `heavy_keys`, are looked up in a broadcast of
-    their dimension rows. In the shuffled join that serves all other keys, rows that are already
-    served, and rows without a key, get a join key made of a hash of the whole row: it matches
-    nothing and spreads them evenly. The choice of heavy keys affects only the speed, never the
-    result.
-    """
-    heavy_rows = heavy.join(dim.select(key, *columns), key, "left")
-    near = F.broadcast(
-        heavy_rows.select(F.col(key).alias("__near_key"), F.struct(*columns).alias("__near"))
-    )
-    rest = dim.select(F.col(key).alias("__far_key"), F.struct(*columns).alias("__far"))
-    served = F.col("__near_key").isNotNull() | F.col(key).isNull()
-    nowhere = F.concat(F.lit("\0"), F.xxhash64(*fact.columns).cast("string"))
-    joined = (
-        fact.join(near, F.col(key) == F.col("__near_key"), "left")
-        .withColumn("__join_key", F.when(served, nowhere).otherwise(F.col(key)))
-        .join(rest, F.col("__join_key") == F.col("__far_key"), "left")
+    own = F.xxhash64(*fact.columns)
+    # A fact without a key needs no partner, so its salt may be any number.
+    salt = F.when(F.col(key).isNull(), own).otherwise(F.pmod(own, F.lit(salts)))
+    places = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    spread = dim.select(F.col(key).alias("__key"), *columns, places.alias("__place"))
+    joined = fact.withColumn("__salt", salt).join(
+        spread, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__place")), "left"
     )
-    looked_up = [
-        F.when(F.col("__near_key").isNotNull(), F.col("__near")[c]).otherwise(F.col("__far")[c]).alias(c)
-        for c in columns
-    ]
-    return joined.select(*fact.columns, *looked_up)
+    return joined.select(*fact.columns, *columns)

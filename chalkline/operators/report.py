@@ -3,9 +3,10 @@
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from chalkline.functions.text import quoted
 from chalkline.vocabulary import FORMAL_LABELS
 
 
@@ -18,10 +19,10 @@ def ranked(df: DataFrame, by: str, descending: bool = True, ties: Sequence[str]
 def share_of_total(df: DataFrame, value: str, name: str = "share_pct") -> DataFrame:
     """Each row's percentage of the column's sum.
 
-    For reports that are already aggregated to a fixed list of categories: the window holds
-    all rows in one partition.
+    The sum is a scalar subquery: one row from partial sums, which every task of `df` then knows,
+    so the rows stay where they are however many there are.
     """
-    total = F.sum(value).over(Window.partitionBy())
+    total = df.agg(F.sum(value).alias("total")).scalar()
     return df.withColumn(name, F.try_divide(F.col(value) * 100.0, total))
 
 
@@ -43,17 +44,32 @@ def with_formal_labels(df: DataFrame, labels: Mapping[str, str] | None = None) -
     return df.withColumnsRenamed({c: labels.get(c, formal_label(c)) for c in df.columns})
 
 
-def result_digest(df: DataFrame, entity: str, measure: str) -> DataFrame:
+def digest_columns(df: DataFrame) -> tuple[str | None, str | None]:
+    """The entity and the measure that a digest takes by itself: the first text and the first numeric column.
+
+    Either is None where the result has no such column.
+    """
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    return (texts or [None])[0], (numbers or [None])[0]
+
+
+def result_digest(df: DataFrame, entity: str | None = None, measure: str | None = None) -> DataFrame:
     """Row count, highest and lowest entity with their values, and the mean, in one row.
 
-    Of equal values the first entity in alphabetical order is named.
+    Without names the columns are chosen by `digest_columns`; what a result has no column for is NULL. Of
+    equal values the first entity in alphabetical order is named. An empty result has 0 rows and NULLs.
     """
-    known = F.col(measure).isNotNull()
-    highest = F.min(F.when(known, F.struct((-F.col(measure)).alias("v"), F.col(entity).alias("e"))))
-    lowest = F.min(F.when(known, F.struct(F.col(measure).alias("v"), F.col(entity).alias("e"))))
+    first_text, first_number = digest_columns(df)
+    entity, measure = entity or first_text, measure or first_number
+    name = F.lit(None).cast("string") if entity is None else quoted(entity)
+    value = F.lit(None).cast("double") if measure is None else quoted(measure)
+    known = value.isNotNull()
+    highest = F.min(F.when(known, F.struct((-value).alias("v"), name.alias("e"))))
+    lowest = F.min(F.when(known, F.struct(value.alias("v"), name.alias("e"))))
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"), highest.alias("__high"), lowest.alias("__low"),
-        F.avg(measure).alias("mean_value"),
+        F.avg(value).alias("mean_value"),
     ).select(
         "n_rows",
         F.col("__high.e").alias("max_entity"), (-F.col("__high.v")).alias("max_value"),

@@ -73,28 +73,31 @@ def filter_values(star: Star) -> DataFrame:
 # Attendance ------------------------------------------------------------------------------
 
 
-def attendance_totals(star: Star) -> DataFrame:
-    return star.attendance.agg(
+def attendance_totals(star: Star, since=None, until=None) -> DataFrame:
+    """Records, impossible and proxy ones, of all days or of a range of days (`views.in_range`)."""
+    return views.in_range(star.attendance, since, until).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("is_impossible_attendance").alias("imp"),
         F.count_if("is_proxy_attendance").alias("proxy"),
     )
 
 
-def monthly_trend(star: Star) -> DataFrame:
-    """State-wide months: unweighted means of the district values."""
-    return views.dated_months(star).where("dated > 0").groupBy("month").agg(
+def monthly_trend(star: Star, since=None, until=None) -> DataFrame:
+    """State-wide months, all or in a range of days: unweighted means of the district values."""
+    return views.dated_months(star, None, since, until).where("dated > 0").groupBy("month").agg(
         F.avg("avg_attendance_rate").alias("avg_attendance_rate"),
         F.avg("proxy_anomaly_rate_pct").alias("proxy_anomaly_rate_pct"),
     ).orderBy("month")
 
 
-def trend_by_district(star: Star, district: str | None = None) -> DataFrame:
-    """Monthly attendance of one district, or of the state. A district keeps undated records."""
+def trend_by_district(star: Star, district: str | None = None, since=None, until=None) -> DataFrame:
+    """Monthly attendance of one district, or of the state. A district keeps undated records, unless a range of
+    days is given."""
     if district is None:
-        monthly = views.dated_months(star).where("dated > 0")
+        monthly = views.dated_months(star, None, since, until).where("dated > 0")
     else:
-        monthly = views.dated_months(star, star.school.where(F.col("district") == district))
+        schools = star.school.where(F.col("district") == district)
+        monthly = views.dated_months(star, schools, since, until)
     return monthly.groupBy("month").agg(
         F.avg("avg_attendance_rate").alias("avg_attendance_rate")
     ).orderBy(F.col("month").asc_nulls_last())
@@ -106,22 +109,23 @@ def _latest_first(df: DataFrame, columns) -> list[Column]:
     ]
 
 
-def latest_proxies(star: Star, limit: int = 20, district: str | None = None) -> DataFrame:
+def latest_proxies(
+    star: Star, limit: int = 20, district: str | None = None, since=None, until=None
+) -> DataFrame:
     """The latest records with full attendance on a Sunday.
 
     Without a district the top rows are found before the school lookup, which then serves
     `limit` rows only; a left lookup of unique schools neither adds nor drops rows. With one, its
     schools are joined to the proxies alone.
     """
+    proxies = views.in_range(star.attendance, since, until).where("is_proxy_attendance")
+    proxies = proxies.withColumnRenamed("date", "attendance_date")
     if district is None:
         own = ["school_id", "attendance_date", "present_students", "total_students", "marked_by"]
-        proxies = star.attendance.where("is_proxy_attendance").withColumnRenamed(
-            "date", "attendance_date"
-        ).select(own)
+        proxies = proxies.select(own)
         top = proxies.orderBy(*_latest_first(proxies, own)).limit(limit)
         named = top.join(star.school.select("school_id", "school_name", "district"), "school_id", "left")
         return named.select(_PROXY_COLUMNS).orderBy(*_latest_first(named, own))
-    proxies = star.attendance.where("is_proxy_attendance").withColumnRenamed("date", "attendance_date")
     chosen = proxies.join(star.school.where(F.col("district") == district), "school_id").select(_PROXY_COLUMNS)
     return chosen.orderBy(*_latest_first(chosen, _PROXY_COLUMNS)).limit(limit)
 

@@ -1,11 +1,9 @@
 """The star schema: cleaned tables around the school dimension."""
 
 from collections.abc import Callable, Mapping
-from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from chalkline.functions.identifiers import school_id
 from chalkline.plans import cleaners
 
 SCHOOL = "dim_school"
@@ -14,26 +12,17 @@ PROCUREMENT = "fact_mdm_procurement"
 INFRA_HISTORY = "fact_infrastructure_history"
 INFRA_CURRENT = "dim_infrastructure_current"
 SCORES = "fact_test_scores"
+SUMMARY = "agg_school_month"
 TABLES = (SCHOOL, ATTENDANCE, PROCUREMENT, INFRA_HISTORY, INFRA_CURRENT, SCORES)
 
+FACTS = (ATTENDANCE, PROCUREMENT, SCORES)
+
 
 class Star:
-    """Lazy frames of the governed tables, each built when it is first asked for.
-
-    `count_schools` gives an upper bound on the rows of the school dimension where one is to be
-    had cheaply; only with it may row-level views broadcast the dimension. `school_ids` gives a
-    cheaper source for the frequent school ids of a fact than the fact itself.
-    """
-
-    def __init__(
-        self,
-        builders: Mapping[str, Callable[["Star"], DataFrame]],
-        count_schools: Callable[[], int] | None = None,
-        school_ids: Callable[[str], DataFrame] | None = None,
-    ):
+    """Lazy frames of the governed tables, each built when it is first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[["Star"], DataFrame]]):
         self._builders = builders
-        self._school_ids = school_ids
-        self._count_schools = count_schools
         self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -65,38 +54,22 @@ class Star:
     def scores(self) -> DataFrame:
         return self.table(SCORES)
 
-    @cached_property
-    def school_rows(self) -> int | None:
-        return None if self._count_schools is None else self._count_schools()
-
-    def school_ids(self, name: str) -> DataFrame:
-        """The school ids of a fact's rows, in as many rows or more."""
-        if self._school_ids is not None:
-            return self._school_ids(name)
-        return self.table(name).select("school_id")
+    @property
+    def summary(self) -> DataFrame | None:
+        """The stored summary of the facts, where there is one."""
+        return self.table(SUMMARY) if SUMMARY in self._builders else None
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
 
 
-def star_from_raw(
-    raw: Callable[[str], DataFrame], count_schools: Callable[[], int] | None = None
-) -> Star:
-    """The star as lazy plans over raw frames, given by dataset name; nothing is written.
-
-    Frequent school ids are sought in the raw id column: in the cleaned facts, all columns would
-    have to be de-duplicated for it.
-    """
-    sources = {ATTENDANCE: "student_attendance", PROCUREMENT: "mdm_procurement", SCORES: "test_scores"}
-    return Star(
-        {
-            SCHOOL: lambda _: cleaners.clean_school_master(raw("school_master")),
-            ATTENDANCE: lambda _: cleaners.clean_attendance(raw("student_attendance")),
-            PROCUREMENT: lambda _: cleaners.clean_procurement(raw("mdm_procurement")),
-            INFRA_HISTORY: lambda _: cleaners.clean_infrastructure(raw("school_infrastructure")),
-            INFRA_CURRENT: lambda star: cleaners.current_infrastructure(star.infra_history),
-            SCORES: lambda _: cleaners.clean_scores(raw("test_scores")),
-        },
-        count_schools,
-        lambda name: raw(sources[name]).select(school_id("school_id").alias("school_id")),
-    )
+def star_from_raw(raw: Callable[[str], DataFrame]) -> Star:
+    """The star as lazy plans over raw frames, given by dataset name; nothing is written."""
+    return Star({
+        SCHOOL: lambda _: cleaners.clean_school_master(raw("school_master")),
+        ATTENDANCE: lambda _: cleaners.clean_attendance(raw("student_attendance")),
+        PROCUREMENT: lambda _: cleaners.clean_procurement(raw("mdm_procurement")),
+        INFRA_HISTORY: lambda _: cleaners.clean_infrastructure(raw("school_infrastructure")),
+        INFRA_CURRENT: lambda star: cleaners.current_infrastructure(star.infra_history),
+        SCORES: lambda _: cleaners.clean_scores(raw("test_scores")),
+    })

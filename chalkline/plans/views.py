@@ -4,23 +4,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chalkline.operators.lookup import left_lookup
-from chalkline.plans.cleaners import VALID
-from chalkline.plans.star import ATTENDANCE, PROCUREMENT, SCORES, Star
+from chalkline.plans.star import Star
+from chalkline.plans.summary import (
+    attendance_months, day, school_measures, valid_rate, whole_months,
+)
+from chalkline.sources.layout import in_months
 
 _PLACE = ["school_name", "district", "block"]
 
 
-def _valid_rate():
-    return F.when(F.col("data_quality_status") == VALID, F.col("attendance_rate"))
-
-
-def _with_school(star: Star, name: str, fact: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of the named fact with columns of their school."""
-    return left_lookup(
-        fact, star.school, "school_id", columns, star.school_rows, lambda: star.school_ids(name)
-    )
-
-
 def attendance_daily(star: Star) -> DataFrame:
     """Attendance records with their school."""
     fact = star.attendance.select(
@@ -28,7 +20,7 @@ def attendance_daily(star: Star) -> DataFrame:
         "total_students", "present_students", "attendance_rate", "teacher_present", "marked_by",
         "is_impossible_attendance", "is_proxy_attendance", "is_weekend", "data_quality_status",
     )
-    joined = _with_school(star, ATTENDANCE, fact, [*_PLACE, "school_type"])
+    joined = left_lookup(fact, star.school, "school_id", [*_PLACE, "school_type"])
     return joined.select(
         "record_id", "school_id", *_PLACE, "school_type", *fact.columns[2:],
     )
@@ -39,24 +31,41 @@ def in_scope(fact: DataFrame, scope: DataFrame | None) -> DataFrame:
     return fact if scope is None else fact.join(scope.select("school_id"), "school_id", "left_semi")
 
 
-def dated_months(star: Star, scope: DataFrame | None = None) -> DataFrame:
+def in_range(fact: DataFrame, since=None, until=None) -> DataFrame:
+    """The rows of a fact from one day to another, both included; a fact laid out by month is read in part.
+
+    Days are dates or ISO texts; None leaves that side open. Undated rows are in no range, but in the
+    whole that no range at all leaves.
+    """
+    since, until = day(since), day(until)
+    if since is None and until is None:
+        return fact
+    rows = in_months(fact, since, until).where(F.col("date").isNotNull())
+    if since is not None:
+        rows = rows.where(F.col("date") >= F.lit(since.isoformat()).cast("date"))
+    return rows if until is None else rows.where(F.col("date") <= F.lit(until.isoformat()).cast("date"))
+
+
+def _attendance_months(star: Star, scope: DataFrame | None, since, until) -> DataFrame:
+    """Attendance by school and month, stored or, where a range cuts months, reduced from the facts."""
+    if star.summary is None or not whole_months(day(since), day(until)):
+        return attendance_months(in_scope(in_range(star.attendance, since, until), scope))
+    rows = in_scope(star.summary, scope).where("attendance_rows > 0")
+    if since is not None:
+        rows = rows.where(F.col("month") >= day(since).isoformat()[:7])
+    return rows if until is None else rows.where(F.col("month") <= day(until).isoformat()[:7])
+
+
+def dated_months(star: Star, scope: DataFrame | None = None, since=None, until=None) -> DataFrame:
     """Attendance by district and month, with `dated`, the number of records that have a date.
 
     Records are first reduced to one row per school and month, so the school lookup joins
     those few rows instead of every record. Months that exist are those with `dated` above 0:
     unlike a filter on the month, one on that sum is not pushed below the aggregates, where the
-    date would be worked out once more for it. `scope` are schools that alone count.
+    date would be worked out once more for it. `scope` are schools that alone count; `since` and
+    `until` bound the days (`in_range`).
     """
-    per_school = in_scope(star.attendance, scope).groupBy(
-        "school_id", F.date_format("date", "yyyy-MM").alias("month")
-    ).agg(
-        F.count("record_id").alias("records"),
-        F.count("date").alias("dated"),
-        F.sum(_valid_rate()).alias("rate_sum"),
-        F.count(_valid_rate()).alias("rate_count"),
-        F.count_if("is_proxy_attendance").alias("proxies"),
-        F.count_if("is_impossible_attendance").alias("impossibles"),
-    )
+    per_school = _attendance_months(star, scope, since, until)
     schools = star.school if scope is None else scope
     placed = per_school.join(schools.select("school_id", "district"), "school_id", "left")
     by_district = placed.groupBy("district", "month").agg(
@@ -84,7 +93,7 @@ def procurement_summary(star: Star) -> DataFrame:
         "grain_type", "quantity_kg", "total_cost", "cost_per_kg", "payment_status",
         "unit_inferred_flag",
     )
-    joined = _with_school(star, PROCUREMENT, fact, _PLACE)
+    joined = left_lookup(fact, star.school, "school_id", _PLACE)
     return joined.select("procurement_id", "school_id", *_PLACE, *fact.columns[2:])
 
 
@@ -105,13 +114,13 @@ def test_summary(star: Star) -> DataFrame:
         "assessment_id", "school_id", F.col("date").alias("assessment_date"), "grade", "subject",
         "grading_scale_raw", "avg_score_raw", "score_percentage",
     )
-    joined = _with_school(star, SCORES, fact, _PLACE)
+    joined = left_lookup(fact, star.school, "school_id", _PLACE)
     return joined.select("assessment_id", "school_id", *_PLACE, *fact.columns[2:])
 
 
 def attendance_by_school(star: Star, scope: DataFrame | None = None) -> DataFrame:
     return in_scope(star.attendance, scope).groupBy("school_id").agg(
-        F.avg(_valid_rate()).alias("avg_attendance_rate"),
+        F.avg(valid_rate()).alias("avg_attendance_rate"),
         (F.count_if("is_proxy_attendance") * 100.0 / F.count(F.lit(1))).alias("proxy_anomaly_rate"),
     )
 
@@ -128,6 +137,17 @@ def procurement_by_school(star: Star, scope: DataFrame | None = None) -> DataFra
     )
 
 
+def infra_by_school(star: Star, scope: DataFrame | None = None) -> DataFrame:
+    """Current score and deficit of each school.
+
+    With a scope, Catalyst takes the semi join below the aggregate that makes the snapshot, so that
+    inspections of other schools are not reduced.
+    """
+    return in_scope(star.infra_current, scope).select(
+        "school_id", "infrastructure_score", "infrastructure_deficit_pct"
+    )
+
+
 def school_kpis(
     star: Star, procurement: bool = True, scope: DataFrame | None = None
 ) -> DataFrame:
@@ -135,17 +155,21 @@ def school_kpis(
 
     Each fact is reduced to one row per school before it is joined, so no join multiplies rows
     and all of them work on the partitioning the aggregates already have. With a `scope`, some
-    rows of the school dimension, facts of other schools are left out before they are reduced.
+    rows of the school dimension, facts of other schools are left out before they are reduced. Where the
+    star has a stored summary, the facts' measures come from one aggregate over it.
     """
     schools = star.school if scope is None else scope
+    infra = infra_by_school(star, scope)
+    if star.summary is not None:
+        measures = school_measures(in_scope(star.summary, scope))
+        bought = [] if procurement else ["total_quantity_kg", "total_cost"]
+        kpis = schools.join(measures.drop(*bought), "school_id", "left").join(infra, "school_id", "left")
+        measured = ["avg_attendance_rate", "proxy_anomaly_rate", "infrastructure_score", "infrastructure_deficit_pct",
+                    "avg_fln_score", *(["total_quantity_kg", "total_cost"] if procurement else [])]
+        return kpis.select(*schools.columns, *measured)
     kpis = (
         schools.join(attendance_by_school(star, scope), "school_id", "left")
-        .join(
-            star.infra_current.select(
-                "school_id", "infrastructure_score", "infrastructure_deficit_pct"
-            ),
-            "school_id", "left",
-        )
+        .join(infra, "school_id", "left")
         .join(scores_by_school(star, scope), "school_id", "left")
     )
     if not procurement:

@@ -1,4 +1,4 @@
-"""Governed tables: Parquet directories under one root, and the views over them."""
+"""Governed tables: Parquet directories under one root, or bucketed tables of a catalog, and the views over them."""
 
 import posixpath
 import tempfile
@@ -10,8 +10,11 @@ from pyspark.sql.utils import AnalysisException, ParseException
 
 from chalkline.plans import star as star_tables
 from chalkline.plans.cleaners import current_infrastructure
-from chalkline.plans.star import Star
+from chalkline.plans.star import SUMMARY, Star
+from chalkline.plans.summary import summarise
 from chalkline.plans.views import VIEWS
+from chalkline.sources import versions
+from chalkline.sources.layout import MONTH, month_column
 
 RISK_TABLE = "fact_welfare_risk"
 RISK_VIEW = "vw_school_welfare_risk"
@@ -30,21 +33,23 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return posixpath.join(shared, f"{purpose}-{uuid.uuid4().hex}")
 
 
+def _save(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
+
+
+def _save_by_month(df: DataFrame, path: str) -> None:
+    by_month = df.withColumn(MONTH, month_column()).hint("rebalance", MONTH)
+    by_month.write.partitionBy(MONTH).parquet(path)
+
+
 def write_table(df: DataFrame, root: str, name: str, by_month: bool = False) -> str:
-    """Overwrites one table as Parquet and returns its path.
+    """Replaces one table by a new version of it (`sources.versions`) as Parquet; returns the version's path.
 
-    `by_month` lays the table out in one directory per month of its `date`. The rebalance
+    `by_month` lays the table out in one directory per month of its `date`, and `undated`. The rebalance
     before it gathers each month's rows into files of a good size and splits a month that
     holds much of the data over several tasks.
     """
-    path = posixpath.join(root, name)
-    if by_month:
-        month = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("undated"))
-        df = df.withColumn("date_month", month).hint("rebalance", "date_month")
-        df.write.mode("overwrite").partitionBy("date_month").parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
-    return path
+    return versions.replace(df, posixpath.join(root, name), _save_by_month if by_month else _save)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -63,28 +68,60 @@ def write_audit(audit: DataFrame, path: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(posixpath.join(root, name))
+    """The current version of a table. One laid out by month keeps the column of its directories."""
+    return spark.read.parquet(versions.current_path(spark, posixpath.join(root, name)))
+
+
+def has_table(spark: SparkSession, root: str, name: str) -> bool:
+    return bool(versions.commits(spark, posixpath.join(root, name)))
 
 
 def open_star(spark: SparkSession, root: str) -> Star:
-    """The star over written tables. The school count comes from the Parquet footers."""
+    """The star over written tables, with their summary if there is one."""
     def reader(name):
         return lambda _: read_table(spark, root, name)
 
-    return Star(
-        {name: reader(name) for name in star_tables.TABLES},
-        lambda: read_table(spark, root, star_tables.SCHOOL).count(),
-    )
+    names = [*star_tables.TABLES, *([SUMMARY] if has_table(spark, root, SUMMARY) else [])]
+    return Star({name: reader(name) for name in names})
 
 
 def write_star(star: Star, root: str, by_month: bool = False) -> None:
-    """Writes all six tables. The snapshot is built from the written history, not a second time."""
+    """Writes all six tables and the facts' summary by school and month.
+
+    The snapshot and the summary are built from written tables, not a second time from the raw data.
+    """
+    spark = star.school.sparkSession
     for name in star_tables.TABLES:
         if name == star_tables.INFRA_CURRENT:
-            history = read_table(star.school.sparkSession, root, star_tables.INFRA_HISTORY)
-            write_table(current_infrastructure(history.drop("date_month")), root, name)
+            history = read_table(spark, root, star_tables.INFRA_HISTORY)
+            write_table(current_infrastructure(history.drop(MONTH)), root, name)
         else:
             write_table(star.table(name), root, name, by_month and name != star_tables.SCHOOL)
+    facts = (read_table(spark, root, name) for name in star_tables.FACTS)
+    write_table(summarise(*facts), root, SUMMARY)
+
+
+def save_bucketed_star(star: Star, database: str, buckets: int) -> None:
+    """Saves the six tables in a database of the catalog, bucketed and sorted by school; tables of those names go.
+
+    Aggregates and joins by school of the tables need no shuffle. The rebalance before each write puts a bucket's rows into
+    few files, several where a school has much of the data; a bucket is read by one task, however, so reports on
+    data with such a school should use the summary. `buckets` should leave a bucket of the largest table
+    at some hundred megabytes.
+    """
+    for name in star_tables.TABLES:
+        df = star.table(name)
+        bucket = F.pmod(F.hash("school_id"), F.lit(buckets))
+        dealt = df.withColumn("__bucket", bucket).hint("rebalance", "__bucket").drop("__bucket")
+        dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, "school_id").sortBy("school_id").saveAsTable(f"{database}.{name}")
+
+
+def open_bucketed_star(spark: SparkSession, database: str) -> Star:
+    """The star over the tables of a database."""
+    def reader(name):
+        return lambda _: spark.table(f"{database}.{name}")
+
+    return Star({name: reader(name) for name in star_tables.TABLES})
 
 
 def register_views(star: Star) -> list[str]:

@@ -18,6 +18,10 @@ def _id(k):
             f"WHEN 2 THEN printf(' sch_%04d', {k}) WHEN 3 THEN printf('S%d', {k}) ELSE printf('%d', {k}) END")
 
 
+def _known_id(k, key):
+    return f"CASE WHEN {key} % 53 = 11 THEN NULL WHEN {key} % 59 = 13 THEN ' unlisted ' ELSE {_id(k)} END"
+
+
 def _date(d, k):
     formats = ["%Y-%m-%d", "%Y/%m/%d", "%d-%b-%Y", "%d-%m-%Y", "%m-%d-%Y", "%d.%m.%Y"]
     whens = " ".join(f"WHEN {n} THEN strftime({d}, '{f}')" for n, f in enumerate(formats))
@@ -187,52 +191,61 @@ def _keyed_columns(alias="d"):
         {alias}.date IS NULL AS date_parse_error_flag"""
 
 
-_TABLES = {
-    "raw_school": f"""
-      SELECT {_id('c_custkey')} AS school_id, c_name AS school_name,
-        CASE WHEN c_custkey % 50 = 7 THEN NULL WHEN c_custkey % 3 = 0 THEN lower(n_name)
-          WHEN c_custkey % 3 = 1 THEN upper(n_name) ELSE '  ' || n_name || ' ' END AS district,
-        r_name AS block,
-        CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS school_type,
-        CASE c_custkey % 4 WHEN 0 THEN 'punjabi' WHEN 1 THEN 'HINDI' WHEN 2 THEN 'English' END AS medium,
-        CAST(100 + c_custkey % 900 AS INT) AS total_enrolled_students
-      FROM {_dup('customer', 'c_custkey')} c JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey""",
-    "raw_attendance": f"""
-      SELECT printf('ATT%d-%d-%d', l_orderkey, l_linenumber, l_partkey) AS record_id, {_id('o_custkey')} AS school_id,
+def _raw_attendance(school):
+    return f"""
+      SELECT printf('ATT%d-%d-%d', l_orderkey, l_linenumber, l_partkey) AS record_id, {_known_id(school, 'l_orderkey')} AS school_id,
         {_date('l_shipdate', 'l_partkey')} AS date,
         CASE l_partkey % 3 WHEN 0 THEN printf('%d', l_linenumber)
           WHEN 1 THEN ['I', 'II', 'III', 'IV', 'V', 'VI', 'Nursery'][l_linenumber]
           ELSE printf('grade %d', l_linenumber) END AS grade,
         CASE WHEN l_suppkey % 97 = 0 THEN 0 ELSE 45 END AS total_students,
-        CASE WHEN l_suppkey % 97 = 0 THEN 0 ELSE CAST(floor(l_quantity) AS INT) END AS present_students,
+        CASE WHEN l_suppkey % 97 = 0 THEN 0 WHEN o_custkey % 40 = 1 THEN CAST(floor(l_quantity / 25) AS INT)
+          ELSE CAST(floor(l_quantity) AS INT) END AS present_students,
         {_bool('l_suppkey')} AS teacher_present, l_returnflag AS marked_by
-      FROM {_dup('lineitem', 'l_orderkey')} l JOIN orders ON l_orderkey = o_orderkey""",
+      FROM {_dup('lineitem', 'l_orderkey')} l JOIN orders ON l_orderkey = o_orderkey"""
+
+
+_TABLES = {
+    "raw_school": f"""
+      SELECT CASE WHEN c_custkey % 97 = 5 THEN NULL WHEN record = 1 THEN printf('%d', c_custkey)
+          WHEN record = 2 THEN printf('sch-%d', c_custkey) ELSE {_id('c_custkey')} END AS school_id,
+        CASE WHEN record = 2 THEN 'Old ' || c_name WHEN record = 1 OR c_custkey % 10 <> 3 THEN c_name END AS school_name,
+        CASE WHEN c_custkey % 50 = 7 OR record = 2 THEN NULL WHEN c_custkey % 3 = 0 THEN lower(n_name)
+          WHEN c_custkey % 3 = 1 THEN upper(n_name) ELSE '  ' || n_name || ' ' END AS district,
+        CASE WHEN c_custkey % 31 <> 4 THEN r_name END AS block,
+        CASE WHEN c_custkey % 29 = 6 THEN NULL WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS school_type,
+        CASE c_custkey % 4 WHEN 0 THEN 'punjabi' WHEN 1 THEN 'HINDI' WHEN 2 THEN 'English' END AS medium,
+        CAST(CASE WHEN record = 2 OR c_custkey % 41 = 8 THEN NULL WHEN record = 1 THEN 50 + c_custkey % 40
+          ELSE 100 + c_custkey % 900 END AS INT) AS total_enrolled_students
+      FROM (SELECT *, unnest(CASE WHEN c_custkey % 10 = 3 THEN [0, 1, 2] ELSE [0] END) AS record FROM {_dup('customer', 'c_custkey')}) c
+        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "raw_attendance": _raw_attendance("o_custkey"),
     "raw_procurement": f"""
-      SELECT printf('MDM%07d', o_orderkey) AS procurement_id, {_id('o_custkey')} AS school_id,
+      SELECT printf('MDM%07d', o_orderkey) AS procurement_id, {_known_id('o_custkey', 'o_orderkey')} AS school_id,
         {_date('o_orderdate', 'o_orderkey')} AS date,
-        ['Kumar & Co.', 'SINGH AGRO', 'sharma & sons', 'Goyal Mill', 'verma stores'][1 + o_orderkey % 5] AS vendor_name,
+        CASE WHEN o_orderkey % 37 <> 5 THEN ['Kumar & Co.', 'SINGH AGRO', 'sharma & sons', 'Goyal Mill', 'verma stores'][1 + o_orderkey % 5] END
+          AS vendor_name,
         ['chawal', 'ATTA', 'Daal', 'Sarson Tel', 'Kanak', NULL][1 + o_orderkey % 6] AS grain_type,
-        CASE o_orderkey % 7 WHEN 0 THEN printf('%d kg', 1 + o_custkey % 90) WHEN 6 THEN NULL
-          ELSE printf('%d', 1 + o_custkey % 900) END AS quantity,
+        CASE WHEN o_orderkey % 43 = 7 THEN 'some' WHEN o_orderkey % 7 = 0 THEN printf('%d kg', 1 + o_custkey % 90)
+          WHEN o_orderkey % 7 < 6 THEN printf('%d', 1 + o_custkey % 900) END AS quantity,
         CASE o_orderkey % 7 WHEN 1 THEN 'KG' WHEN 2 THEN 'Grams' WHEN 3 THEN '50kg Bags' WHEN 4 THEN 'sacks' END AS unit,
         CASE o_orderkey % 5 WHEN 0 THEN printf('₹%d', n) WHEN 1 THEN printf('Rs. %d', n) WHEN 2 THEN printf('%d/-', n)
           WHEN 3 THEN printf('1,%03d', n % 1000) ELSE 'tbd' END AS total_cost,
         CASE o_orderstatus WHEN 'F' THEN 'cleared' WHEN 'O' THEN 'Due' ELSE 'part' END AS payment_status
       FROM (SELECT *, CAST(floor(o_totalprice) AS BIGINT) AS n FROM {_dup('orders', 'o_orderkey')})""",
     "raw_infra": f"""
-      SELECT {_id('user_id')} AS school_id, {_date('ts', 'event_id')} AS date,
-        {', '.join(f"{_bool(f'event_id + {m} * user_id')} AS {a}" for a, m in zip(AMENITIES, (1, 3, 5, 7, 11)))},
+      SELECT {_known_id('user_id', 'event_id')} AS school_id, {_date('ts', 'event_id')} AS date,
+        {', '.join(f"CASE WHEN user_id % 40 = 1 THEN 'Nahi hai' ELSE {_bool(f'event_id + {m} * user_id')} END AS {a}" for a, m in zip(AMENITIES, (1, 3, 5, 7, 11)))},
         event_type AS inspector_name, props AS remarks
       FROM {_dup('events', 'event_id')}""",
     "raw_scores": f"""
-      SELECT printf('TST%07d', event_id) AS assessment_id, {_id('user_id')} AS school_id, {_date('ts', 'event_id')} AS date,
+      SELECT printf('TST%07d', event_id) AS assessment_id, {_known_id('user_id', 'event_id')} AS school_id, {_date('ts', 'event_id')} AS date,
         printf('Grade %d', 1 + event_id % 12) AS grade,
-        ['ganit', 'HINDI', 'evs', 'art craft'][1 + event_id % 4] AS subject,
-        ['%', 'pct', 'Letter Grade', 'Raw Marks', 'CGPA', 'Raw Marks', 'Raw Marks', NULL][1 + event_id % 8] AS grading_scale,
-        CASE event_id % 8 WHEN 0 THEN printf('%d', p % 101) || '%' WHEN 1 THEN printf('%d', p % 101)
+        CASE WHEN event_id % 47 <> 9 THEN ['ganit', 'HINDI', 'evs', 'art craft'][1 + event_id % 4] END AS subject,
+        CASE WHEN user_id % 40 = 1 THEN '%' ELSE ['%', 'pct', 'Letter Grade', 'Raw Marks', 'CGPA', 'Raw Marks', 'Raw Marks', NULL][1 + event_id % 8] END AS grading_scale,
+        CASE WHEN user_id % 40 = 1 THEN printf('%d', p % 7) || '%' ELSE CASE event_id % 8 WHEN 0 THEN printf('%d', p % 101) || '%' WHEN 1 THEN printf('%d', p % 101)
           WHEN 2 THEN ['A+', 'b', 'F', 'absent'][1 + user_id % 4] WHEN 3 THEN printf('%d/50', p % 51)
-          WHEN 4 THEN printf('%d.5', p % 10) WHEN 5 THEN printf('%d', p % 41) WHEN 6 THEN '7/0' END AS avg_score,
+          WHEN 4 THEN printf('%d.5', p % 10) WHEN 5 THEN printf('%d', p % 41) WHEN 6 THEN '7/0' END END AS avg_score,
         CASE event_id % 8 WHEN 4 THEN '10' WHEN 5 THEN '40' END AS max_marks
       FROM (SELECT *, event_id * 13 + user_id AS p FROM {_dup('events', 'event_id')})""",
     # One row per school: the window form of the merge.
@@ -427,15 +440,15 @@ def _needs(text):
     return [name for name in _TABLES if name in words]
 
 
-def twin(body):
-    """A query text with the common tables it refers to, directly or through others."""
+def twin(body, **others):
+    """A query text with the common tables it refers to, directly or through others; `others` replaces some of them."""
     wanted, todo = set(), _needs(body)
     while todo:
         name = todo.pop()
         if name not in wanted:
             wanted.add(name)
             todo += _needs(_TABLES[name])
-    tables = ", ".join(f"{name} AS ({_TABLES[name]})" for name in _TABLES if name in wanted)
+    tables = ", ".join(f"{name} AS ({others.get(name, _TABLES[name])})" for name in _TABLES if name in wanted)
     return f"WITH {tables} {body}" if tables else body
 
 
@@ -447,7 +460,7 @@ RISK_MEASURES = ["avg_attendance_rate", "proxy_anomaly_rate", "infrastructure_de
                  "integrity_risk", "welfare_risk_score"]
 
 
-def all_twins(district, school_type, digits):
+def all_twins(district, school_type, digits, since, until, stored):
     def r(expression, name=None):
         return f"round({expression}, {digits}) AS {name or expression}"
 
@@ -640,6 +653,7 @@ def all_twins(district, school_type, digits):
         "workbook_scan": "SELECT * FROM raw_procurement",
         "risk_table_write": risk_sql,
         "risk_view": risk_sql,
+        "risk_table_replaced": risk_sql,
         "rescue_run": " UNION ALL ".join(audit),
         "adhoc_sql": f"""SELECT block, count(*) AS records, {r('avg(attendance_rate)', 'avg_rate')} FROM daily
             WHERE data_quality_status = 'VALID' GROUP BY block""",
@@ -650,6 +664,22 @@ def all_twins(district, school_type, digits):
     bodies["warehouse_open"] = " UNION ALL ".join(
         f"SELECT '{view}' AS relation, count(*) AS n_rows FROM ({bodies[name]})" for view, name in opened.items())
     twins = {name: twin(body) for name, body in bodies.items()}
+    skewed = _raw_attendance("(CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE o_custkey END)")
+    twins["attendance_daily_skewed"] = twin("SELECT * FROM daily", raw_attendance=skewed)
+    twins |= {f"{name}_stored": twins[name] for name in stored} | {"district_summary_bucketed": twins["district_summary"]}
+
+    def ranged(body, first=since, last=until):
+        """The body over attendance of a range of days."""
+        own = f"SELECT * FROM ({_TABLES['attendance']}) WHERE date BETWEEN DATE '{first}' AND DATE '{last}'"
+        return twin(body, attendance=own)
+
+    twins["monthly_trend_ranged"] = ranged(bodies["monthly_trend"])
+    twins["trend_by_district_ranged"] = ranged(bodies["trend_by_district"], "1995-03-01", "1996-08-31")
+    twins["attendance_totals_ranged"] = ranged(bodies["attendance_totals"])
+    twins["proxy_ranged"] = ranged(bodies["proxy_top20"])
+    twins["result_digest_chosen"] = twin(f"""SELECT count(*) AS n_rows, max_by(school_id, (v, -r)) AS max_entity, {r('max(v)', 'max_value')},
+        min_by(school_id, (v, r)) AS min_entity, {r('min(v)', 'min_value')}, {r('avg(v)', 'mean_value')}
+        FROM (SELECT school_id, welfare_risk_score AS v, row_number() OVER (ORDER BY school_id) AS r FROM risk)""")
     overview = ("SELECT district, avg(avg_attendance_rate) AS v FROM district_kpis WHERE district IS NOT NULL GROUP BY district")
     digest = twin(f"SELECT 1 FROM ({overview})").removesuffix(f"SELECT 1 FROM ({overview})")
     twins["result_digest"] = f"{digest.rstrip()}, ov AS ({overview}) {bodies['result_digest']}"

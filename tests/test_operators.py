@@ -12,7 +12,7 @@ from chalkline.operators.dedup import COPIES, dedup_exact
 from chalkline.operators.lineage import with_boolean_lineage, with_date_lineage, with_id_lineage
 from chalkline.operators.merge import first_non_null_per_key
 from chalkline.operators.report import (
-    formal_label, linear_trend, ranked, result_digest, share_of_total, to_long, with_formal_labels,
+    digest_columns, formal_label, linear_trend, ranked, result_digest, share_of_total, to_long, with_formal_labels,
 )
 
 
@@ -66,46 +66,28 @@ def skewed(spark):
     return fact, dim
 
 
-@pytest.mark.parametrize("top", [1, 3, 1000])
-def test_spread_lookup_equals_left_join(skewed, top):
+@pytest.mark.parametrize("salts", [1, 3, 40])
+def test_left_lookup_equals_left_join(skewed, salts):
     fact, dim = skewed
     expected = sorted(map(tuple, fact.join(dim, "k", "left").select("id", "k", "name", "size").collect()))
-    spread = lookup.spread_lookup(fact, dim, "k", ["name", "size"], lookup.heavy_keys(fact, "k", top))
-    assert spread.columns == ["id", "k", "name", "size"]
-    assert sorted(map(tuple, spread.collect())) == expected
+    found = lookup.left_lookup(fact, dim, "k", ["name", "size"], salts)
+    assert found.columns == ["id", "k", "name", "size"]
+    assert sorted(map(tuple, found.collect())) == expected
 
 
-def test_spread_lookup_spreads_hot_and_missing_keys(spark, skewed):
+def test_left_lookup_spreads_hot_and_missing_keys(spark, skewed):
     fact, dim = skewed
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        parts = lookup.spread_lookup(fact, dim, "k", ["name"], lookup.heavy_keys(fact, "k")).rdd.glom().map(len).collect()
+        df = lookup.left_lookup(fact, dim, "k", ["name"])
+        parts = df.select(F.spark_partition_id().alias("part"), "k").groupBy("part").count().collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
-    assert sum(parts) == 1200 and max(parts) < 400
-
-
-def test_heavy_keys_are_bounded_and_most_frequent(skewed):
-    fact, _ = skewed
-    assert [r.k for r in lookup.heavy_keys(fact, "k", 2).collect()] == ["hot", "orphan"]
-
-
-def test_dimension_is_broadcast_only_when_known_to_be_small(skewed, monkeypatch):
-    fact, dim = skewed
-
-    def plan(rows):
-        df = lookup.left_lookup(fact, dim, "k", ["name"], rows)
-        return df, df._jdf.queryExecution().optimizedPlan().toString()
-
-    small, small_plan = plan(51)
-    unknown, unknown_plan = plan(None)
-    large, large_plan = plan(lookup.BROADCAST_ROWS + 1)
-    assert "__near_key" not in small_plan and "strategy=broadcast" in small_plan
-    assert "__near_key" in unknown_plan and "__near_key" in large_plan
-    assert sorted(map(tuple, small.select("id", "name").collect())) == sorted(
-        map(tuple, large.select("id", "name").collect()))
+    sizes = [r["count"] for r in parts]
+    assert sum(sizes) == 1200 and max(sizes) < 500 and plan.count("Exchange hashpartitioning") == 2
 
 
 def test_counters_and_histogram(spark):
@@ -129,6 +111,16 @@ def test_report_steps(spark):
     assert (line.n_points, line.slope, line.intercept, line.r2) == (5, pytest.approx(2), pytest.approx(1), pytest.approx(1))
 
 
+def test_digest_chooses_its_columns(spark):
+    df = spark.createDataFrame([(True, "a", "x", 1, 9.0), (False, "b", "y", 5, 1.0)], "f boolean, k string, l string, `v w` int, w double")
+    assert digest_columns(df) == ("k", "v w")
+    assert tuple(result_digest(df).first()) == (2, "b", 5, "a", 1, 3.0)
+    assert tuple(result_digest(df, measure="w").first()) == (2, "a", 9.0, "b", 1.0, 5.0)
+    assert tuple(result_digest(df.select("k")).first()) == (2, None, None, None, None, None)
+    assert tuple(result_digest(df.select("w")).first()) == (2, None, 9.0, None, 1.0, 5.0)
+    assert tuple(result_digest(df.limit(0)).first()) == (0, None, None, None, None, None)
+
+
 def test_formal_labels(spark):
     assert formal_label("district") == "District Name" and formal_label("avg_cost_x") == "Avg Cost X"
     df = spark.createDataFrame([(1, 2)], "district int, my_col int")
