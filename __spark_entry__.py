@@ -32,6 +32,7 @@ from chalkline.plans.risk import welfare_risk  # noqa: E402
 from chalkline.sources import raw as raw_sources  # noqa: E402
 from chalkline.sources import tables  # noqa: E402
 from chalkline.sources.workbook import decode_workbooks  # noqa: E402
+from chalkline.sources.workbook_source import register_workbooks  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -219,6 +220,21 @@ def workbook_scan(spark, sf_dir):
     return decode_workbooks(books, schemas.MDM_PROCUREMENT)
 
 
+def workbook_files(spark, sf_dir):
+    """Procurements with typed columns, written as workbooks of two kinds and read back by the data source."""
+    number = F.substring("procurement_id", 4, 18).cast("long")
+    typed = derived.mdm_procurement(spark, sf_dir).withColumns({
+        "received": F.date_add(F.lit("1904-01-01").cast("date"), (1 + number % 30000).cast("int")),
+        "weight": F.when(number % 9 == 0, F.lit(float("nan"))).otherwise(number / 8),
+        "checked": number % 3 == 0, "lot": number,
+    })
+    root = tables.scratch_path(spark, "workbooks")
+    register_workbooks(spark)
+    typed.where(number % 2 == 0).write.format("workbook").options(strings="shared", date1904="true").mode("append").save(f"{root}/even")
+    typed.where(number % 2 == 1).write.format("workbook").option("rowsPerFile", 5000).mode("append").save(f"{root}/odd")
+    return spark.read.format("workbook").load(root)
+
+
 def risk_table_write(spark, sf_dir):
     return rounded(save_risk(derived.star(spark, sf_dir), tables.scratch_path(spark, "risk")))
 
@@ -229,8 +245,8 @@ def risk_view(spark, sf_dir):
 
 
 def rescue_run(spark, sf_dir):
-    """The whole run over raw files in three formats; the result is the audit as it was written."""
-    base = tables.scratch_path(spark, "rescue")
+    """The whole run over raw files in four formats; the result is the audit as it was written."""
+    base = tables.scratch_path(register_workbooks(spark), "rescue")
     paths = {}
     for name, build in derived.RAW.items():
         raw = build(spark, sf_dir)
@@ -240,6 +256,9 @@ def rescue_run(spark, sf_dir):
         elif name == "student_attendance":
             paths[name] = f"{base}/{name}.parquet"
             raw.write.parquet(paths[name])
+        elif name == "mdm_procurement":
+            paths[name] = f"{base}/{name}.xlsx"
+            raw.write.format("workbook").mode("append").save(paths[name])
         else:
             paths[name] = tables.write_csv(raw, f"{base}/{name}.csv")
     return rescue(spark, paths, f"{base}/warehouse")
@@ -413,6 +432,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_round_trip": json_round_trip,
         "parquet_round_trip": parquet_round_trip,
         "workbook_scan": workbook_scan,
+        "workbook_files": workbook_files,
         "risk_table_write": risk_table_write,
         "risk_view": risk_view,
         "rescue_run": rescue_run,

@@ -37,7 +37,9 @@ def _first_sheet(archive: zipfile.ZipFile) -> str:
 def _texts(element) -> str:
     """The text of a string item, without the phonetic readings beside it."""
     runs = element.findall(f"{_MAIN}r/{_MAIN}t")
-    return "".join(t.text or "" for t in (runs or element.findall(f"{_MAIN}t")))
+    text = "".join(t.text or "" for t in (runs or element.findall(f"{_MAIN}t")))
+    # Characters that XML has no place for are written by number.
+    return re.sub("_x([0-9A-Fa-f]{4})_", lambda m: chr(int(m.group(1), 16)), text)
 
 
 def _shared_strings(archive: zipfile.ZipFile) -> list[str]:
@@ -139,7 +141,8 @@ def sheet_rows(content: bytes) -> Iterator[list]:
                 yield row
 
 
-def _records(content: bytes, names: list[str], required: list[str]) -> Iterator[list]:
+def sheet_records(content: bytes, names: list[str], required: list[str]) -> Iterator[list]:
+    """The rows below the headings as lists of the named columns' texts, empty rows left out."""
     rows = sheet_rows(content)
     header = next(rows, [])
     absent = [name for name in required if name not in header]
@@ -164,7 +167,7 @@ def decode_workbooks(files: DataFrame, schema: T.StructType, required: Sequence[
         for batch in batches:
             for content in batch["content"]:
                 chunk = []
-                for record in _records(content, names, needed):
+                for record in sheet_records(content, names, needed):
                     chunk.append(record)
                     if len(chunk) == BATCH_ROWS:
                         yield pd.DataFrame(chunk, columns=names, dtype=object)

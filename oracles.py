@@ -651,6 +651,10 @@ def all_twins(district, school_type, digits, since, until, stored):
         "json_round_trip": "SELECT * FROM raw_scores",
         "parquet_round_trip": "SELECT * FROM attendance",
         "workbook_scan": "SELECT * FROM raw_procurement",
+        "workbook_files": r"""SELECT * EXCLUDE (k), strftime(DATE '1904-01-01' + CAST(1 + k % 30000 AS INT), '%Y-%m-%d 00:00:00') AS received,
+            CASE WHEN k % 9 <> 0 THEN regexp_replace(CAST(k / 8.0::DOUBLE AS VARCHAR), '\.0$', '') END AS weight,
+            CASE WHEN k % 3 = 0 THEN 'TRUE' ELSE 'FALSE' END AS checked, CAST(k AS VARCHAR) AS lot
+            FROM (SELECT *, CAST(procurement_id[4:] AS BIGINT) AS k FROM raw_procurement)""",
         "risk_table_write": risk_sql,
         "risk_view": risk_sql,
         "risk_table_replaced": risk_sql,
