@@ -179,19 +179,27 @@ def _likely(percent):
 
 
 def _block_pairs(percent):
-    """The same of a cell's rows (cell, seeking, sig, label, n, sketch): pairs of a row that seeks and one that is sought, of different components."""
+    """The same of a cell's rows (cell, seeking, sig, label, outside, n, sketch): pairs of a row that seeks and one that is sought.
+
+    The two are of different components. Of the bands in which a pair agrees only the first reports it, and of two rows that both
+    seek (sought ones that do are `outside`) the one with the lesser signature.
+    """
     def run(batches):
-        for _, rows in by_key(batches):
-            _, seeking, sigs, labels, n, sketch = zip(*rows)
-            (registers, bits), seeking, sigs, labels, n = _loaded(sketch), np.array(seeking), np.array(sigs), np.array(labels), np.array(n)
-            y = np.flatnonzero(~seeking)
+        for cell, rows in by_key(batches):
+            _, seeking, sigs, labels, outside, n, sketch = zip(*rows)
+            (registers, bits), seeking, sigs, labels, outside, n = _loaded(sketch), *map(np.array, (seeking, sigs, labels, outside, n))
+            band, y = np.int64(cell.split()[0]).astype(np.uint64), np.flatnonzero(~seeking)
             found = []
             for at in np.flatnonzero(seeking):
-                other = y[labels[y] != labels[at]]
+                other = y[(labels[y] != labels[at]) & (~outside[y] | (sigs[at] < sigs[y]))]
                 other = other[possible(n[at], n[other], bits[at], bits[other], percent)]
                 agreeing = (registers[other] == registers[at]).sum(axis=1)
                 other = other[estimates(agreeing, n[at], n[other]) >= percent / 100 - MARGIN]
-                found.append((np.minimum(sigs[at], sigs[other]), np.maximum(sigs[at], sigs[other])))
+                if len(other):
+                    own = band_keys(registers[at][None])[0]
+                    first = (band_keys(registers[other]) == own).argmax(axis=1)
+                    other = other[own[first] == band]
+                    found.append((np.minimum(sigs[at], sigs[other]), np.maximum(sigs[at], sigs[other])))
             if found:
                 a, b = (np.concatenate(side) for side in zip(*found))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -296,10 +304,11 @@ def near_duplicates(
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{side}_blocks") - 1)).alias(side)
 
     cell = F.concat_ws(" ", "band", "x", "y").alias("cell")
-    seeking = across.where("label <> main").select("band", "sig", "label", block("x"), every("y")).select(cell, F.lit(True).alias("seeking"), "sig", "label")
-    sought = across.select("band", "sig", "label", block("y"), every("x")).select(cell, F.lit(False).alias("seeking"), "sig", "label")
-    cells = seeking.unionByName(sought).join(known, "sig").select("cell", "seeking", "sig", "label", "n", "sketch")
-    second = links(grouped(cells, "cell").mapInArrow(_block_pairs(percent), "a long, b long").distinct(), "cross")
+    seeking = across.where("label <> main").select("band", "sig", "label", block("x"), every("y")).select(cell, F.lit(True).alias("seeking"), "sig", "label", F.lit(True).alias("outside"))
+    outer = (F.col("label") != F.col("main")).alias("outside")
+    sought = across.select("band", "sig", "label", outer, block("y"), every("x")).select(cell, F.lit(False).alias("seeking"), "sig", "label", "outside")
+    cells = seeking.unionByName(sought).join(known, "sig").select("cell", "seeking", "sig", "label", "outside", "n", "sketch")
+    second = links(grouped(cells, "cell").mapInArrow(_block_pairs(percent), "a long, b long"), "cross")
 
     whole = near if second.isEmpty() else connected_components(first.unionByName(second))
     smallest = classes.groupBy("sig").agg(F.min("doc_id").alias("least"))
