@@ -1,6 +1,7 @@
 """Literal cases of every row function, each branch at least once."""
 
 import datetime
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,42 @@ def test_fallback_dates(spark, fallback_dates):
         assert tuple(row) == (expected, method, day is not None, day is None), text
 
 
+def token_orders():
+    """A day, a month's name, a year, a clock and a weekday in all sorts of orders."""
+    for day, name, year in itertools.permutations(range(3)):
+        tokens = [None] * 3
+        tokens[day], tokens[name], tokens[year] = "10", "April", "2025"
+        for at, (clock, gap) in enumerate([("08:30", " "), ("2:30 PM", "-"), ("23:59:59.25", ", "), ("11 am", " ")]):
+            spelt = list(tokens)
+            if gap == "-":
+                spelt = ["-".join(spelt)]
+            spelt.insert(at % (len(spelt) + 1), clock)
+            yield (", " if gap == ", " else " ").join(spelt)
+    yield from (
+        "Thu Apr 10 08:30:00 2025", "Thu Apr 10 08:30:00 UTC 2025", "08:30 10/04/2025 Thursday".replace("10/04", "04/10"), "14:30 2025-04-10",
+        "08:30 Thursday, 10th of April 2025", "Thursday the 10 April 2025".replace("the ", ""), "10Apr2025", "Apr. 10, 2025", "8:30am 04.10.2025",
+        "Apr 10 25", "Thu 04.10.2025", "04 10 2025", "2025 04 10", "2025-04-10 08:30:00.123456 +0530", "08:30Z 10-Apr-2025",
+    )
+
+
+def test_clocks_and_words_may_stand_anywhere(spark):
+    texts = list(token_orders())
+    assert len(set(texts)) >= 35
+    for text, row in zip(texts, apply(spark, parse_date, texts)):
+        assert tuple(row) == (datetime.date(2025, 4, 10), "PANDAS_FALLBACK", True, False), text
+
+
+NO_DATES = (
+    "08:30", "Thursday", "10 April", "April", "24:00 10 April 2025", "10:60 10 April 2025", "08:30 09:30 10 April 2025", "10 April 2025 5", "10 10 April 2025",
+    "April May 2025", "2025--04--10 x", "13 pm 10 April 2025", "10 Apr 2025 at", "0000 April 10", "31 April 2025 08:30", "10:30:2025", "of", ",", "1 2 3 4",
+)
+
+
+def test_tokens_that_make_no_day(spark):
+    for text, row in zip(NO_DATES, apply(spark, parse_date, list(NO_DATES))):
+        assert tuple(row) == (None, "UNPARSED_ERROR", False, True), text
+
+
 def test_booleans(spark):
     spelt = {word.title(): True for word in TRUE_WORDS} | {word.lower(): False for word in FALSE_WORDS}
     check(spark, parse_boolean, spelt | {
