@@ -313,6 +313,7 @@ def _stored(build):
 STORED = {
     "attendance_monthly": views.attendance_monthly,
     "district_summary": views.district_summary,
+    "kpi_all": reports.kpi_scoped,
     "kpi_scoped": lambda s: reports.kpi_scoped(s, DISTRICT, SCHOOL_TYPE),
     "monthly_trend": reports.monthly_trend,
     "trend_by_district": lambda s: reports.trend_by_district(s, DISTRICT),
