@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -34,11 +35,12 @@ from chalkline.sources import tables  # noqa: E402
 from chalkline.sources.workbook import decode_workbooks  # noqa: E402
 from chalkline.sources.workbook_source import register_workbooks  # noqa: E402
 
-try:
-    import corpus_pipeline
-    from chalkline.llm import queries as text_queries
-except ImportError:
-    corpus_pipeline = text_queries = None
+# The operators on training text may be left out of an installation; if they are there, faults in them show.
+corpus_pipeline = text_queries = None
+_text_package = importlib.util.find_spec("chalkline.llm")
+if getattr(_text_package, "origin", None) and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline  # noqa: E402
+    from chalkline.llm import queries as text_queries  # noqa: E402
 
 DISTRICT = "Nation_3"
 SCHOOL_TYPE = "Machinery"
