@@ -120,11 +120,13 @@ class Mix:
         self.rows, self.sizes, self.targets, self.plan, self.sources = rows, sizes, targets, plan, sources
 
     def with_copies(self, rows: DataFrame) -> DataFrame:
-        """Adds `copies` to rows that have pattern, pick and cell. The plan has a row per combination of sources in use."""
+        """Adds `copies` to rows that have pattern, pick, cell and size; rows without words (size 0) have none.
+
+        The plan has a row per combination of sources in use."""
         schema = "pattern string, whole int, last_cell int, last_pick long"
         table = rows.sparkSession.createDataFrame(self.plan, schema)
         inside = (F.col("cell") < F.col("last_cell")) | ((F.col("cell") == F.col("last_cell")) & (F.col("pick") <= F.col("last_pick")))
-        copies = (F.col("whole") + F.coalesce(inside, F.lit(False)).cast("int")).cast("long")
+        copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(inside, F.lit(False)).cast("int")).otherwise(0).cast("long")
         return rows.join(F.broadcast(table), "pattern").withColumn("copies", copies).drop("whole", "last_cell", "last_pick")
 
 
@@ -204,6 +206,7 @@ def apply_mix(
     picked = documents.select(
         row.alias("row"), F.to_json(member_set(members)).alias("pattern"),
         F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.crc32(body.cast("binary"))).alias("pick"),
+        body.rlike(WORD).cast("long").alias("size"),
     ).withColumn("cell", F.pmod("pick", F.lit(CELLS)).cast("int"))
     counted = mix.with_copies(picked).where("copies > 0")
     return counted.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")

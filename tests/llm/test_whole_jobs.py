@@ -143,3 +143,22 @@ def test_mix_of_overlapping_sources_is_applied(spark):
     ) <= 3 * 7
     for applied in (source_mix.apply_mix(table, mix), source_mix.apply_mix(table, mix, sources=F.col("belongs"))):
         assert collections.Counter(r["doc_id"] for r in applied.collect()) == planned
+
+
+def test_mix_takes_no_texts_without_words(spark):
+    rows = [(i, "w " * (i % 9), "ab"[i % 2]) for i in range(200)] + [(900 + i, None, "b") for i in range(20)] + [(None, " \n", "a")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = source_mix.plan_mix(table)
+    applied = source_mix.apply_mix(table, mix)
+    assert applied.count() and all((r["text"] or "").strip() for r in applied.collect())
+    planned = {r["doc_id"]: r["copies"] for r in source_mix.mixed_rows(mix).collect() if r["copies"]}
+    assert collections.Counter(r["doc_id"] for r in applied.collect()) == planned and max(planned.values()) <= 3
+
+
+def test_decontamination_twin_knows_items_without_id(spark, tmp_path):
+    """An item without an id hits words but is not named, in the operator and in its twin."""
+    spark.createDataFrame([(1, "a Line one, is b"), (2, "one two"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, "LINE one is"), (7, "one two")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = QUERIES["op8_decontaminate"](spark, str(tmp_path))
+    assert {(r["doc_id"], r["n_hit"], r["n_items"]) for r in df.collect()} == {(1, 3, 0), (2, 2, 1), (3, 0, 0)}
+    assert difference(df, views(str(tmp_path), ("documents", "benchmark")), TWINS["op8_decontaminate"]) is None
