@@ -6,7 +6,7 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 _BENCH = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP8 = rf"""
-WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_BENCH} AS words FROM benchmark WHERE item_id IS NOT NULL),
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_BENCH} AS words FROM benchmark),
 windows AS (
     SELECT DISTINCT item, len(part) AS n, array_to_string(part, ' ') AS pattern FROM (
         SELECT item, unnest([words[k:k + 9] FOR k IN range(1, greatest(len(words) - 9, 1) + 1)]) AS part
@@ -20,7 +20,7 @@ found AS (
 hit AS (SELECT row_no, count(DISTINCT word) AS n_hit FROM (
     SELECT row_no, unnest(range(pos, pos + n)) AS word FROM found) GROUP BY row_no),
 named AS (SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT row_no, item FROM found) GROUP BY row_no)
+    FROM (SELECT DISTINCT row_no, item FROM found WHERE item IS NOT NULL) GROUP BY row_no)
 SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM doc LEFT JOIN hit USING (row_no) LEFT JOIN named USING (row_no)
