@@ -1,9 +1,9 @@
 """Dates written in many ways.
 
 The *form* of a date text says how it is laid out, its *value* is the day that gives, and the
-*method* names the outcome. The value is a chain in which every step but the first uses the one
-before it once: when a filter on a date is pushed below the projection that computes it, the
-expression moves with it, and must not multiply.
+*method* names the outcome. The value is a chain in which every step uses the one before it
+once: when a filter on a date is pushed below the projection that computes it, the expression
+moves with it, and must not multiply.
 """
 
 from pyspark.sql import Column
@@ -31,18 +31,19 @@ _TEXT_PATTERN = rf"(?i)^\d{{1,2}}-(?:(?:{_SHORT})-(?:\d{{4}}|\d{{2}})|(?:{_LONG}
 _FIRST_ABOVE_12 = r"^(?:1[3-9]|[2-9]\d)\D"
 _SECOND_ABOVE_12 = r"^\d+\D(?:1[3-9]|[2-9]\d)\D"
 
-# A text outside the main layouts is taken apart into tokens: a clock, names of days and other words
-# that say nothing about the day become a mark, wherever they stand; what is left are numbers and at
-# most one name of a month, which get their roles by kind and place.
+# A text outside the main layouts is taken apart into tokens: a clock, names of weekdays and other parts
+# that say nothing about the day become a mark, wherever they stand (that of a clock keeps its colon); what is left are
+# numbers and at most one name of a month, which get their roles by kind and place.
 _MARK = "\ue001"
-_HOUR = r"(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?[ap]\.?m\b\.?)?|(?:0?[1-9]|1[0-2]) ?[ap]\.?m\b\.?"
+_HOUR = r"(?:(?:[01]?\d|2[0-3])(:)[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?[ap]\.?m\b\.?)?|(?:0?[1-9]|1[0-2]) ?[ap]\.?m\b\.?)"
 _ZONE = r"(?: ?(?:z|utc|gmt)\b| ?[+-]\d{2}:?\d{2})"
-_CLOCK = rf"(?s)^([^:]*?)(?:^|[ ,]|(?<=\d)t)(?:{_HOUR}){_ZONE}?(?:[ ,]+([^:]*))?$"
-_WORDS = (r"\b(?:mon|tue|wed|thu|fri|sat|sun|(?:mon|tues|wednes|thurs|fri|satur|sun)day)\b|,|"
-          r"(?<=\d)(?:st|nd|rd|th)\b|\bof\b")
-
-# Only texts with a blank, a comma, a colon or letters after a digit can have any of them.
-_MORE_TOKENS = r"[ ,:]|\d(?:[ap]\.?m|st|nd|rd|th)"
+_ASIDE = (
+    # A look at the next character first, which rules out most places at once.
+    rf"(?=[\dt])(?:(?<=\d)t)?(?<![\d:.])(?=\d\d?[: ap]){_HOUR}{_ZONE}?(?![\d:])|,|"
+    r"(?=[fmostw])\b(?:mon|tue|wed|thu|fri|sat|sun|(?:mon|tues|wednes|thurs|fri|satur|sun)day|of)\b|"
+    r"(?=[nrst])(?<=\d)(?:st|nd|rd|th)\b"
+)
+_MARKED = f"{_MARK}$1"
 
 _YEAR = r"(?!0000)(\d{4})"
 _NAME = r"([a-z]{3})[a-z]*"
@@ -50,19 +51,17 @@ _WORD = rf"(?=(?:{_LONG}|{_SHORT}|sept)(?![a-z])){_NAME}"
 _DAY = r"(\d{1,2})"
 _ABOVE_12 = r"(1[3-9]|[2-9]\d)"
 _SHORT_YEAR = r"(\d{2})"
-_END = f"[ {_MARK}]*"
-_GAP = f"(?:[ {_MARK}]+[-/.]?{_END}|[-/.]{_END})"
+_AROUND = f"[ :{_MARK}]*"
+_GAP = f"(?:[ :{_MARK}]+[-/.]?{_AROUND}|[-/.]{_AROUND})"
 _NEAR = f"{_GAP}?"
+# One clock at most, and no colon that is not a clock's.
+_CLOCKS = f"(?!.*:.*:)(?!.*(?<!{_MARK}):)"
 
 
-def _tokens(*parts: str) -> str:
-    return _END + "".join(parts) + _END
-
-
-# What fits first applies: the main layouts as they are written, then orders of tokens. Each comes with the
+# The main layouts as they are written, then orders of tokens; what fits first applies. Each comes with the
 # order of year, month and day in it; of a month's name the first three letters are taken. A
 # month or year alone means its first day.
-_LAYOUTS = (
+_MAIN = (
     (rf"{_YEAR}[-/](\d{{1,2}})[-/](\d{{1,2}})", "ymd"),
     (rf"{_ABOVE_12}[-/](\d{{1,2}})[-/]{_YEAR}", "dmy"),
     (rf"(\d{{1,2}})[-/](\d{{1,2}})[-/]{_YEAR}", "mdy"),
@@ -70,33 +69,42 @@ _LAYOUTS = (
     (rf"(\d{{1,2}})\.(\d{{1,2}})\.{_YEAR}", "dmy"),
     (rf"(\d{{1,2}})-({_SHORT})-((?!0000)\d{{4}}|\d{{2}})", "dmy"),
     (rf"(\d{{1,2}})-(?=(?:{_LONG})-){_NAME}-{_YEAR}", "dmy"),
-    (_tokens(_YEAR, r"(\d{2})(\d{2})(?:t\d{4}(?:\d{2})?)?"), "ymd"),
+)
+_ORDERS = (
+    (_YEAR + r"(\d{2})(\d{2})(?:t\d{4}(?:\d{2})?)?", "ymd"),
     # Numbers only: the year by its digits, the day where only it can be above 12, else the month first.
-    (_tokens(_YEAR, _GAP, _DAY, _GAP, _DAY), "ymd"),
-    (_tokens(_ABOVE_12, _GAP, _DAY, _GAP, _YEAR), "dmy"),
-    (_tokens(_DAY, _GAP, _DAY, _GAP, _YEAR), "mdy"),
-    (_tokens(_ABOVE_12, _GAP, _DAY, _GAP, _SHORT_YEAR), "dmy"),
-    (_tokens(r"(0?\d|1[0-2])", _GAP, _DAY, _GAP, _SHORT_YEAR), "mdy"),
+    (_YEAR + _GAP + _DAY + _GAP + _DAY, "ymd"),
+    (_ABOVE_12 + _GAP + _DAY + _GAP + _YEAR, "dmy"),
+    (_DAY + _GAP + _DAY + _GAP + _YEAR, "mdy"),
+    (_ABOVE_12 + _GAP + _DAY + _GAP + _SHORT_YEAR, "dmy"),
+    (r"(0?\d|1[0-2])" + _GAP + _DAY + _GAP + _SHORT_YEAR, "mdy"),
     # With a name of a month: every order of the three, and a short year where it comes last.
-    (_tokens(_WORD, _NEAR, _DAY, _GAP, _YEAR), "mdy"),
-    (_tokens(_DAY, _NEAR, _WORD, _NEAR, _YEAR), "dmy"),
-    (_tokens(_YEAR, _NEAR, _WORD, _NEAR, _DAY), "ymd"),
-    (_tokens(_WORD, _NEAR, _YEAR, _GAP, _DAY), "myd"),
-    (_tokens(_YEAR, _GAP, _DAY, _NEAR, _WORD), "ydm"),
-    (_tokens(_DAY, _GAP, _YEAR, _NEAR, _WORD), "dym"),
-    (_tokens(_DAY, _NEAR, _WORD, _NEAR, _SHORT_YEAR), "dmy"),
-    (_tokens(_WORD, _NEAR, _DAY, _GAP, _SHORT_YEAR), "mdy"),
-    (_tokens(_WORD, _NEAR, _YEAR), "my"),
-    (_tokens(_YEAR, _NEAR, _WORD), "ym"),
-    (_tokens(_YEAR, "[-/]", _DAY), "ym"),
-    (_tokens(_YEAR), "y"),
+    (_WORD + _NEAR + _DAY + _GAP + _YEAR, "mdy"),
+    (_DAY + _NEAR + _WORD + _NEAR + _YEAR, "dmy"),
+    (_YEAR + _NEAR + _WORD + _NEAR + _DAY, "ymd"),
+    (_WORD + _NEAR + _YEAR + _GAP + _DAY, "myd"),
+    (_YEAR + _GAP + _DAY + _NEAR + _WORD, "ydm"),
+    (_DAY + _GAP + _YEAR + _NEAR + _WORD, "dym"),
+    (_DAY + _NEAR + _WORD + _NEAR + _SHORT_YEAR, "dmy"),
+    (_WORD + _NEAR + _DAY + _GAP + _SHORT_YEAR, "mdy"),
+    (_WORD + _NEAR + _YEAR, "my"),
+    (_YEAR + _NEAR + _WORD, "ym"),
+    (_YEAR + "[-/]" + _DAY, "ym"),
+    (_YEAR, "y"),
 )
 
+
+def _any_of(layouts) -> str:
+    return "|".join(pattern for pattern, _ in layouts)
+
+
 # All layouts as one pattern that fits any text, and the replacement that puts year, month and
 # day in that order: groups of layouts that did not match are empty, and so are all fields of a
 # text that has no layout.
-_ANY_TEXT = "(?s)^(?:" + "|".join(pattern for pattern, _ in _LAYOUTS) + "|.*)$"
-_FIELDS = "".join(order for _, order in _LAYOUTS)
+_ANY_TEXT = (
+    f"(?s)^(?:{_any_of(_MAIN)}|(?=\\D*\\d){_CLOCKS}{_AROUND}(?:{_any_of(_ORDERS)}){_AROUND}|.*)$"
+)
+_FIELDS = "".join(order for _, order in _MAIN + _ORDERS)
 _IN_ORDER = "-".join(
     "".join(f"${at}" for at, name in enumerate(_FIELDS, start=1) if name == field)
     for field in "ymd"
@@ -134,9 +142,7 @@ def date_form(text) -> Column:
 
 def date_value(text) -> Column:
     """The calendar day the text gives, NULL where it gives none. Years start at 1."""
-    small = F.lower(column(text))
-    marked = F.regexp_replace(F.regexp_replace(small, _CLOCK, f"$1 $2{_MARK}"), _WORDS, _MARK)
-    day = F.when(small.rlike(_MORE_TOKENS), marked).otherwise(small)
+    day = F.regexp_replace(F.lower(column(text)), _ASIDE, _MARKED)
     day = F.regexp_replace(day, _ANY_TEXT, _IN_ORDER)
     for number, month in enumerate(_MONTHS, start=1):
         day = F.replace(day, F.lit(month[:3]), F.lit(str(number)))

@@ -10,18 +10,20 @@ SALTS = 16
 
 
 def left_lookup(
-    fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], salts: int = SALTS
+    fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], salts: int = SALTS,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """`fact` LEFT JOIN `dim` on `key`, where `dim` has one row per key.
 
     One plan for every size and every distribution of keys, with one scan of each side. Each fact
-    gets a salt from a hash of its whole row, and each dimension row comes once per salt, so the
+    gets a salt from a hash of the columns `spread_by`, such as its own id (default: of the whole row, which then
+    must be read whole), and each dimension row comes once per salt, so the
     facts of a key that holds much of the data meet it in `salts` places instead of one. Facts
     without a key match nothing and are spread over all tasks. The salted sides are plain shuffles, so AQE can
-    split what is still too large (facts that are equal in every column share a salt), or broadcast
+    split what is still too large (facts that are equal in `spread_by` share a salt), or broadcast
     the dimension where it finds it below the session's `autoBroadcastJoinThreshold`.
     """
-    own = F.xxhash64(*fact.columns)
+    own = F.xxhash64(*(spread_by or fact.columns))
     # A fact without a key needs no partner, so its salt may be any number.
     salt = F.when(F.col(key).isNull(), own).otherwise(F.pmod(own, F.lit(salts)))
     places = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))

@@ -20,7 +20,7 @@ def attendance_daily(star: Star) -> DataFrame:
         "total_students", "present_students", "attendance_rate", "teacher_present", "marked_by",
         "is_impossible_attendance", "is_proxy_attendance", "is_weekend", "data_quality_status",
     )
-    joined = left_lookup(fact, star.school, "school_id", [*_PLACE, "school_type"])
+    joined = left_lookup(fact, star.school, "school_id", [*_PLACE, "school_type"], spread_by=["record_id"])
     return joined.select(
         "record_id", "school_id", *_PLACE, "school_type", *fact.columns[2:],
     )
@@ -93,7 +93,7 @@ def procurement_summary(star: Star) -> DataFrame:
         "grain_type", "quantity_kg", "total_cost", "cost_per_kg", "payment_status",
         "unit_inferred_flag",
     )
-    joined = left_lookup(fact, star.school, "school_id", _PLACE)
+    joined = left_lookup(fact, star.school, "school_id", _PLACE, spread_by=["procurement_id"])
     return joined.select("procurement_id", "school_id", *_PLACE, *fact.columns[2:])
 
 
@@ -114,7 +114,7 @@ def test_summary(star: Star) -> DataFrame:
         "assessment_id", "school_id", F.col("date").alias("assessment_date"), "grade", "subject",
         "grading_scale_raw", "avg_score_raw", "score_percentage",
     )
-    joined = left_lookup(fact, star.school, "school_id", _PLACE)
+    joined = left_lookup(fact, star.school, "school_id", _PLACE, spread_by=["assessment_id"])
     return joined.select("assessment_id", "school_id", *_PLACE, *fact.columns[2:])
 
 

@@ -201,6 +201,13 @@ def test_skewed_lookup_scans_each_side_once(spark):
     assert daily.count() == star.attendance.count()
 
 
+def test_looked_up_views_compute_only_what_is_asked(spark):
+    daily = views.attendance_daily(derived.star(spark, SF)).groupBy("block").agg(F.avg("attendance_rate"))
+    plan = daily._jdf.queryExecution().optimizedPlan().toString()
+    asked = plan[:plan.index("Aggregate", plan.index("Join LeftOuter"))]
+    assert "l_shipdate" not in asked and "regexp_replace" not in asked
+
+
 def test_monthly_counts_add_up(spark):
     star = derived.star(spark, SF)
     total = views.attendance_monthly(star).agg(F.sum("total_records")).first()[0]
