@@ -1,11 +1,13 @@
 """Toxicity: a factorization machine over hashed terms.
 
 A text's terms are its distinct words (punctuation separates, A-Z lowered) and their leading 4, 5 and 6 bytes,
-hashed to 31 bits. From a bounded sample of labelled documents the terms that tell the classes apart are
-screened; on them a factorization machine is fitted: a weight per term and a vector per term whose
-products weigh pairs, so that two terms that are harmless alone can be toxic together. Fitting runs in numpy on
-the driver, on the sample; scoring runs over whole texts in tasks, with the fitted arrays broadcast (at
-most `TERMS` terms, whatever the corpus).
+hashed to 31 bits. On a bounded sample of labelled documents a factorization machine is fitted: a weight per term
+and a vector per term whose products weigh pairs, so that two terms that are harmless alone can be toxic
+together. Its terms are screened twice: those that tell the classes apart alone, and then those of the pairs that
+tell apart what the first ones leave unexplained, whatever each says alone (all pairs among the sample's
+`PAIR_CANDIDATES` most frequent terms are counted). Fitting runs in numpy on the driver, on the sample; scoring
+runs over whole texts in tasks, with the fitted arrays broadcast (at most `TERMS` + `PAIR_TERMS` terms, whatever
+the corpus).
 """
 
 import numpy as np
@@ -23,6 +25,10 @@ TERMS = 2048
 RANK = 4
 MIN_DOCUMENTS = 5
 MIN_DEVIATION = 3.0
+PAIR_CANDIDATES = 8192
+PAIR_TERMS = 256
+PAIR_DEVIATION = 7.0
+PAIR_BLOCK = 512
 PREFIXES = (4, 5, 6)
 TERM_BITS = 31
 STEPS = 120
@@ -86,31 +92,100 @@ def screen(rows, terms, labels, most=TERMS, least=MIN_DOCUMENTS):
     return np.sort(known[order[deviation[order] > 0]])
 
 
+def _at_least(deviation, least, first, second, best, most):
+    """The `most` greatest of the pairs kept so far and those of one block that deviate enough."""
+    i, j = np.nonzero(deviation >= least)
+    found = np.concatenate([best, np.stack([deviation[i, j], first + i, second + j], axis=1)])
+    return found[np.lexsort((found[:, 2], found[:, 1], -found[:, 0]))[:most]]
+
+
+def screen_pairs(rows, terms, left, spread, most=PAIR_TERMS, candidates=PAIR_CANDIDATES, least=PAIR_DEVIATION):
+    """At most `most` terms, those of the pairs whose documents deviate most from what a model says of them.
+
+    left: label less probability by document; spread: the probability's variance. The pairs are those among the
+    `candidates` most frequent terms, counted in blocks of dense products.
+    """
+    known, index, counts = np.unique(terms, return_inverse=True, return_counts=True)
+    order = np.lexsort((known, -counts))[:candidates]
+    chosen = order[counts[order] >= MIN_DOCUMENTS]
+    place = np.full(len(known), len(chosen), np.int32)
+    place[chosen] = np.arange(len(chosen))
+    column = place[index]
+    del index
+    by_column = np.argsort(column, kind="stable")
+    owner, bounds = rows[by_column], np.searchsorted(column[by_column], np.arange(len(chosen) + 1))
+    column = column[by_column]
+    left, spread = (np.asarray(x, np.float32)[:, None] for x in (left, spread))
+
+    def block(first):
+        end = min(first + PAIR_BLOCK, len(chosen))
+        dense = np.zeros((len(left), end - first), np.float32)
+        own = slice(bounds[first], bounds[end])
+        dense[owner[own], column[own] - first] = 1
+        return dense
+
+    best = np.zeros((0, 3))
+    for first in range(0, len(chosen), PAIR_BLOCK):
+        one = block(first)
+        pulled, spreads = (one * left).T, (one * spread).T
+        for second in range(first, len(chosen), PAIR_BLOCK):
+            other = block(second)
+            deviation = np.abs(pulled @ other) / np.sqrt(spreads @ other + 1)
+            if first == second:
+                deviation = np.triu(deviation, 1)
+            best = _at_least(deviation, least, first, second, best, most)
+    kept = list(dict.fromkeys(best[:, 1:].astype(int).ravel().tolist()))[:most]
+    return np.sort(known[chosen[kept]])
+
+
+def _probabilities(margins):
+    return 1 / (1 + np.exp(-np.clip(margins, -30, 30)))
+
+
+def _inside(kept, rows, terms):
+    """(rows, places in `kept`) of the terms that are kept."""
+    if not len(kept):
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    at = np.minimum(np.searchsorted(kept, terms), len(kept) - 1)
+    inside = kept[at] == terms
+    return rows[inside].astype(np.int32), at[inside].astype(np.int32)
+
+
 def fit(rows, terms, labels, rank=RANK, steps=STEPS, seed=SEED, most=TERMS) -> Model:
-    """Full-batch Adam on the logistic loss. rows, terms: distinct pairs of the sample, rows in order."""
+    """The machine of the terms that are screened alone, and once more with those of the pairs that it left unexplained.
+
+    rows, terms: distinct pairs of the sample, rows in order. Without documents, or with one class alone, the model is the bias.
+    """
     prior = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-6, 1 - 1e-6))
-    none = Model(np.zeros(0, np.uint32), np.log(prior / (1 - prior)), np.zeros(0), np.zeros((0, rank)))
+    bias = np.log(prior / (1 - prior))
     if not len(labels) or labels.min() == labels.max():
-        return none
-    kept = screen(rows, terms, labels, most)
-    at = np.minimum(np.searchsorted(kept, terms), max(len(kept) - 1, 0))
-    inside = kept[at] == terms if len(kept) else np.zeros(len(terms), bool)
-    rows, at = rows[inside].astype(np.int32), at[inside].astype(np.int32)
+        return Model(np.zeros(0, np.uint32), bias, np.zeros(0), np.zeros((0, rank)))
+    alone = screen(rows, terms, labels, most)
+    model = _fitted(alone, rows, terms, labels, bias, rank, steps, seed)
+    said = _probabilities(model.margins(*_inside(alone, rows, terms), len(labels)))
+    together = screen_pairs(rows, terms, labels - said, said * (1 - said))
+    kept = np.union1d(alone, together)
+    return model if len(kept) == len(alone) else _fitted(kept, rows, terms, labels, bias, rank, steps, seed)
+
+
+def _fitted(kept, rows, terms, labels, bias, rank, steps, seed) -> Model:
+    """Full-batch Adam on the logistic loss over the kept terms."""
+    rows, at = _inside(kept, rows, terms)
     n, k = len(labels), len(kept)
     by_term = np.argsort(at, kind="stable")
     term_rows = rows[by_term]
     bounds = np.searchsorted(at[by_term], np.arange(k))
     vectors = np.random.default_rng(seed).normal(0, 0.05, (k, rank))
-    state = {"bias": np.array([none.bias]), "weights": np.zeros(k), "vectors": vectors}
+    state = {"bias": np.array([bias]), "weights": np.zeros(k), "vectors": vectors}
     first = {name: np.zeros_like(x) for name, x in state.items()}
     second = {name: np.zeros_like(x) for name, x in state.items()}
     for step in range(1, steps + 1):
         model = Model(kept, state["bias"][0], state["weights"], state["vectors"])
-        error = (1 / (1 + np.exp(-np.clip(model.margins(rows, at, n), -30, 30))) - labels) / n
+        error = (_probabilities(model.margins(rows, at, n)) - labels) / n
         pull = error[term_rows]
-        own = np.add.reduceat(pull, bounds)
+        own = np.add.reduceat(pull, bounds) if k else np.zeros(0)
         cross = np.empty((k, rank))
-        for f in range(rank):
+        for f in range(rank if k else 0):
             sums = np.bincount(rows, weights=state["vectors"][at, f], minlength=n)
             cross[:, f] = np.add.reduceat(pull * sums[term_rows], bounds)
         gradient = {
@@ -149,11 +224,10 @@ def text_scorer(model: Model):
             rows, terms = slice_terms(data, offsets)
             near = flags[terms >> np.uint64(11)]
             rows, terms = rows[near], terms[near].astype(np.uint32)
-            at = np.minimum(np.searchsorted(model.terms, terms), len(model.terms) - 1)
-            same = model.terms[at] == terms if len(model.terms) else np.zeros(0, bool)
-            pairs = np.unique(rows[same].astype(np.int64) << 32 | at[same])
+            rows, at = _inside(model.terms, rows, terms)
+            pairs = np.unique(rows.astype(np.int64) << 32 | at)
             margins.append(model.margins(pairs >> 32, pairs & 0xFFFFFFFF, len(offsets) - 1))
-        return 1 / (1 + np.exp(-np.clip(np.concatenate(margins or [np.zeros(0)]), -30, 30)))
+        return _probabilities(np.concatenate(margins or [np.zeros(0)]))
 
     return scores
 
@@ -181,7 +255,10 @@ def judged(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of `documents`, with all their columns, that score below the threshold. Nothing is shuffled."""
+    """The rows of `documents`, with all their columns, that score below the threshold. Nothing is shuffled.
+
+    A NULL or empty text scores by the bias alone; equal texts share one verdict; an empty table stays empty.
+    """
     source = small_batches(documents.sparkSession).sparkContext.broadcast(model.arrays())
     at = documents.columns.index(text)
 

@@ -158,16 +158,43 @@ def test_factorization_machine_learns_pairs():
     x[:, 0], x[:, 1] = rng.random(n) < 0.5, rng.random(n) < 0.5
     y = (x[:, 0] == x[:, 1]).astype(float)  # no weight of one term tells anything
     rows, terms = np.nonzero(x)
-    kept, toxicity_fm.MIN_DEVIATION = toxicity_fm.MIN_DEVIATION, 0.0
-    try:
-        model = toxicity_fm.fit(rows, terms.astype(np.uint32), y, steps=400)
-    finally:
-        toxicity_fm.MIN_DEVIATION = kept
+    model = toxicity_fm.fit(rows, terms.astype(np.uint32), y)
+    assert {0, 1} <= set(model.terms.tolist())
     at = np.searchsorted(model.terms, terms)
     inside = model.terms[np.minimum(at, len(model.terms) - 1)] == terms
     assert ((model.margins(rows[inside], at[inside], n) > 0) == (y > 0)).mean() > 0.95
 
 
+def test_margins_are_the_sum_over_pairs():
+    rng = np.random.default_rng(3)
+    x, model = rng.random((40, 12)) < 0.4, toxicity_fm.Model(np.arange(12), 0.3, rng.normal(size=12), rng.normal(size=(12, 4)))
+    for row, margin in zip(x, model.margins(*np.nonzero(x), 40)):
+        held = np.flatnonzero(row)
+        plain = model.bias + sum(model.weights[i] for i in held)
+        for k, i in enumerate(held):
+            for j in held[k + 1:]:
+                plain += sum(model.vectors[i, f] * model.vectors[j, f] for f in range(4))
+        assert margin == pytest.approx(plain)
+
+
+def test_pairs_of_terms_that_are_neutral_alone(spark):
+    """Two words decide together: each is as frequent in clean documents as in toxic ones."""
+    rng = np.random.default_rng(5)
+    texts, labels = [], []
+    for i in range(4000):
+        body = [f"filler{k}" for k in rng.zipf(1.3, 40) % 3000]
+        group, insult = rng.random(2) < 0.5
+        body += ["Wugglish"] * int(group) + ["GRONKY!"] * int(insult)
+        rng.shuffle(body)
+        texts.append((i, " ".join(body)))
+        labels.append((i, int(group == insult)))
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    model = toxicity_fm.train(documents, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r["doc_id"]: r for r in toxicity_fm.judged(toxicity_fm.score(documents, model)).collect()}
+    held_out = [(found[i]["predicted"], y) for i, y in labels if found[i]["held_out"]]
+    assert len(held_out) > 600 and sum(p == y for p, y in held_out) / len(held_out) > 0.95
+
+
 def brute_components(texts, percent=80):
     sets = {}
     for i, text in texts.items():
