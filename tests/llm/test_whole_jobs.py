@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chalkline.llm import decontaminate, katz, katz_ngrams, ngram_join, source_mix
+from chalkline.llm import decontaminate, katz, katz_ngrams, ngram_join, source_mix, token_rollup
 from chalkline.llm.queries import QUERIES
 from chalkline.llm.twins import TWINS
 from compare import difference
@@ -133,6 +133,43 @@ def test_rollup_counts_every_row(spark, odd_tables):
     assert difference(QUERIES["op2_token_rollup"](spark, odd_tables), views(odd_tables), TWINS["op2_token_rollup"]) is None
 
 
+def test_copies_are_counted_over_batches(spark, tmp_path):
+    """Against a plain multiset: equal rows come in several batches, some go, the rest is revised, and batches are compacted."""
+    ledger = token_rollup.Ledger(spark, str(tmp_path / "ledger"))
+    equal, other = (None, "one two three", "en", "a"), (5, "one", None, None)
+    documents = lambda *rows: spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    counts = lambda op, *rows: token_rollup.word_counts(documents(*rows), "words-1", op)
+    totals = lambda: {(r["source"], r["lang"]): (r["n_docs"], r["n_tokens"]) for r in ledger.totals().collect()}
+    ledger.apply("1", counts("insert", equal, equal, other))
+    ledger.apply("2", counts("insert", equal))
+    ledger.apply("2", counts("insert", equal))
+    assert totals() == {("a", "en"): (3, 9), (None, None): (1, 1)}
+    ledger.apply("3", counts("delete", equal, (6, "not there", "en", "a")))
+    assert totals() == {("a", "en"): (2, 6), (None, None): (1, 1)}
+    ledger.compact()
+    assert totals() == {("a", "en"): (2, 6), (None, None): (1, 1)} and not ledger.apply("1", counts("insert", equal))
+    shorter = documents((None, "one", "en", "a")).withColumn("doc_key", F.lit(None).cast("long"))
+    key = documents(equal).select(token_rollup.document_key().alias("k")).first()["k"]
+    ledger.apply("4", token_rollup.word_counts(shorter, "words-1", "revise", F.lit(key)))
+    assert totals() == {("a", "en"): (2, 2), (None, None): (1, 1)}
+    ledger.compact()
+    ledger.apply("5", counts("delete", other, other, other).unionByName(
+        token_rollup.word_counts(shorter, "words-1", "delete", F.lit(key)).withColumn("n_tokens", F.lit(99).cast("long"))))
+    assert totals() == {("a", "en"): (1, 1)} and ledger.committed() == ["1", "2", "3", "4", "5"]
+    assert [(r["each"], r["n_docs"]) for r in ledger.live().collect()] == [(1, 1)]
+
+
+def test_a_batch_reads_the_ranges_of_its_documents(spark, tmp_path):
+    ledger = token_rollup.Ledger(spark, str(tmp_path / "ledger"))
+    rows = spark.range(400).selectExpr("id AS doc_id", "'a b' AS text", "'en' AS lang", "'s' AS source")
+    ledger.apply("1", token_rollup.word_counts(rows, "words-1"))
+    some = ledger.live_of([3])
+    assert "part" in some._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert 0 < some.count() < 40
+    ledger.apply("2", token_rollup.word_counts(rows.where("doc_id < 10"), "words-1", "delete"))
+    assert [(r["n_docs"], r["n_tokens"]) for r in ledger.totals().collect()] == [(390, 780)]
+
+
 def test_mix_of_overlapping_sources_is_applied(spark):
     rows = [(i, f"w{i} " * (i % 7 + 1), ["a"] if i % 3 == 0 else ["b", "a"] if i % 3 == 1 else ["b", "c", "a", "b"]) for i in range(300)]
     table = spark.createDataFrame([*rows, (900, "x y", None), (901, "x y", [])], "doc_id long, text string, belongs array<string>")
