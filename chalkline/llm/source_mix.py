@@ -6,8 +6,10 @@ towards its target. The cheapest flow says how many words of every pattern the m
 documents that supply them come in a seeded order: all documents as often as the flow covers the whole pattern,
 then one more copy of the first ones in that order until the rest is met to within half a document.
 
-The driver sees word counts by pattern and cell of the seeded order (`CELLS` per pattern), never documents.
-Only the cell in which a pattern's last copy ends has its rows ranked, about 1 / CELLS of the pattern.
+The driver sees one row per pattern, never documents. The seeded order is cut into `CELLS` cells per pattern, and
+only the cell in which a pattern's last copy ends has its rows ranked, about 1 / CELLS of the pattern. Rows equal
+in id and text share a place in the order; where the last copy ends among them, as many of them as are
+wanted are taken, numbered in `SUBCELLS` parts that are counted first.
 """
 
 from fractions import Fraction
@@ -21,6 +23,8 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 COPY_COSTS = (0, 1, 3)
 CELLS = 2048
+SUBCELLS = 256
+REPEAT_BLOCK = 4096
 SEED = 20240607
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -111,9 +115,10 @@ def sized_rows(documents: DataFrame, sources: Column, doc_id: str = "doc_id", te
 
 
 class Mix:
-    """A decided mix: the sources' `sizes` and `targets`, the column `sources` it was decided by, and `plan`, one (pattern, whole, last_cell, last_pick) per pattern.
+    """A decided mix: the sources' `sizes` and `targets`, the column `sources` it was decided by, and `plan`.
 
-    A row takes part `whole` times, and once more when it comes before the end of the seeded order's last copy.
+    The plan has one (pattern, whole, last_cell, last_pick, take, of) per pattern: a row takes part `whole` times, and
+    once more when it comes before the place of the seeded order where the last copy ends; of the `of` rows at that place `take` do.
     """
 
     def __init__(self, rows, sizes, targets, plan, sources):
@@ -122,12 +127,50 @@ class Mix:
     def with_copies(self, rows: DataFrame) -> DataFrame:
         """Adds `copies` to rows that have pattern, pick, cell and size; rows without words (size 0) have none.
 
-        The plan has a row per combination of sources in use."""
-        schema = "pattern string, whole int, last_cell int, last_pick long"
+        The plan has a row per combination of sources in use. Rows are shuffled only where some of several equal ones are taken.
+        """
+        schema = "pattern string, whole int, last_cell int, last_pick long, take long, of long"
         table = rows.sparkSession.createDataFrame(self.plan, schema)
-        inside = (F.col("cell") < F.col("last_cell")) | ((F.col("cell") == F.col("last_cell")) & (F.col("pick") <= F.col("last_pick")))
-        copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(inside, F.lit(False)).cast("int")).otherwise(0).cast("long")
-        return rows.join(F.broadcast(table), "pattern").withColumn("copies", copies).drop("whole", "last_cell", "last_pick")
+        place, last = F.struct("cell", "pick"), F.struct("last_cell", "last_pick")
+        known = rows.join(F.broadcast(table), "pattern")
+        more = F.coalesce((F.col("cell") < F.col("last_cell")) | ((F.col("cell") == F.col("last_cell")) & (F.col("pick") <= F.col("last_pick"))), F.lit(False))
+        copies = F.when(F.col("size") > 0, F.col("whole") + more.cast("int")).otherwise(0).cast("long")
+        if all(r[4] == r[5] for r in self.plan):
+            return known.withColumn("copies", copies).select(*rows.columns, "copies")
+        parted = (place == last) & (F.col("take") < F.col("of")) & (F.col("size") > 0)
+        parted = F.coalesce(parted, F.lit(False))
+        return known.where(~parted).withColumn("copies", copies).select(*rows.columns, "copies").unionByName(
+            _some_of_equal(known.where(parted), rows.columns)
+        )
+
+
+def _some_of_equal(known: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows at the place of their pattern where the last copy ends: `take` of them once more than the others.
+
+    Rows that are the same in all columns are one with their number. The others are ordered by what they hold.
+    """
+    own = known.groupBy(*columns, "whole", "take").agg(F.count(F.lit(1)).alias("n")).withColumn("held", F.to_json(F.struct(*columns)))
+    own = own.withColumn("sub", F.pmod(F.xxhash64("held"), F.lit(SUBCELLS)))
+    ahead = Window.partitionBy("pattern").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
+    counts = own.groupBy("pattern", "sub").agg(F.sum("n").alias("in_sub"))
+    counts = counts.select("pattern", "sub", F.coalesce(F.sum("in_sub").over(ahead), F.lit(0)).alias("before_sub"))
+    within = Window.partitionBy("pattern", "sub").orderBy("held").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("before_sub") + F.coalesce(F.sum("n").over(within), F.lit(0))
+    taken = own.join(F.broadcast(counts), ["pattern", "sub"]).withColumn("before", before)
+    taken = taken.withColumn("taken", F.greatest(F.lit(0), F.least("n", F.col("take") - F.col("before"))))
+    parts = F.array(
+        F.struct((F.col("whole") + 1).cast("long").alias("copies"), F.col("taken").alias("times")),
+        F.struct(F.col("whole").cast("long").alias("copies"), (F.col("n") - F.col("taken")).alias("times")),
+    )
+    many = taken.select(*columns, F.explode(parts).alias("part")).where("part.times > 0").select(*columns, "part.*")
+    return _repeated(many).select(*columns, "copies")
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Each row `times` times, in blocks that are dealt to all tasks."""
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(times - 1) div {REPEAT_BLOCK}"))).alias("block")
+    blocks = rows.select("*", block).repartition("block", "pattern")
+    return blocks.withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(REPEAT_BLOCK), F.col("times") - F.col("block") * REPEAT_BLOCK))))
 
 
 def plan_mix(
@@ -137,8 +180,8 @@ def plan_mix(
     """Decides the mix of all rows.
 
     `sources` is an array column of the sources a row belongs to (default: its `source` alone; NULL is a source of
-    its own, last in order). Rows that repeat are rows of their own; rows equal in id and text are taken
-    together, so reruns agree. Rows without a source or without words are not taken, nor anything of an empty
+    its own, last in order). Rows that repeat are rows of their own: of rows equal in id and text as many are taken
+    as the target wants, and reruns take the same. Rows without a source or without words are not taken, nor anything of an empty
     table. Extra columns are not read.
     """
     spark = documents.sparkSession
@@ -146,44 +189,45 @@ def plan_mix(
     path = scratch_path(spark, "mix")
     sized_rows(documents, members, doc_id, text, seed).write.parquet(path)
     rows = spark.read.parquet(path)
-    cells = rows.groupBy("pattern", "members", "cell").agg(F.sum("size").alias("words")).collect()
-    pattern_words, members_of, by_cell, sizes = {}, {}, {}, {}
-    for r in cells:
-        key = r["pattern"]
-        members_of[key] = list(r["members"])
-        pattern_words[key] = pattern_words.get(key, 0) + r["words"]
-        by_cell.setdefault(key, {})[r["cell"]] = r["words"]
+    found = rows.groupBy("pattern", "members").agg(F.sum("size").alias("words")).collect()
+    pattern_words = {r["pattern"]: r["words"] for r in found}
+    members_of, sizes = {r["pattern"]: list(r["members"]) for r in found}, {}
     for key, words in pattern_words.items():
         for name in members_of[key]:
             sizes[name] = sizes.get(name, 0) + words
     targets = target_words(sizes, weights)
-    taken = {}
+    taken = dict.fromkeys(pattern_words, 0)
     for (key, _), flow in route(pattern_words, members_of, targets).items():
-        taken[key] = taken.get(key, 0) + flow
-    ends = {key: _copies(taken.get(key, 0), pattern_words[key], by_cell[key]) for key in pattern_words}
-    last = _last_picks(rows, [(key, cell, wanted) for key, (_, cell, wanted) in ends.items()])
-    return Mix(rows, sizes, targets, [(key, whole, cell, last.get(key)) for key, (whole, cell, _) in ends.items()], members)
-
+        taken[key] += flow
+    whole, rest = {}, []
+    for key, words in pattern_words.items():
+        whole[key], left = divmod(taken[key], words) if words else (0, 0)
+        rest.append((key, left))
+    last = _last_places(rows, rest)
+    plan = [(key, whole[key], *last.get(key, (-1, None, 0, 0))) for key in pattern_words]
+    return Mix(rows, sizes, targets, plan, members)
 
-def _copies(taken: int, words: int, by_cell: dict) -> tuple[int, int, int]:
-    """(copies of every row, the cell in which the next copy ends, its words still wanted there)."""
-    if not words:
-        return 0, -1, 0
-    whole, rest = divmod(taken, words)
-    for cell in sorted(by_cell):
-        if rest < by_cell[cell]:
-            return whole, cell, rest
-        rest -= by_cell[cell]
-    return whole, -1, 0
 
+def _last_places(rows: DataFrame, rest: list[tuple]) -> dict:
+    """{pattern: (cell, pick, take, of)}: where in the seeded order the words up to there are nearest to those wanted.
 
-def _last_picks(rows: DataFrame, ends: list[tuple]) -> dict:
-    """For each pattern the last pick of its last cell that is taken: the words up to there are nearest to those wanted."""
-    table = rows.sparkSession.createDataFrame(ends, "pattern string, cell int, wanted long")
-    inside = rows.join(F.broadcast(table), ["pattern", "cell"]).groupBy("pattern", "wanted", "pick").agg(F.sum("size").alias("size"))
-    order = Window.partitionBy("pattern").orderBy("pick").rowsBetween(Window.unboundedPreceding, 0)
-    near = inside.withColumn("upto", F.sum("size").over(order)).where("2 * upto - size <= 2 * wanted")
-    return {r["pattern"]: r["pick"] for r in near.groupBy("pattern").agg(F.max("pick").alias("pick")).collect()}
+    At the last place `of` equal rows stand, of which `take` are wanted.
+    """
+    table = rows.sparkSession.createDataFrame(rest, "pattern string, rest long")
+    ahead = Window.partitionBy("pattern").rowsBetween(Window.unboundedPreceding, -1)
+    cells = rows.where("size > 0").groupBy("pattern", "cell").agg(F.sum("size").alias("words"))
+    cells = cells.join(F.broadcast(table), "pattern").withColumn("before", F.coalesce(F.sum("words").over(ahead.orderBy("cell")), F.lit(0)))
+    ends = cells.where("before <= rest AND rest < before + words").select("pattern", "cell", (F.col("rest") - F.col("before")).alias("wanted"))
+    places = rows.where("size > 0").join(F.broadcast(ends), ["pattern", "cell"]).groupBy("pattern", "cell", "wanted", "pick", "size").agg(F.count(F.lit(1)).alias("of"))
+    places = places.withColumn("before", F.coalesce(F.sum(F.col("of") * F.col("size")).over(ahead.orderBy("pick", "size")), F.lit(0)))
+    # A row is wanted when at least half of its words are.
+    reached = places.where("2 * before + size <= 2 * wanted").withColumn("take", F.expr("least(of, (2 * (wanted - before) + size) div (2 * size))"))
+    last = reached.groupBy("pattern").agg(F.max(F.struct("cell", "pick", "size", "take", "of")).alias("p"))
+    found = {r["pattern"]: (r["p"]["cell"], r["p"]["pick"], r["p"]["take"], r["p"]["of"]) for r in last.collect()}
+    # Where the first row of the last cell is not wanted the copy ends with the cell before.
+    for r in ends.select("pattern", "cell").collect():
+        found.setdefault(r["pattern"], (r["cell"], None, 0, 0))
+    return found
 
 
 def mixed_rows(mix: Mix) -> DataFrame:
@@ -196,8 +240,9 @@ def mixed_rows(mix: Mix) -> DataFrame:
 def apply_mix(
     documents: DataFrame, mix: Mix, doc_id: str = "doc_id", text: str = "text", seed: int = SEED, sources: Column | None = None,
 ) -> DataFrame:
-    """The rows of `documents`, with their columns, as often as the mix takes them. Nothing is shuffled.
+    """The rows of `documents`, with their columns, as often as the mix takes them.
 
+    Nothing is shuffled but rows equal in id and text at the place where a pattern's last copy ends.
     `sources` is the array column that `plan_mix` was given (default: the very same).
     """
     members = mix.sources if sources is None else sources

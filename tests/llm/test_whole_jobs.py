@@ -192,6 +192,45 @@ def test_mix_takes_no_texts_without_words(spark):
     assert collections.Counter(r["doc_id"] for r in applied.collect()) == planned and max(planned.values()) <= 3
 
 
+def plainly_mixed(rows):
+    """{row number: copies} of single sources: the flow's words by source, then the seeded order walked row by row."""
+    sizes, copies = collections.Counter(), {}
+    for r in rows:
+        sizes[r["source"]] += r["size"]
+    targets = source_mix.target_words(dict(sizes))
+    for name in sizes:
+        own = sorted((r["cell"], r["pick"], n) for n, r in enumerate(rows) if r["source"] == name and r["size"])
+        if not own:
+            continue
+        whole, left = divmod(round(targets[name]), sizes[name])
+        for *_, n in own:
+            size = rows[n]["size"]
+            copies[n] = whole + (2 * left >= size)
+            left = left - size if 2 * left >= size else -1
+    return copies, targets
+
+
+@pytest.mark.parametrize("equal", [0, 300])
+def test_mix_against_a_walk(spark, equal):
+    """Rows equal in id and text are taken singly, so that a source of little else still meets its target."""
+    rng = np.random.default_rng(equal)
+    rows = [(int(i), "w " * int(rng.integers(0, 9)), "abc"[int(rng.integers(3))], f"u{i}") for i in range(400)]
+    rows += [(None, "x y z v", "c", f"u{i % 7}") for i in range(equal)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, url string")
+    mix = source_mix.plan_mix(table)
+    sized = source_mix.sized_rows(table, F.array("source")).withColumn("source", F.col("members")[0]).collect()
+    plain, targets = plainly_mixed(sized)
+    key = lambda r: (r["doc_id"], r["size"])
+    wanted = collections.Counter((*key(sized[n]), c) for n, c in plain.items())
+    found = collections.Counter((*key(r), r["copies"]) for r in source_mix.mixed_rows(mix).collect() if r["size"])
+    assert found == wanted and max(c for *_, c in found) <= 3
+    assert source_mix.mixed_rows(mix).count() == len(rows)
+    words = collections.Counter()
+    for r in source_mix.apply_mix(table, mix).collect():
+        words[r["source"]] += len(r["text"].split())
+    assert all(abs(words[name] - targets[name]) <= 5 for name in targets)
+
+
 def test_decontamination_twin_knows_items_without_id(spark, tmp_path):
     """An item without an id hits words but is not named, in the operator and in its twin."""
     spark.createDataFrame([(1, "a Line one, is b"), (2, "one two"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
