@@ -79,7 +79,7 @@ def bpe_counts(documents: DataFrame, path: str, pattern: str, tokenizer: str, op
 
 
 class Ledger:
-    """The batches under one folder: `entries/<batch>/part=<range>`, `deltas/<batch>` and the table `commits`.
+    """The batches under one folder: `staged/<batch>`, `entries/<batch>/part=<range>`, `deltas/<batch>` and the table `commits`.
 
     `parts`, the number of ranges, is the same for the life of the folder.
     """
@@ -148,7 +148,10 @@ class Ledger:
                 changes = changes.withColumn(name, F.lit(default).cast("long"))
         fields = F.struct("op", "source", "lang", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("each"), "copies")
         latest = changes.groupBy(*KEY).agg(F.max(fields).alias("c")).select(*KEY, F.col("c"), self._part().alias("part"))
-        self._lay_out(self._moves(latest), batch)
+        # Texts are counted once; all that follows reads the changes as they were written.
+        staged = f"{self.root}/staged/{batch}"
+        latest.write.mode("overwrite").parquet(staged)
+        self._lay_out(self._moves(self.spark.read.schema(latest.schema).parquet(staged)), batch)
         self._commit(batch)
         return True
 
