@@ -81,10 +81,22 @@ class Model:
         return self.bias + linear + pairs / 2
 
 
+def _by_term(rows, terms):
+    """The distinct terms in order, where their rows start, how many they are, and the rows."""
+    order = np.argsort(terms, kind="stable")
+    owner, ordered = rows[order].astype(np.int32), terms[order]
+    del order
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    starts = np.flatnonzero(new)
+    return ordered[starts], starts, np.diff(np.append(starts, len(ordered))), owner
+
+
 def screen(rows, terms, labels, most=TERMS, least=MIN_DOCUMENTS):
     """The terms, at most `most`, whose document counts differ most between the classes."""
-    known, index, counts = np.unique(terms, return_inverse=True, return_counts=True)
-    positive = np.bincount(index, weights=labels[rows], minlength=len(known))
+    known, starts, counts, owner = _by_term(rows, terms)
+    positive = np.add.reduceat(labels.astype(np.float32)[owner], starts, dtype=np.float64) if len(starts) else np.zeros(0)
+    del owner
     base = labels.mean()
     deviation = np.abs(positive - counts * base) / np.sqrt(counts * base * (1 - base) + 1)
     deviation[(counts < least) | (deviation < MIN_DEVIATION)] = 0
@@ -105,23 +117,16 @@ def screen_pairs(rows, terms, left, spread, most=PAIR_TERMS, candidates=PAIR_CAN
     left: label less probability by document; spread: the probability's variance. The pairs are those among the
     `candidates` most frequent terms, counted in blocks of dense products.
     """
-    known, index, counts = np.unique(terms, return_inverse=True, return_counts=True)
+    known, starts, counts, owner = _by_term(rows, terms)
     order = np.lexsort((known, -counts))[:candidates]
     chosen = order[counts[order] >= MIN_DOCUMENTS]
-    place = np.full(len(known), len(chosen), np.int32)
-    place[chosen] = np.arange(len(chosen))
-    column = place[index]
-    del index
-    by_column = np.argsort(column, kind="stable")
-    owner, bounds = rows[by_column], np.searchsorted(column[by_column], np.arange(len(chosen) + 1))
-    column = column[by_column]
     left, spread = (np.asarray(x, np.float32)[:, None] for x in (left, spread))
 
     def block(first):
-        end = min(first + PAIR_BLOCK, len(chosen))
-        dense = np.zeros((len(left), end - first), np.float32)
-        own = slice(bounds[first], bounds[end])
-        dense[owner[own], column[own] - first] = 1
+        own = chosen[first:first + PAIR_BLOCK]
+        dense = np.zeros((len(left), len(own)), np.float32)
+        for column, term in enumerate(own):
+            dense[owner[starts[term]:starts[term] + counts[term]], column] = 1
         return dense
 
     best = np.zeros((0, 3))
@@ -208,9 +213,12 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample:
     # An id on several rows counts once.
     rows = found.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("terms").alias("terms")).collect()
     rows.sort(key=lambda r: r["doc_id"])
-    parts = [np.frombuffer(r["terms"], dtype=np.uint32) for r in rows]
-    terms = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    return fit(np.repeat(np.arange(len(parts)), [len(p) for p in parts]), terms, np.array([float(r["label"] > 0) for r in rows]))
+    labels_of = np.array([float(r["label"] > 0) for r in rows])
+    lengths = [len(r["terms"]) // 4 for r in rows]
+    terms = np.frombuffer(b"".join(r["terms"] for r in rows), dtype=np.uint32)
+    # The sample is held once while it is fitted.
+    del rows
+    return fit(np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), terms, labels_of)
 
 
 def text_scorer(model: Model):
