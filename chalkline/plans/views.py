@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chalkline.operators.lookup import left_lookup
+from chalkline.operators.lookup import by_merge, left_lookup
 from chalkline.plans.star import Star
 from chalkline.plans.summary import (
     attendance_months, day, school_measures, valid_rate, whole_months,
@@ -67,7 +67,7 @@ def dated_months(star: Star, scope: DataFrame | None = None, since=None, until=N
     """
     per_school = _attendance_months(star, scope, since, until)
     schools = star.school if scope is None else scope
-    placed = per_school.join(schools.select("school_id", "district"), "school_id", "left")
+    placed = per_school.join(by_merge(schools.select("school_id", "district")), "school_id", "left")
     by_district = placed.groupBy("district", "month").agg(
         F.sum("records").alias("total_records"),
         F.try_divide(F.sum("rate_sum"), F.sum("rate_count")).alias("avg_attendance_rate"),
@@ -100,7 +100,7 @@ def procurement_summary(star: Star) -> DataFrame:
 def infra_summary(star: Star) -> DataFrame:
     """Each school's current infrastructure. Both sides have one row per school."""
     current = star.infra_current
-    joined = current.join(star.school.select("school_id", *_PLACE), "school_id", "left")
+    joined = current.join(by_merge(star.school.select("school_id", *_PLACE)), "school_id", "left")
     return joined.select(
         "school_id", *_PLACE, F.col("date").alias("last_inspection_date"), "has_electricity",
         "has_drinking_water", "has_functional_toilet", "has_boundary_wall", "has_playground",
@@ -159,22 +159,22 @@ def school_kpis(
     star has a stored summary, the facts' measures come from one aggregate over it.
     """
     schools = star.school if scope is None else scope
-    infra = infra_by_school(star, scope)
+    infra = by_merge(infra_by_school(star, scope))
     if star.summary is not None:
         measures = school_measures(in_scope(star.summary, scope))
         bought = [] if procurement else ["total_quantity_kg", "total_cost"]
-        kpis = schools.join(measures.drop(*bought), "school_id", "left").join(infra, "school_id", "left")
+        kpis = schools.join(by_merge(measures.drop(*bought)), "school_id", "left").join(infra, "school_id", "left")
         measured = ["avg_attendance_rate", "proxy_anomaly_rate", "infrastructure_score", "infrastructure_deficit_pct",
                     "avg_fln_score", *(["total_quantity_kg", "total_cost"] if procurement else [])]
         return kpis.select(*schools.columns, *measured)
     kpis = (
-        schools.join(attendance_by_school(star, scope), "school_id", "left")
+        schools.join(by_merge(attendance_by_school(star, scope)), "school_id", "left")
         .join(infra, "school_id", "left")
-        .join(scores_by_school(star, scope), "school_id", "left")
+        .join(by_merge(scores_by_school(star, scope)), "school_id", "left")
     )
     if not procurement:
         return kpis
-    return kpis.join(procurement_by_school(star, scope), "school_id", "left")
+    return kpis.join(by_merge(procurement_by_school(star, scope)), "school_id", "left")
 
 
 def district_summary(star: Star) -> DataFrame:

@@ -90,6 +90,18 @@ def test_left_lookup_spreads_hot_and_missing_keys(spark, skewed):
     assert sum(sizes) == 1200 and max(sizes) < 500 and plan.count("Exchange hashpartitioning") == 2
 
 
+def test_left_lookup_never_broadcasts_the_repeated_dimension(spark, skewed, tmp_path):
+    """Neither by the size of its file, which the repetition does not show in, nor after it is measured."""
+    for name, df in zip(("fact", "dim"), skewed):
+        df.write.parquet(f"{tmp_path}/{name}")
+    fact, dim = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("fact", "dim"))
+    found = lookup.left_lookup(fact, dim, "k", ["name"])
+    assert found.count() == 1200
+    before, _ = found._jdf.queryExecution().executedPlan().toString(), found.collect()
+    plans = before + found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plans and "SortMergeJoin" in plans
+
+
 def test_counters_and_histogram(spark):
     df = spark.createDataFrame([("a", True), ("a", False), (None, True)], "s string, f boolean")
     rows = counters(df, "d", {"n": F.count(F.lit(1)), "f": F.count_if("f")}).collect()
