@@ -43,7 +43,7 @@ _ASIDE = (
     r"(?=[fmostw])\b(?:mon|tue|wed|thu|fri|sat|sun|(?:mon|tues|wednes|thurs|fri|satur|sun)day|of)\b|"
     r"(?=[nrst])(?<=\d)(?:st|nd|rd|th)\b"
 )
-_MARKED = f"{_MARK}$1"
+_MARKED = f"$1{_MARK}$2"
 
 _YEAR = r"(?!0000)(\d{4})"
 _NAME = r"([a-z]{3})[a-z]*"
@@ -98,16 +98,23 @@ def _any_of(layouts) -> str:
     return "|".join(pattern for pattern, _ in layouts)
 
 
-# All layouts as one pattern that fits any text, and the replacement that puts year, month and
-# day in that order: groups of layouts that did not match are empty, and so are all fields of a
-# text that has no layout.
-_ANY_TEXT = (
-    f"(?s)^(?:{_any_of(_MAIN)}|(?=\\D*\\d){_CLOCKS}{_AROUND}(?:{_any_of(_ORDERS)}){_AROUND}|.*)$"
-)
-_FIELDS = "".join(order for _, order in _MAIN + _ORDERS)
-_IN_ORDER = "-".join(
-    "".join(f"${at}" for at, name in enumerate(_FIELDS, start=1) if name == field)
-    for field in "ymd"
+def _in_order(layouts) -> str:
+    """The replacement that puts year, month and day in that order: groups of layouts that did not match are empty."""
+    fields = "".join(order for _, order in layouts)
+    return "-".join(
+        "".join(f"${at}" for at, name in enumerate(fields, start=1) if name == field)
+        for field in "ymd"
+    )
+
+
+# A text in a main layout is settled at once, by a pattern that fits nothing else, and gets a letter in front that no text in
+# lower case has; the later patterns see that first and leave it alone. The others fit any other text: all fields
+# are empty if it has no layout.
+_DONE = "X"
+_MAIN_TEXT = f"^(?:{_any_of(_MAIN)})$"
+_ASIDES = rf"\G(?!{_DONE})((?s:.)*?)(?:{_ASIDE})"
+_OTHER_TEXT = (
+    f"(?s)^(?!{_DONE})(?:(?=\\D*\\d){_CLOCKS}{_AROUND}(?:{_any_of(_ORDERS)}){_AROUND}|.*)$"
 )
 
 
@@ -142,8 +149,9 @@ def date_form(text) -> Column:
 
 def date_value(text) -> Column:
     """The calendar day the text gives, NULL where it gives none. Years start at 1."""
-    day = F.regexp_replace(F.lower(column(text)), _ASIDE, _MARKED)
-    day = F.regexp_replace(day, _ANY_TEXT, _IN_ORDER)
+    day = F.regexp_replace(F.lower(column(text)), _MAIN_TEXT, _DONE + _in_order(_MAIN))
+    day = F.regexp_replace(day, _ASIDES, _MARKED)
+    day = F.ltrim(F.regexp_replace(day, _OTHER_TEXT, _in_order(_ORDERS)), F.lit(_DONE))
     for number, month in enumerate(_MONTHS, start=1):
         day = F.replace(day, F.lit(month[:3]), F.lit(str(number)))
     # Two-digit years run from 1969 to 2068.

@@ -22,7 +22,8 @@ def id_value(text, digits) -> Column:
     The digits stay text, so identifiers longer than a BIGINT neither overflow nor lose digits.
     """
     digits = column(digits)
-    padded = F.regexp_extract(F.concat(F.lit("0000"), digits), "([1-9][0-9]{4,}|[0-9]{4})$", 1)
+    bare = F.ltrim(digits, F.lit("0"))
+    padded = F.lpad(bare, F.greatest(F.length(bare), F.lit(4)), F.lit("0"))
     return F.when(digits == "", column(text)).otherwise(F.concat(F.lit("SCH"), padded))
 
 

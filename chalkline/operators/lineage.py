@@ -13,11 +13,16 @@ from chalkline.functions.identifiers import id_digits, id_text, id_value
 
 
 def with_id_lineage(df: DataFrame, name: str = "school_id") -> DataFrame:
-    """`<name>` normalised, `_raw`, `_clean` and `_changed_flag` (true for a missing id)."""
+    """`<name>` normalised, `_raw`, `_clean` and `_changed_flag` (true for a missing id).
+
+    An id is missing exactly where its raw text is, and says so: joins by school filter for known ids, and a filter
+    pushed below the projections then asks for the raw text, instead of working every id out once more.
+    """
     raw, text, digits = f"{name}_raw", f"__{name}_text", f"__{name}_digits"
     df = df.withColumns({raw: F.col(name), text: id_text(name)})
     df = df.withColumn(digits, id_digits(text))
-    df = df.withColumn(name, id_value(text, digits))
+    value = F.coalesce(id_value(text, digits), F.lit(""))
+    df = df.withColumn(name, F.when(F.col(raw).isNotNull(), value))
     return df.withColumns({
         f"{name}_clean": F.col(name),
         f"{name}_changed_flag": F.col(raw).isNull() | ~F.col(raw).eqNullSafe(F.col(name)),

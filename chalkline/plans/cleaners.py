@@ -115,7 +115,11 @@ def audit_school_master(raw: DataFrame) -> DataFrame:
 
 def clean_attendance(raw: DataFrame) -> DataFrame:
     """Attendance records with rate, weekend, impossible and proxy flags and a status."""
-    df = with_date_lineage(with_id_lineage(dedup_exact(raw)))
+    df = dedup_exact(raw)
+    # True of every row, but known only after the copies are counted: a filter on the status or the date stays above
+    # that, where the text is a column, instead of working both out from the texts of all copies.
+    df = df.withColumn("date", F.when(F.col(COPIES) > 0, F.col("date")))
+    df = with_date_lineage(with_id_lineage(df))
     df = with_boolean_lineage(df, "teacher_present")
     present, total = F.col("present_students"), F.col("total_students")
     df = df.withColumns({

@@ -234,6 +234,23 @@ def test_months_are_filtered_above_the_aggregates(spark):
     assert patterns[0] == patterns[1] > 0
 
 
+def test_filters_work_no_text_out_once_more(spark):
+    """Joins by school ask the raw texts for ids, and a filter on the status stays above the duplicate removal."""
+    star = derived.star(spark, SF)
+    valid = views.attendance_daily(star).where("data_quality_status = 'VALID'")
+    for df in (welfare_risk(star), valid.groupBy("block").agg(F.avg("attendance_rate"))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        below = re.split(r"Aggregate \[(?:record|procurement|assessment)_id#\d+, school_id#", plan)[1:]
+        assert below and not any("regexp" in part.split("Relation", 1)[0] for part in below)
+        assert not re.search(r"(?:Filter|Join Inner,) \(?isnotnull\(CASE WHEN \(regexp_extract", plan)
+
+
+def test_ids_are_missing_where_their_texts_are(spark):
+    df = spark.createDataFrame([(None,), ("",), (" sch-0",), ("007",), ("x 00012345 9",), ("unlisted",)], "school_id string")
+    found = [r.school_id for r in cleaners.with_id_lineage(df).collect()]
+    assert found == [None, "", "SCH0000", "SCH0007", "SCH12345", "UNLISTED"]
+
+
 def test_merge_settles_ties_wherever_the_rows_lie(spark):
     rows = [("7", d, "yes" if d == "2025-01-07" else None, "no", None, None, None, who, None)
             for d in ("2025-01-06", "2025-01-07") for who in ("x", "y")]
