@@ -213,7 +213,7 @@ def json_round_trip(spark, sf_dir):
 def parquet_round_trip(spark, sf_dir):
     star = derived.star(spark, sf_dir)
     root = tables.scratch_path(spark, "tables")
-    tables.write_table(star.attendance, root, "fact_attendance", by_month=True)
+    tables.write_star_table(star, root, "fact_attendance", by_month=True)
     return tables.read_table(spark, root, "fact_attendance").drop("date_month")
 
 

@@ -38,6 +38,11 @@ VALID = "VALID"
 PROXY_RATE = 99.9
 
 
+def _as_they_are(rows: DataFrame) -> DataFrame:
+    """Distinct raw rows that no write needs gathered."""
+    return rows
+
+
 def _sure(condition: Column) -> Column:
     """A comparison with something missing counts as false."""
     return F.coalesce(condition, F.lit(False))
@@ -113,9 +118,9 @@ def audit_school_master(raw: DataFrame) -> DataFrame:
 # Attendance ------------------------------------------------------------------------------
 
 
-def clean_attendance(raw: DataFrame) -> DataFrame:
+def clean_attendance(raw: DataFrame, gather=_as_they_are) -> DataFrame:
     """Attendance records with rate, weekend, impossible and proxy flags and a status."""
-    df = dedup_exact(raw)
+    df = gather(dedup_exact(raw))
     # True of every row, but known only after the copies are counted: a filter on the status or the date stays above
     # that, where the text is a column, instead of working both out from the texts of all copies.
     df = df.withColumn("date", F.when(F.col(COPIES) > 0, F.col("date")))
@@ -167,9 +172,9 @@ def audit_attendance(clean: DataFrame) -> DataFrame:
 # Meal procurement ------------------------------------------------------------------------
 
 
-def clean_procurement(raw: DataFrame, units: UnitRules = DEFAULT_UNITS) -> DataFrame:
+def clean_procurement(raw: DataFrame, units: UnitRules = DEFAULT_UNITS, gather=_as_they_are) -> DataFrame:
     """Procurements in kilograms and rupees, with cost per kilogram and settled categories."""
-    df = with_date_lineage(with_id_lineage(dedup_exact(raw)))
+    df = with_date_lineage(with_id_lineage(gather(dedup_exact(raw))))
     df = df.withColumns({
         "grain_raw": F.col("grain_type"),
         "grain_type": grain_name("grain_type"),
@@ -221,9 +226,9 @@ def audit_procurement(clean: DataFrame) -> DataFrame:
 # Infrastructure --------------------------------------------------------------------------
 
 
-def clean_infrastructure(raw: DataFrame) -> DataFrame:
+def clean_infrastructure(raw: DataFrame, gather=_as_they_are) -> DataFrame:
     """Every inspection, with amenity counts, score and deficit (unknowns count in neither)."""
-    df = with_date_lineage(with_id_lineage(dedup_exact(raw)))
+    df = with_date_lineage(with_id_lineage(gather(dedup_exact(raw))))
     df = with_boolean_lineage(df, *AMENITIES)
 
     def count_where(condition):
@@ -282,9 +287,9 @@ def audit_infrastructure(history: DataFrame) -> DataFrame:
 # Test scores -----------------------------------------------------------------------------
 
 
-def clean_scores(raw: DataFrame) -> DataFrame:
+def clean_scores(raw: DataFrame, gather=_as_they_are) -> DataFrame:
     """Assessments with a percentage whatever their scale. The grade is left as written."""
-    df = with_date_lineage(with_id_lineage(dedup_exact(raw)))
+    df = with_date_lineage(with_id_lineage(gather(dedup_exact(raw))))
     df = df.withColumns({
         "subject_raw": F.col("subject"),
         "subject": subject_name("subject"),

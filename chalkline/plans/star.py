@@ -2,8 +2,11 @@
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from chalkline.functions.dates import date_text, date_value
+from chalkline.functions.identifiers import school_id
 from chalkline.plans import cleaners
 
 SCHOOL = "dim_school"
@@ -18,13 +21,39 @@ TABLES = (SCHOOL, ATTENDANCE, PROCUREMENT, INFRA_HISTORY, INFRA_CURRENT, SCORES)
 FACTS = (ATTENDANCE, PROCUREMENT, SCORES)
 
 
+# From a school's id and a date to what rows are gathered by, and from there to a step on a frame.
+Place = Callable[[Column, Column], Column]
+Gather = Callable[[DataFrame], DataFrame]
+
+
+def _gathered(df: DataFrame, place: Column) -> DataFrame:
+    """AQE gathers the rows of each place into partitions of a good size, and deals a large place to several."""
+    return df.withColumn("__place", place).hint("rebalance", "__place").drop("__place")
+
+
 class Star:
-    """Lazy frames of the governed tables, each built when it is first asked for."""
+    """Lazy frames of the governed tables, each built when it is first asked for.
 
-    def __init__(self, builders: Mapping[str, Callable[["Star"], DataFrame]]):
-        self._builders = builders
+    `narrow` has tables that can be gathered before the columns of their lineage are added.
+    """
+
+    def __init__(
+        self, builders: Mapping[str, Callable[["Star"], DataFrame]], narrow: Mapping[str, Callable[[Gather], DataFrame]] | None = None
+    ):
+        self._builders, self._narrow = builders, narrow or {}
         self._frames: dict[str, DataFrame] = {}
 
+    def gathered(self, name: str, place: Place) -> DataFrame:
+        """A table with its rows gathered for a write.
+
+        Cleaned rows are some three times as wide as raw ones and follow from them, so where it can be the
+        raw rows are shuffled, once their copies are counted, and cleaned where they arrive.
+        """
+        if name not in self._narrow:
+            return _gathered(self.table(name), place(F.col("school_id"), F.col("date")))
+        raw_place = place(school_id("school_id"), date_value(date_text("date")))
+        return self._narrow[name](lambda rows: _gathered(rows, raw_place))
+
     def table(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = self._builders[name](self)
@@ -72,4 +101,9 @@ def star_from_raw(raw: Callable[[str], DataFrame]) -> Star:
         INFRA_HISTORY: lambda _: cleaners.clean_infrastructure(raw("school_infrastructure")),
         INFRA_CURRENT: lambda star: cleaners.current_infrastructure(star.infra_history),
         SCORES: lambda _: cleaners.clean_scores(raw("test_scores")),
+    }, {
+        ATTENDANCE: lambda gather: cleaners.clean_attendance(raw("student_attendance"), gather),
+        PROCUREMENT: lambda gather: cleaners.clean_procurement(raw("mdm_procurement"), gather=gather),
+        INFRA_HISTORY: lambda gather: cleaners.clean_infrastructure(raw("school_infrastructure"), gather),
+        SCORES: lambda gather: cleaners.clean_scores(raw("test_scores"), gather),
     })

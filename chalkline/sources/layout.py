@@ -9,8 +9,8 @@ MONTH = "date_month"
 UNDATED = "undated"
 
 
-def month_column() -> Column:
-    return F.coalesce(F.date_format("date", "yyyy-MM"), F.lit(UNDATED))
+def month_column(date: Column | str = "date") -> Column:
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(UNDATED))
 
 
 def in_months(df: DataFrame, since: datetime.date | None, until: datetime.date | None) -> DataFrame:

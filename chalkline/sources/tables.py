@@ -37,6 +37,10 @@ def _save(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
+def _save_gathered(df: DataFrame, path: str) -> None:
+    df.withColumn(MONTH, month_column()).write.partitionBy(MONTH).parquet(path)
+
+
 def _save_by_month(df: DataFrame, path: str) -> None:
     by_month = df.withColumn(MONTH, month_column()).hint("rebalance", MONTH)
     by_month.write.partitionBy(MONTH).parquet(path)
@@ -52,6 +56,14 @@ def write_table(df: DataFrame, root: str, name: str, by_month: bool = False) ->
     return versions.replace(df, posixpath.join(root, name), _save_by_month if by_month else _save)
 
 
+def write_star_table(star: Star, root: str, name: str, by_month: bool = False) -> str:
+    """`write_table` of a star's table. By month its rows are gathered before they are cleaned, where the star can do so."""
+    if not by_month:
+        return write_table(star.table(name), root, name)
+    gathered = star.gathered(name, lambda _, date: month_column(date))
+    return versions.replace(gathered, posixpath.join(root, name), _save_gathered)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """Overwrites a directory of CSV files with a header row; NULL is left empty, blanks are kept."""
     (
@@ -96,7 +108,7 @@ def write_star(star: Star, root: str, by_month: bool = False) -> None:
             history = read_table(spark, root, star_tables.INFRA_HISTORY)
             write_table(current_infrastructure(history.drop(MONTH)), root, name)
         else:
-            write_table(star.table(name), root, name, by_month and name != star_tables.SCHOOL)
+            write_star_table(star, root, name, by_month and name != star_tables.SCHOOL)
     facts = (read_table(spark, root, name) for name in star_tables.FACTS)
     write_table(summarise(*facts), root, SUMMARY)
 
@@ -110,9 +122,7 @@ def save_bucketed_star(star: Star, database: str, buckets: int) -> None:
     at some hundred megabytes.
     """
     for name in star_tables.TABLES:
-        df = star.table(name)
-        bucket = F.pmod(F.hash("school_id"), F.lit(buckets))
-        dealt = df.withColumn("__bucket", bucket).hint("rebalance", "__bucket").drop("__bucket")
+        dealt = star.gathered(name, lambda school, _: F.pmod(F.hash(school), F.lit(buckets)))
         dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, "school_id").sortBy("school_id").saveAsTable(f"{database}.{name}")
 
 

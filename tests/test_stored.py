@@ -86,6 +86,19 @@ def test_a_folder_without_commits_is_read_as_it_is(spark, tmp_path):
 # Months ----------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("name", ["fact_attendance", "fact_mdm_procurement", "fact_infrastructure_history", "fact_test_scores"])
+def test_raw_rows_are_gathered_and_then_cleaned(spark, name):
+    """No lineage is shuffled; the rows are those of the table."""
+    star = derived.star(spark, SF)
+    gathered = star.gathered(name, lambda _, date: F.date_format(date, "yyyy-MM"))
+    plan = gathered._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = plan[plan.index("RebalancePartitions"):]
+    assert plan.count("RebalancePartitions") == 1 and "school_id_raw" not in shuffled and "_parse_error_flag" not in shuffled
+    whole = star.table(name)
+    assert gathered.columns == whole.columns
+    assert gathered.exceptAll(whole).count() == 0 and whole.exceptAll(gathered).count() == 0
+
+
 def test_ranges_prune_months(stored):
     since, until = datetime.date(1995, 3, 10), "1995-06-20"
     trend = reports.monthly_trend(stored, since, until)
