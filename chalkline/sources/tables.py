@@ -16,6 +16,9 @@ from chalkline.plans.views import VIEWS
 from chalkline.sources import versions
 from chalkline.sources.layout import MONTH, month_column
 
+# Rows of a CSV file at most: some 30 MB when compressed, some seconds of one task.
+CSV_ROWS = 1_000_000
+
 RISK_TABLE = "fact_welfare_risk"
 RISK_VIEW = "vw_school_welfare_risk"
 
@@ -65,9 +68,14 @@ def write_star_table(star: Star, root: str, name: str, by_month: bool = False) -
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Overwrites a directory of CSV files with a header row; NULL is left empty, blanks are kept."""
+    """Overwrites a directory of CSV files with a header row; NULL is left empty, blanks are kept.
+
+    The files are compressed by gzip, which takes a small part of the room. Such a file is read by one task, so each holds at
+    most `CSV_ROWS` rows.
+    """
     (
         df.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("compression", "gzip").option("maxRecordsPerFile", CSV_ROWS)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
     return path

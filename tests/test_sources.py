@@ -2,6 +2,7 @@
 
 import io
 import json
+import os
 import zipfile
 from types import SimpleNamespace
 
@@ -192,6 +193,16 @@ def warehouse(spark, tmp_path_factory):
     return star, districts, audit, root
 
 
+def test_written_csv_is_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "CSV_ROWS", 40)
+    rows = [(f"r{i}", f' x"{i % 7}" ', None if i % 5 else "v,w") for i in range(100)]
+    df = spark.createDataFrame(rows, "a string, b string, c string").coalesce(1)
+    path = tables.write_csv(df, f"{tmp_path}/out")
+    assert [f for f in os.listdir(path) if f.endswith(".csv")] == [] and len([f for f in os.listdir(path) if f.endswith(".csv.gz")]) == 3
+    text = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
+    assert sorted(map(str, raw.read_csv(spark, path, text).collect())) == sorted(map(str, df.collect()))
+
+
 def test_tables_equal_the_plans_over_derived_records(spark, warehouse):
     star, districts, _, _ = warehouse
     direct = derived.star(spark, SF)
