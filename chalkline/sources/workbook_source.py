@@ -31,6 +31,8 @@ ENDING = ".xlsx"
 # A sheet has room for 1,048,576 rows (fixed value), one of them the headings.
 MOST_ROWS = 1_048_575
 MOST_EXACT = 1 << 53
+# Texts that a workbook shares at most: those that come first. The others are written in their cells.
+MOST_SHARED = 50_000
 
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -54,11 +56,6 @@ def workbooks_below(path: str) -> list[str]:
     return sorted(n for n in names if not any(part[:1] in "_." for part in posixpath.relpath(n, root).split("/")))
 
 
-def _content(system, name) -> bytes:
-    with system.open_input_stream(name) as file:
-        return file.read()
-
-
 # Reading ---------------------------------------------------------------------------------
 
 
@@ -87,11 +84,12 @@ class WorkbookReader(DataSourceReader):
             return
         system, _ = opened(self.path)
         chunk = []
-        for record in sheet_records(_content(system, partition.name), self.names, self.required):
-            chunk.append(record)
-            if len(chunk) == BATCH_ROWS:
-                yield self._batch(chunk)
-                chunk = []
+        with system.open_input_file(partition.name) as file:
+            for record in sheet_records(file, self.names, self.required):
+                chunk.append(record)
+                if len(chunk) == BATCH_ROWS:
+                    yield self._batch(chunk)
+                    chunk = []
         if chunk:
             yield self._batch(chunk)
 
@@ -122,7 +120,7 @@ def serial_number(value: date | datetime, late: bool) -> float | int | None:
 
 
 class _Sheet:
-    """One workbook while it is written, row by row; only distinct texts are held, if they are to be shared."""
+    """One workbook while it is written, row by row; only the texts that are shared are held."""
 
     def __init__(self, stream, names, shared, late):
         self.archive = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED)
@@ -161,7 +159,7 @@ class _Sheet:
         if isinstance(value, float) or isinstance(value, int) and abs(value) <= MOST_EXACT:
             return f"<c><v>{value!r}</v></c>"
         text = str(value)
-        if self.shared is not None:
+        if self.shared is not None and (text in self.shared or len(self.shared) < MOST_SHARED):
             return f'<c t="s"><v>{self.shared.setdefault(text, len(self.shared))}</v></c>'
         return f'<c t="inlineStr"><is><t xml:space="preserve">{_escaped(text)}</t></is></c>'
 
@@ -259,9 +257,10 @@ class WorkbookSource(DataSource):
         system, _ = opened(self.options["path"])
         found: dict[str, None] = {}
         for name in workbooks_below(self.options["path"]):
-            rows = sheet_rows(_content(system, name))
-            found |= dict.fromkeys(heading for heading in next(rows, []) if heading)
-            rows.close()
+            with system.open_input_file(name) as file:
+                rows = sheet_rows(file)
+                found |= dict.fromkeys(heading for heading in next(rows, []) if heading)
+                rows.close()
         if not found:
             raise ValueError(f"no workbook with headings below {self.options['path']}")
         self.inferred = True

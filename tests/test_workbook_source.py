@@ -1,6 +1,7 @@
 """The data source of workbooks: round trips, cells, commits."""
 
 import datetime
+import io
 import os
 import zipfile
 
@@ -8,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from chalkline import schemas
-from chalkline.sources import raw
-from chalkline.sources.workbook import sheet_rows
+from chalkline.sources import raw, workbook_source
+from chalkline.sources.workbook import sheet_records, sheet_rows
 from chalkline.sources.workbook_source import register_workbooks, serial_number, workbooks_below
 
 
@@ -96,3 +97,17 @@ def test_written_workbooks_are_raw_files(books, tmp_path):
     books.createDataFrame([["N/A", *map(str, range(len(names) - 1))]], names).write.format("workbook").mode("append").save(f"{tmp_path}/p.xlsx")
     got = raw.read_raw(books, {"mdm_procurement": f"{tmp_path}/p.xlsx"})["mdm_procurement"]
     assert [tuple(r) for r in got.collect()] == [(None, *map(str, range(len(names) - 1)))]
+
+
+def test_a_workbook_shares_a_bounded_number_of_texts(books, tmp_path, monkeypatch):
+    """The texts held do not grow with the rows, and every text comes back."""
+    monkeypatch.setattr(workbook_source, "MOST_SHARED", 5)
+    stream = io.BytesIO()
+    sheet = workbook_source._Sheet(stream, ["a", "b"], True, False)
+    rows = [[f"t{i}", f"t{i % 3}"] for i in range(200)]
+    for row in rows:
+        sheet.add(row)
+    assert len(sheet.shared) == 5
+    sheet.close()
+    stream.seek(0)
+    assert list(sheet_records(stream, ["a", "b"], ["a"])) == rows == list(sheet_records(stream.getvalue(), ["a", "b"], ["a"]))
