@@ -19,6 +19,9 @@ from chalkline.sources.layout import MONTH, month_column
 # Rows of a CSV file at most: some 30 MB when compressed, some seconds of one task.
 CSV_ROWS = 1_000_000
 
+# Of Parquet files: a quarter smaller than Spark's default, snappy, for about the same time.
+CODEC = "zstd"
+
 RISK_TABLE = "fact_welfare_risk"
 RISK_VIEW = "vw_school_welfare_risk"
 
@@ -37,16 +40,16 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 
 
 def _save(df: DataFrame, path: str) -> None:
-    df.write.parquet(path)
+    df.write.parquet(path, compression=CODEC)
 
 
 def _save_gathered(df: DataFrame, path: str) -> None:
-    df.withColumn(MONTH, month_column()).write.partitionBy(MONTH).parquet(path)
+    df.withColumn(MONTH, month_column()).write.partitionBy(MONTH).parquet(path, compression=CODEC)
 
 
 def _save_by_month(df: DataFrame, path: str) -> None:
     by_month = df.withColumn(MONTH, month_column()).hint("rebalance", MONTH)
-    by_month.write.partitionBy(MONTH).parquet(path)
+    by_month.write.partitionBy(MONTH).parquet(path, compression=CODEC)
 
 
 def write_table(df: DataFrame, root: str, name: str, by_month: bool = False) -> str:
@@ -131,7 +134,8 @@ def save_bucketed_star(star: Star, database: str, buckets: int) -> None:
     """
     for name in star_tables.TABLES:
         dealt = star.gathered(name, lambda school, _: F.pmod(F.hash(school), F.lit(buckets)))
-        dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, "school_id").sortBy("school_id").saveAsTable(f"{database}.{name}")
+        writer = dealt.write.mode("overwrite").format("parquet").option("compression", CODEC)
+        writer.bucketBy(buckets, "school_id").sortBy("school_id").saveAsTable(f"{database}.{name}")
 
 
 def open_bucketed_star(spark: SparkSession, database: str) -> Star:

@@ -99,6 +99,15 @@ def test_raw_rows_are_gathered_and_then_cleaned(spark, name):
     assert gathered.exceptAll(whole).count() == 0 and whole.exceptAll(gathered).count() == 0
 
 
+@pytest.mark.parametrize("by_month", [False, True])
+def test_tables_are_written_small(spark, tmp_path, by_month):
+    df = spark.range(3).selectExpr("id AS v", "make_date(1995, 1 + cast(id AS int), 1) AS date")
+    path = tables.write_table(df, str(tmp_path), "t", by_month)
+    files = [name for _, _, names in os.walk(path) for name in names if name.endswith(".parquet")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+    assert values(tables.read_table(spark, str(tmp_path), "t")) == [0, 1, 2]
+
+
 def test_ranges_prune_months(stored):
     since, until = datetime.date(1995, 3, 10), "1995-06-20"
     trend = reports.monthly_trend(stored, since, until)
