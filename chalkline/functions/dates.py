@@ -1,9 +1,9 @@
 """Dates written in many ways.
 
 The *form* of a date text says how it is laid out, its *value* is the day that gives, and the
-*method* names the outcome. The value is a chain in which every step uses the one before it
-once: when a filter on a date is pushed below the projection that computes it, the expression
-moves with it, and must not multiply.
+*method* names the outcome. The value tells three kinds of text apart and takes one of them through a chain in which
+every step uses the one before it once: when a filter on a date is pushed below the projection that computes it, the
+expression moves with it, and must not multiply.
 """
 
 from pyspark.sql import Column
@@ -112,6 +112,9 @@ def _in_order(layouts) -> str:
 # are empty if it has no layout.
 _DONE = "X"
 _MAIN_TEXT = f"^(?:{_any_of(_MAIN)})$"
+# Most texts are in a main layout of numbers alone, and need none of the later steps.
+_NUMBERS = _MAIN[:5]
+_NUMBERS_TEXT = f"^(?:{_any_of(_NUMBERS)})$"
 _ASIDES = rf"\G(?!{_DONE})((?s:.)*?)(?:{_ASIDE})"
 _OTHER_TEXT = (
     f"(?s)^(?!{_DONE})(?:(?=\\D*\\d){_CLOCKS}{_AROUND}(?:{_any_of(_ORDERS)}){_AROUND}|.*)$"
@@ -148,8 +151,18 @@ def date_form(text) -> Column:
 
 
 def date_value(text) -> Column:
-    """The calendar day the text gives, NULL where it gives none. Years start at 1."""
-    day = F.regexp_replace(F.lower(column(text)), _MAIN_TEXT, _DONE + _in_order(_MAIN))
+    """The calendar day the text gives, NULL where it gives none. Years start at 1.
+
+    Numbers in a main layout are put in order at once, a text without a digit gives no day, and only the others go
+    through all steps.
+    """
+    text = column(text)
+    numbers = F.regexp_replace(text, _NUMBERS_TEXT, _in_order(_NUMBERS)).try_cast("date")
+    return F.when(text.rlike(_NUMBERS_TEXT), numbers).when(text.rlike("[0-9]"), _any_day(text))
+
+
+def _any_day(text) -> Column:
+    day = F.regexp_replace(F.lower(text), _MAIN_TEXT, _DONE + _in_order(_MAIN))
     day = F.regexp_replace(day, _ASIDES, _MARKED)
     day = F.ltrim(F.regexp_replace(day, _OTHER_TEXT, _in_order(_ORDERS)), F.lit(_DONE))
     for number, month in enumerate(_MONTHS, start=1):

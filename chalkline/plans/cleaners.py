@@ -139,9 +139,11 @@ def clean_attendance(raw: DataFrame, gather=_as_they_are) -> DataFrame:
         "grade_clean": F.col("grade"),
         "attendance_rate": F.when(countable, present / total * 100.0),
     })
+    # The few full records are told first: a filter on the status, which takes the date's text along with it, then works
+    # out the date of the others once, for its error, and not for the Sunday too.
     df = df.withColumn(
         "is_proxy_attendance",
-        _sure(F.col("is_sunday") & (present > 0) & (F.col("attendance_rate") >= PROXY_RATE)),
+        _sure((present > 0) & (F.col("attendance_rate") >= PROXY_RATE) & F.col("is_sunday")),
     )
     status = (
         F.when(F.col("is_impossible_attendance"), F.lit(IMPOSSIBLE))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chalkline import derived, schemas
+from chalkline.functions.dates import date_value
 from chalkline.plans import cleaners, reports, views
 from chalkline.plans.risk import RiskModel, welfare_risk
 from chalkline.plans.star import star_from_raw
@@ -258,3 +259,17 @@ def test_merge_settles_ties_wherever_the_rows_lie(spark):
     history = cleaners.clean_infrastructure(df)
     first = cleaners.current_infrastructure(history.repartition(3)).collect()
     assert first == cleaners.current_infrastructure(history.repartition(5, "inspector_name")).collect()
+
+
+def test_status_filters_ask_full_records_alone_for_the_sunday(spark):
+    """A filter on the status takes the date's text along; it comes to the weekday of the few full records only."""
+    attendance = derived.star(spark, SF).attendance.where("data_quality_status = 'VALID'").select("record_id")
+    plan = attendance._jdf.queryExecution().optimizedPlan().toString()
+    condition = plan[plan.index("Filter CASE WHEN"):]
+    assert condition.index(">= 99.9") < condition.index("weekday(")
+
+
+def test_dates_in_numbers_skip_the_later_steps(spark):
+    value = spark.range(1).select(date_value(F.col("id").cast("string")).alias("day"))._jdf.queryExecution().optimizedPlan().toString()
+    told, others = value.index("RLIKE"), value.index("regexp_replace(lower(")
+    assert told < value.index("regexp_replace(") < others and value[told + 1:others].count("RLIKE") == 1
