@@ -6,7 +6,7 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -30,6 +30,7 @@ from chalkline.operators.report import linear_trend, result_digest, with_formal_
 from chalkline.plans import reports, views  # noqa: E402
 from chalkline.plans.rescue import audit_all, open_warehouse, rescue, save_risk  # noqa: E402
 from chalkline.plans.risk import welfare_risk  # noqa: E402
+from chalkline.session import side_by_side  # noqa: E402
 from chalkline.sources import raw as raw_sources  # noqa: E402
 from chalkline.sources import tables  # noqa: E402
 from chalkline.sources.workbook import decode_workbooks  # noqa: E402
@@ -249,20 +250,22 @@ def risk_view(spark, sf_dir):
 def rescue_run(spark, sf_dir):
     """The whole run over raw files in four formats; the result is the audit as it was written."""
     base = tables.scratch_path(register_workbooks(spark), "rescue")
-    paths = {}
-    for name, build in derived.RAW.items():
-        raw = build(spark, sf_dir)
+    endings = {"test_scores": "jsonl", "student_attendance": "parquet", "mdm_procurement": "xlsx"}
+    paths = {name: f"{base}/{name}.{endings.get(name, 'csv')}" for name in derived.RAW}
+
+    def write(name):
+        raw, path = derived.RAW[name](spark, sf_dir), paths[name]
         if name == "test_scores":
-            paths[name] = f"{base}/{name}.jsonl"
-            raw.write.json(paths[name])
+            raw.write.json(path)
         elif name == "student_attendance":
-            paths[name] = f"{base}/{name}.parquet"
-            raw.write.parquet(paths[name])
+            raw.write.parquet(path)
         elif name == "mdm_procurement":
-            paths[name] = f"{base}/{name}.xlsx"
-            raw.write.format("workbook").mode("append").save(paths[name])
+            raw.write.format("workbook").mode("append").save(path)
         else:
-            paths[name] = tables.write_csv(raw, f"{base}/{name}.csv")
+            tables.write_csv(raw, path)
+
+    others = [name for name in paths if name != "mdm_procurement"]
+    side_by_side(spark, *[partial(write, name) for name in ("mdm_procurement", *others)])
     return rescue(spark, paths, f"{base}/warehouse")
 
 

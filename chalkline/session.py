@@ -1,5 +1,9 @@
 """Session settings."""
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # HotSpot leaves a Java method above 8000 bytes of bytecode to the interpreter, and compiles
@@ -20,6 +24,21 @@ def prefer_compiled_methods(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def side_by_side(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Runs steps that do not need each other at the same time, so that the last tasks of one leave no core idle.
+
+    All are run to their end; the first that failed, in the order given, then raises its error. The first step runs in the
+    caller's thread, as a step that writes to a data source registered in Python must: Spark knows those there only.
+    """
+    first, *others = steps
+    with ThreadPoolExecutor(max(1, len(others))) as pool:
+        # Each thread gets the caller's job group and other local properties.
+        started = [pool.submit(inheritable_thread_target(spark)(step)) for step in others]
+        first()
+    for step in started:
+        step.result()
+
+
 def local_session(cores: int = 8, memory: str = "8g", name: str = "chalkline") -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own."""
     return (

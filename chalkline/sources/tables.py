@@ -3,6 +3,7 @@
 import posixpath
 import tempfile
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from chalkline.plans.cleaners import current_infrastructure
 from chalkline.plans.star import SUMMARY, Star
 from chalkline.plans.summary import summarise
 from chalkline.plans.views import VIEWS
+from chalkline.session import side_by_side
 from chalkline.sources import versions
 from chalkline.sources.layout import MONTH, month_column
 
@@ -111,17 +113,25 @@ def open_star(spark: SparkSession, root: str) -> Star:
 def write_star(star: Star, root: str, by_month: bool = False) -> None:
     """Writes all six tables and the facts' summary by school and month.
 
-    The snapshot and the summary are built from written tables, not a second time from the raw data.
+    Tables that do not need each other are written side by side. The snapshot and the summary are built from written
+    tables, not a second time from the raw data.
     """
     spark = star.school.sparkSession
-    for name in star_tables.TABLES:
-        if name == star_tables.INFRA_CURRENT:
-            history = read_table(spark, root, star_tables.INFRA_HISTORY)
-            write_table(current_infrastructure(history.drop(MONTH)), root, name)
-        else:
-            write_star_table(star, root, name, by_month and name != star_tables.SCHOOL)
-    facts = (read_table(spark, root, name) for name in star_tables.FACTS)
-    write_table(summarise(*facts), root, SUMMARY)
+
+    def write(name):
+        write_star_table(star, root, name, by_month and name != star_tables.SCHOOL)
+
+    def write_infrastructure():
+        write(star_tables.INFRA_HISTORY)
+        history = read_table(spark, root, star_tables.INFRA_HISTORY)
+        write_table(current_infrastructure(history.drop(MONTH)), root, star_tables.INFRA_CURRENT)
+
+    def write_facts():
+        side_by_side(spark, *[partial(write, name) for name in star_tables.FACTS])
+        facts = (read_table(spark, root, name) for name in star_tables.FACTS)
+        write_table(summarise(*facts), root, SUMMARY)
+
+    side_by_side(spark, write_facts, write_infrastructure, partial(write, star_tables.SCHOOL))
 
 
 def save_bucketed_star(star: Star, database: str, buckets: int) -> None:

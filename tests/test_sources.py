@@ -3,6 +3,7 @@
 import io
 import json
 import os
+import threading
 import zipfile
 from types import SimpleNamespace
 
@@ -10,6 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import types as T
 
+from __spark_entry__ import queries
 from chalkline import derived, schemas
 from chalkline.plans.cleaners import clean_attendance, clean_school_master, clean_scores
 from chalkline.plans.rescue import open_warehouse, rescue, save_risk
@@ -225,6 +227,24 @@ def test_audit_matches_the_tables(warehouse):
     assert sum(breakdown.values()) == star.scores.count() and None in breakdown
 
 
+def test_raw_files_of_the_run_are_written_side_by_side(spark, monkeypatch):
+    # Each of the five waits for the others to begin.
+    begun = threading.Barrier(len(derived.RAW), timeout=60)
+
+    def together(build):
+        def waits(*args):
+            begun.wait()
+            return build(*args)
+        return waits
+
+    for name, build in derived.RAW.items():
+        monkeypatch.setitem(derived.RAW, name, together(build))
+    audit = {(r.dataset, r.metric): r.value for r in queries()["rescue_run"](spark, SF).where("key IS NULL").collect()}
+    monkeypatch.undo()
+    for name in derived.RAW:
+        assert audit[name, "raw_rows"] == derived.RAW[name](spark, SF).count()
+
+
 def test_months_prune_partitions(warehouse):
     star, _, _, _ = warehouse
     plan = star.attendance.where("date_month = '1998-01'")._jdf.queryExecution().executedPlan().toString()

@@ -3,6 +3,7 @@
 import datetime
 import os
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from chalkline import derived
 from chalkline.operators.report import share_of_total
 from chalkline.plans import reports, star as star_tables, summary, views
 from chalkline.plans.risk import welfare_risk
+from chalkline.session import side_by_side
 from chalkline.sources import tables, versions
 
 SF = "/root/testdata/sf0.001"
@@ -108,6 +110,34 @@ def test_tables_are_written_small(spark, tmp_path, by_month):
     assert values(tables.read_table(spark, str(tmp_path), "t")) == [0, 1, 2]
 
 
+def test_tables_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    # Each of the five waits for the others to begin.
+    begun = threading.Barrier(5, timeout=60)
+    write = tables.write_star_table
+
+    def together(*args):
+        begun.wait()
+        return write(*args)
+
+    monkeypatch.setattr(tables, "write_star_table", together)
+    tables.write_star(derived.star(spark, SF), str(tmp_path), by_month=True)
+    written = tables.open_star(spark, str(tmp_path))
+    for name, df in derived.star(spark, SF).tables().items():
+        assert written.table(name).count() == df.count()
+    assert written.summary.count() > 0
+
+
+def test_steps_side_by_side_all_end_and_show_their_fault(spark):
+    ended = []
+
+    def fails():
+        raise ValueError("of this step")
+
+    with pytest.raises(ValueError, match="of this step"):
+        side_by_side(spark, fails, lambda: ended.append(spark.range(5).count()))
+    assert ended == [5]
+
+
 def test_ranges_prune_months(stored):
     since, until = datetime.date(1995, 3, 10), "1995-06-20"
     trend = reports.monthly_trend(stored, since, until)
