@@ -3,12 +3,15 @@
 import io
 import json
 import os
+import subprocess
+import sys
 import threading
 import zipfile
 from types import SimpleNamespace
 
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import types as T
 
 from __spark_entry__ import queries
@@ -227,6 +230,12 @@ def test_audit_matches_the_tables(warehouse):
     assert sum(breakdown.values()) == star.scores.count() and None in breakdown
 
 
+def test_workbooks_are_read_where_the_package_is_not_installed(tmp_path):
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(sheet_rows))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", "import pickle; pickle.load(open('f', 'rb'))"], cwd=tmp_path, env=env, check=True, timeout=60)
+
+
 def test_raw_files_of_the_run_are_written_side_by_side(spark, monkeypatch):
     # Each of the five waits for the others to begin.
     begun = threading.Barrier(len(derived.RAW), timeout=60)
