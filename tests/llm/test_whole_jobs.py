@@ -238,3 +238,31 @@ def test_decontamination_twin_knows_items_without_id(spark, tmp_path):
     df = QUERIES["op8_decontaminate"](spark, str(tmp_path))
     assert {(r["doc_id"], r["n_hit"], r["n_items"]) for r in df.collect()} == {(1, 3, 0), (2, 2, 1), (3, 0, 0)}
     assert difference(df, views(str(tmp_path), ("documents", "benchmark")), TWINS["op8_decontaminate"]) is None
+
+
+def test_katz_keeps_no_table_of_pairs_or_triples(spark, tmp_path, monkeypatch):
+    """Counted n-grams once lay in tables beside the shuffles that made them, more than the disk held."""
+    monkeypatch.setattr(katz_ngrams, "scratch_path", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    rng = np.random.default_rng(5)
+    texts = [(i, " ".join(map(str, rng.integers(0, 5000, 400)))) for i in range(60)] + [(60, None), (None, "1 2 3"), (3, "")]
+    table = spark.createDataFrame(texts, "doc_id long, text string").coalesce(2)
+    katz_ngrams.held_out_scores(table).collect()
+    for path in tmp_path.glob("*/*"):
+        kept = spark.read.parquet(str(path))
+        assert path.name == "counts" or not kept.where(F.col("kind") == katz_ngrams._COUNTS).count()
+        if path.name == "counts":
+            assert not kept.where("n > 1 AND octet_length(x) > 0").count()
+
+
+def test_katz_rounds_and_flushes_change_no_score(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [(i % 90, " ".join(map(str, rng.zipf(1.4, 60) % 300))) for i in range(120)] + [(7, None), (None, "1 2 1 2 1"), (8, " ")]
+    table = spark.createDataFrame(texts, "doc_id long, text string").coalesce(3)
+
+    def scores():
+        return sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in katz_ngrams.held_out_scores(table).collect())
+
+    whole = scores()
+    monkeypatch.setattr(katz_ngrams, "TRIPLE_ROUNDS", 3)
+    monkeypatch.setattr(katz_ngrams, "PAIR_ROUNDS", 1)
+    assert scores() == whole
