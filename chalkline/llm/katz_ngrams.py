@@ -35,12 +35,13 @@ from chalkline.llm.katz import (
 from chalkline.llm.packed import bucket_cuts, by_key, grouped, shuffles_freed, small_batches
 from chalkline.llm.sampling import held_out
 from chalkline.llm.words import hashed_words, mixed, slices
-from chalkline.sources.tables import scratch_path
+from chalkline.sources.tables import CODEC, scratch_path
 
 FLUSH_TOKENS = 600_000
 BUCKET_TOKENS = 1_500_000
 SENT_BYTES = 4_000_000
-TRIPLE_ROUNDS, PAIR_ROUNDS = 2, 3
+# The first round of triples carries the words as well.
+TRIPLE_SHARES, PAIR_ROUNDS = (0.46, 0.54), 3
 END, BEGIN = np.uint64(1), np.uint64(2)
 _OF_HISTORY, _OF_LOWER = mixed(np.array([11, 12], dtype=np.uint64)) | np.uint64(1)
 
@@ -255,14 +256,14 @@ class _Asked:
 
     @classmethod
     def of(cls, keys, parts, rows):
-        """From occurrences in order of their rows: equal keys are one."""
+        """From occurrences in order of their rows: those with equal parts, side by side in the order of `keys`, are one."""
         order = np.argsort(keys, kind="stable")
-        keys, rows = keys[order], rows[order]
-        new_key = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
+        parts, rows = parts[:, order], rows[order]
+        new_key = np.concatenate([[True], (parts[:, 1:] != parts[:, :-1]).any(axis=0)]) if len(keys) else np.zeros(0, bool)
         new = new_key.copy()
         new[1:] |= rows[1:] != rows[:-1]
         starts = np.flatnonzero(new)
-        return cls(parts[:, order[new_key]], np.cumsum(new_key)[starts] - 1, rows[starts], np.diff(np.append(starts, len(keys))))
+        return cls(parts[:, new_key], np.cumsum(new_key)[starts] - 1, rows[starts], np.diff(np.append(starts, len(keys))))
 
     @classmethod
     def read(cls, row):
@@ -390,19 +391,18 @@ def _first_asked(name, ids, history, words, owner, first, buckets):
 
 def _triples(start, end, buckets):
     """The triples of the texts whose histories lie in the buckets from start to end; in the first round, all else they ask."""
-    bits = np.uint64(max(buckets - 1, 1).bit_length())
-
     def triples(name, use, history, words, owner, first):
         pairs, later = key_of(history, words), np.flatnonzero(~first)
         place = _places(pairs[later - 1], buckets)
         own = (start <= place) & (place < end)
-        later, place = later[own], place[own]
+        later = later[own]
         before, lower = pairs[later - 1], pairs[later]
-        del pairs, own
-        # Sorted by place first; in place of the hash's last bits comes the place, which is a hash as well.
-        keys = place.astype(np.uint64) << (np.uint64(64) - bits) | key_of(before, lower) >> bits
+        del pairs, place, own
+        # Sorted by history first, so by place too; equal histories side by side are compressed.
+        half = np.uint64(32)
+        keys = before >> half << half | key_of(before, lower) >> half
         parts = np.stack([before, lower, history[later], words[later]] if use == _ASKS else [before, lower])
-        del before, lower, place
+        del before, lower
         asked = _Asked.of(keys, parts, owner[later] if use != _TEACHES else np.zeros(len(later), np.uint16))
         del keys, parts, later
         kind = {_ASKS: _TRIPLE, _BOTH: _LEARNT, _TEACHES: _TAUGHT}[use]
@@ -665,7 +665,7 @@ def _scores(rows: DataFrame, model: Model) -> DataFrame:
         return _places(parts[0], buckets)
 
     def written(df, name):
-        df.write.parquet(f"{root}/{name}")
+        df.write.parquet(f"{root}/{name}", compression=CODEC)
         return spark.read.schema(SENT).parquet(f"{root}/{name}")
 
     def together(frames):
@@ -676,8 +676,8 @@ def _scores(rows: DataFrame, model: Model) -> DataFrame:
 
     with shuffles_freed(spark):
         found = []
-        for turn in range(TRIPLE_ROUNDS):
-            start, end = (buckets * t // TRIPLE_ROUNDS for t in (turn, turn + 1))
+        ends = [round(buckets * sum(TRIPLE_SHARES[:turn])) for turn in range(len(TRIPLE_SHARES))] + [buckets]
+        for turn, (start, end) in enumerate(zip(ends, ends[1:])):
             met = rows.mapInArrow(_triples(start, end, buckets), SENT)
             met = grouped(met.unionByName(words) if turn == 0 else met, "bucket")
             found.append(written(met.mapInArrow(_settled(model.ratios[3], base, each), SENT), f"triples-{turn}"))

@@ -254,7 +254,7 @@ def test_katz_keeps_no_table_of_pairs_or_triples(spark, tmp_path, monkeypatch):
             assert not kept.where("n > 1 AND octet_length(x) > 0").count()
 
 
-def test_katz_rounds_and_flushes_change_no_score(spark, monkeypatch):
+def test_katz_rounds_change_no_score(spark, monkeypatch):
     rng = np.random.default_rng(6)
     texts = [(i % 90, " ".join(map(str, rng.zipf(1.4, 60) % 300))) for i in range(120)] + [(7, None), (None, "1 2 1 2 1"), (8, " ")]
     table = spark.createDataFrame(texts, "doc_id long, text string").coalesce(3)
@@ -263,6 +263,5 @@ def test_katz_rounds_and_flushes_change_no_score(spark, monkeypatch):
         return sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in katz_ngrams.held_out_scores(table).collect())
 
     whole = scores()
-    monkeypatch.setattr(katz_ngrams, "TRIPLE_ROUNDS", 3)
-    monkeypatch.setattr(katz_ngrams, "PAIR_ROUNDS", 1)
+    monkeypatch.setattr(katz_ngrams, "TRIPLE_SHARES", (0.1, 0.3, 0.6))
     assert scores() == whole
