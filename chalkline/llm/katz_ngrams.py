@@ -32,9 +32,10 @@ from chalkline.llm.katz import (
     BASE_ADDED, DISCOUNTED, FLUSH_DOCUMENTS, FOLDS, SENT, _looked_up, _numbers, _sent_batch, discounted, good_turing,
     numbers_of_types,
 )
-from chalkline.llm.packed import bucket_cuts, by_key, grouped, shuffles_freed, small_batches
+from chalkline.llm.packed import bucket_cuts, by_key, grouped, small_batches
 from chalkline.llm.sampling import held_out
 from chalkline.llm.words import hashed_words, mixed, slices
+from chalkline.session import shuffles_freed
 from chalkline.sources.tables import CODEC, scratch_path
 
 FLUSH_TOKENS = 600_000

@@ -1,7 +1,5 @@
 """Arrays of 64-bit hashes that travel in rows: one row holds a task's hashes of one range (a bucket)."""
 
-from contextlib import contextmanager
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +7,6 @@ from pyspark.sql import functions as F
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SPARK_DEFAULT = "67108864b"
-_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
@@ -22,20 +19,6 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def shuffles_freed(spark: SparkSession):
-    """Within it, the shuffle files of a query go when the query ends, not when the driver happens to collect garbage."""
-    before = spark.conf.get(_FREED, None)
-    spark.conf.set(_FREED, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_FREED)
-        else:
-            spark.conf.set(_FREED, before)
-
-
 def bucket_cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Where the buckets of sorted hashes begin, and the end."""
     places = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)

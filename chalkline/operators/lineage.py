@@ -29,11 +29,19 @@ def with_id_lineage(df: DataFrame, name: str = "school_id") -> DataFrame:
     }).drop(text, digits)
 
 
+def date_kept(name: str = "date") -> str:
+    """The column that may hold the value of a date's raw text, where that was worked out before."""
+    return f"__{name}_value"
+
+
 def with_date_lineage(df: DataFrame, name: str = "date") -> DataFrame:
-    """`<name>` as a DATE, `_raw`, `_clean`, `_parse_method`, `_ambiguous_flag`, `_parse_error_flag`."""
-    text, form = f"__{name}_text", f"__{name}_form"
+    """`<name>` as a DATE, `_raw`, `_clean`, `_parse_method`, `_ambiguous_flag`, `_parse_error_flag`.
+
+    A value of the text that the frame has already (`date_kept`) is taken as it is.
+    """
+    text, form, kept = f"__{name}_text", f"__{name}_form", date_kept(name)
     df = df.withColumns({f"{name}_raw": F.col(name), text: date_text(name)})
-    df = df.withColumns({form: date_form(text), name: date_value(text)})
+    df = df.withColumns({form: date_form(text), name: F.col(kept) if kept in df.columns else date_value(text)})
     method, ambiguous, error = date_outcome(form, name)
     return df.withColumns({
         f"{name}_clean": F.col(name),

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -12,6 +13,8 @@ _METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 _SPARK_DEFAULT = "65535"
 _PREFERRED = "7000"
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def prefer_compiled_methods(spark: SparkSession) -> SparkSession:
     """Lets stages with a long generated method fall back to many short ones.
@@ -39,6 +42,20 @@ def side_by_side(spark: SparkSession, *steps: Callable[[], None]) -> None:
         step.result()
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Within it, the shuffle files of a query go when the query ends, not when the driver happens to collect garbage."""
+    before = spark.conf.get(_FREED, None)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREED)
+        else:
+            spark.conf.set(_FREED, before)
+
+
 def local_session(cores: int = 8, memory: str = "8g", name: str = "chalkline") -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own."""
     return (

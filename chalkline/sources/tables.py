@@ -14,7 +14,7 @@ from chalkline.plans.cleaners import current_infrastructure
 from chalkline.plans.star import SUMMARY, Star
 from chalkline.plans.summary import summarise
 from chalkline.plans.views import VIEWS
-from chalkline.session import side_by_side
+from chalkline.session import shuffles_freed, side_by_side
 from chalkline.sources import versions
 from chalkline.sources.layout import MONTH, month_column
 
@@ -45,8 +45,8 @@ def _save(df: DataFrame, path: str) -> None:
     df.write.parquet(path, compression=CODEC)
 
 
-def _save_gathered(df: DataFrame, path: str) -> None:
-    df.withColumn(MONTH, month_column()).write.partitionBy(MONTH).parquet(path, compression=CODEC)
+def _save_in_order(df: DataFrame, path: str) -> None:
+    df.withColumn(MONTH, F.col(star_tables.PLACE)).drop(star_tables.PLACE).write.partitionBy(MONTH).parquet(path, compression=CODEC)
 
 
 def _save_by_month(df: DataFrame, path: str) -> None:
@@ -65,11 +65,11 @@ def write_table(df: DataFrame, root: str, name: str, by_month: bool = False) ->
 
 
 def write_star_table(star: Star, root: str, name: str, by_month: bool = False) -> str:
-    """`write_table` of a star's table. By month its rows are gathered before they are cleaned, where the star can do so."""
+    """`write_table` of a star's table. By month its rows are gathered and sorted before they are cleaned, where the star can do so."""
     if not by_month:
         return write_table(star.table(name), root, name)
-    gathered = star.gathered(name, lambda _, date: month_column(date))
-    return versions.replace(gathered, posixpath.join(root, name), _save_gathered)
+    ordered = star.in_order(name, lambda _, date: month_column(date))
+    return versions.replace(ordered, posixpath.join(root, name), _save_in_order)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -114,7 +114,7 @@ def write_star(star: Star, root: str, by_month: bool = False) -> None:
     """Writes all six tables and the facts' summary by school and month.
 
     Tables that do not need each other are written side by side. The snapshot and the summary are built from written
-    tables, not a second time from the raw data.
+    tables, not a second time from the raw data. What a write has shuffled is deleted when it ends.
     """
     spark = star.school.sparkSession
 
@@ -131,7 +131,8 @@ def write_star(star: Star, root: str, by_month: bool = False) -> None:
         facts = (read_table(spark, root, name) for name in star_tables.FACTS)
         write_table(summarise(*facts), root, SUMMARY)
 
-    side_by_side(spark, write_facts, write_infrastructure, partial(write, star_tables.SCHOOL))
+    with shuffles_freed(spark):
+        side_by_side(spark, write_facts, write_infrastructure, partial(write, star_tables.SCHOOL))
 
 
 def save_bucketed_star(star: Star, database: str, buckets: int) -> None:

@@ -4,6 +4,7 @@ import datetime
 import os
 import re
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,78 @@ def test_raw_rows_are_gathered_and_then_cleaned(spark, name):
     assert gathered.exceptAll(whole).count() == 0 and whole.exceptAll(gathered).count() == 0
 
 
+@pytest.mark.parametrize("name", ["fact_attendance", "fact_mdm_procurement", "fact_infrastructure_history", "fact_test_scores"])
+def test_a_write_by_month_moves_and_sorts_raw_rows_once(spark, tmp_path, monkeypatch, name):
+    """The shuffle that brings copies together also gathers the months; cleaned rows are neither moved nor sorted."""
+    written = []
+    monkeypatch.setattr(versions, "replace", lambda df, path, save: written.append(df))
+    tables.write_star_table(derived.star(spark, SF), str(tmp_path), name, by_month=True)
+    plan = plan_of(written[0])
+    assert len(re.findall(r"(?<!Broadcast)Exchange \w+", plan)) == 1 and len(re.findall(r"Sort \[", plan)) == 1
+    moved = plan[plan.index("Sort ["):]
+    assert "school_id_raw" not in moved and "_parse_error_flag" not in moved
+    by_month = written[0].withColumn("date_month", F.col(star_tables.PLACE))
+    assert "date_month" in by_month._jdf.queryExecution().optimizedPlan().outputOrdering().toString()
+
+
+@pytest.fixture()
+def many_ranges(spark):
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_copies_in_any_place_are_one_row_of_a_table_by_month(spark, tmp_path, many_ranges):
+    """Most rows are copies of one, from many tasks, and half of the dates are one month's or missing."""
+    n = F.col("id")
+    date = F.when(n % 4 == 0, F.lit(None)).when(n % 4 == 1, F.lit("never")).when(n % 4 == 2, F.lit("5-Mar-2024"))
+    date = F.coalesce(date, F.when(n % 4 == 3, F.concat(F.lit("2023-0"), (1 + n % 9).cast("string"), F.lit("-17"))))
+    rows = spark.range(0, 4000, 1, 20).select(F.when(n % 2 == 0, F.lit(6)).otherwise(n % 501).alias("id")).select(
+        F.when(n % 7 > 0, F.concat(F.lit("A"), n.cast("string"))).alias("record_id"),
+        F.when(n % 5 > 0, F.concat(F.lit("sch-"), n.cast("string"))).alias("school_id"), date.alias("date"), F.lit("iv").alias("grade"),
+        F.lit(45.0).alias("total_students"), F.when(F.rand(3) < 0.5, F.lit(0.0)).otherwise(F.lit(-0.0)).alias("present_students"),
+        F.lit("Hai").alias("teacher_present"), F.lit(None).cast("string").alias("marked_by"),
+        F.create_map(F.lit("row"), n).alias("notes"), F.lit("2001-01").alias("date_month"),
+    )
+    rows.write.parquet(f"{tmp_path}/raw")
+    star = star_tables.star_from_raw(lambda _: spark.read.parquet(f"{tmp_path}/raw"))
+    tables.write_star_table(star, str(tmp_path), star_tables.ATTENDANCE, by_month=True)
+    read = tables.read_table(spark, str(tmp_path), star_tables.ATTENDANCE)
+    assert set(read.columns) == set(star.attendance.columns)
+    wanted, found = (df.drop("date_month").withColumn("notes", F.to_json("notes")) for df in (star.attendance, read))
+    found = found.select(wanted.columns)
+    assert found.exceptAll(wanted).count() == 0 and wanted.exceptAll(found).count() == 0
+    assert found.agg(F.max("exact_copies"), F.sum("exact_copies")).first()[:] == (2004, 4000)
+    assert read.where(F.col("date_month") != F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("undated"))).count() == 0
+
+
+def test_tables_that_were_opened_are_written_by_month_again(spark, stored, tmp_path):
+    tables.write_star_table(stored, str(tmp_path), star_tables.SCORES, by_month=True)
+    read = tables.read_table(spark, str(tmp_path), star_tables.SCORES)
+    assert read.columns == stored.scores.columns
+    assert read.exceptAll(stored.scores).count() == 0 and stored.scores.exceptAll(read).count() == 0
+
+
+def test_what_a_write_shuffles_goes_when_it_ends(spark, tmp_path):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for folder in manager.localDirsString() for _, _, names in os.walk(folder) for name in names if name.startswith("shuffle_")}
+
+    freed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(freed)
+    tables.write_star(derived.star(spark, SF), str(tmp_path), by_month=True)
+    until = time.monotonic() + 10
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(freed) == setting
+
+
 @pytest.mark.parametrize("by_month", [False, True])
 def test_tables_are_written_small(spark, tmp_path, by_month):
     df = spark.range(3).selectExpr("id AS v", "make_date(1995, 1 + cast(id AS int), 1) AS date")
