@@ -13,7 +13,8 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
     Grouping by every column counts the copies in the same shuffle that removes them, so the
     audit needs no second pass over the raw data. Copies are combined in each task before the
-    shuffle: a group of copies that holds a third of all rows sends one row per task. A column of the
+    shuffle: a group of copies that holds a third of all rows sends one row per task. Rows that were dealt
+    with their copies together before are counted where they are, without a shuffle. A column of the
     input that is itself called `exact_copies` becomes `exact_copies_raw`.
     """
     df = df.withColumnRenamed(COPIES, f"{COPIES}_raw")
